@@ -30,9 +30,20 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+def rnd(c):
+    """Two-stage rounding (9 then 6 places): summation-order noise near a
+    6-place tie settles the same way in both engines; ``+ 0.0`` folds -0.0."""
+    return F.round(F.round(c, 9), 6) + F.lit(0.0)
+
+
+def R(expr: str) -> str:
+    """SQL twin of ``rnd``."""
+    return f"(round(round({expr}, 9), 6) + 0.0)"
+
+
 def r6(df: DataFrame) -> DataFrame:
-    """Round every double column to 6 places (inf/NaN pass through)."""
-    return df.select([F.round(F.col(f.name), 6).alias(f.name)
+    """Round every double column (inf/NaN pass through)."""
+    return df.select([rnd(F.col(f.name)).alias(f.name)
                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                       for f in df.schema.fields])
 
@@ -94,7 +105,7 @@ def course_factor_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("event_difficulty", _with(ROUNDS_SQL, DIFFICULTY_SQL) + """
 SELECT year, event_id, event_name, course_name, course_num, over_80, sub_70, total_rounds,
-       round(scoring_average, 6) AS scoring_average, pti, major_championship
+       (round(round(scoring_average, 9), 6) + 0.0) AS scoring_average, pti, major_championship
 FROM difficulty""")
 def q_event_difficulty(spark, sf_dir):
     return r6(difficulty_of(spark, sf_dir))
@@ -102,8 +113,106 @@ def q_event_difficulty(spark, sf_dir):
 
 @register("course_factor", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL) + """
 SELECT course_num, course_name, total_over_80, total_sub_70, total_rounds,
-       round(scoring_average, 6) AS scoring_average, other_over_80, other_sub_70,
-       round(course_factor, 6) AS course_factor, round(course_factor_star, 6) AS course_factor_star
+       (round(round(scoring_average, 9), 6) + 0.0) AS scoring_average, other_over_80, other_sub_70,
+       (round(round(course_factor, 9), 6) + 0.0) AS course_factor, (round(round(course_factor_star, 9), 6) + 0.0) AS course_factor_star
 FROM course_factor""")
 def q_course_factor(spark, sf_dir):
     return r6(course_factor_of(spark, sf_dir))
+
+
+# ------------------------------------------------------------ rolling index
+from fairway.operators import form  # noqa: E402
+
+SCORED_SQL = """scored AS (
+  SELECT r.*, cf.course_factor_star,
+         CASE WHEN hour(r.teetime) < 12 THEN 'morning' ELSE 'afternoon' END AS wave
+  FROM rounds r LEFT JOIN course_factor cf ON r.course_num = cf.course_num
+  WHERE r.score IS NOT NULL),
+waved AS (
+  SELECT *, avg(score) OVER (PARTITION BY event_id, year, round, wave) AS wave_average,
+         row_number() OVER (ORDER BY dg_id NULLS FIRST, teetime NULLS FIRST, year NULLS FIRST,
+                                     event_id NULLS FIRST, round NULLS FIRST,
+                                     player_name NULLS FIRST, course_num NULLS FIRST,
+                                     score NULLS FIRST) AS idx
+  FROM scored)"""
+
+
+def _framed_sql(p: int) -> str:
+    return f"""framed_{p} AS (
+  SELECT dg_id, player_name, teetime, score, event_name, wave_average, course_factor_star,
+         coalesce(sum((wave_average - score) * course_factor_star) OVER w, 0.0)
+           / coalesce(sum(course_factor_star) OVER w, 0.0) AS ppi,
+         first_value(teetime) OVER w AS first_tee_time_in_group,
+         count(*) OVER w AS n,
+         avg(sg_total) OVER w AS sg_total
+  FROM waved
+  WINDOW w AS (PARTITION BY dg_id, player_name ORDER BY idx
+               RANGE BETWEEN {p - 1} PRECEDING AND CURRENT ROW))"""
+
+
+def _period_select(p: int, with_period: bool = False) -> str:
+    period = f"CAST({p} AS BIGINT) AS period, " if with_period else ""
+    return f"""SELECT {period}dg_id, player_name, (round(round(ppi, 9), 6) + 0.0) AS ppi, teetime,
+       first_tee_time_in_group, (round(round(sg_total, 9), 6) + 0.0) AS sg_total, score, event_name,
+       (round(round(wave_average, 9), 6) + 0.0) AS wave_average, (round(round(course_factor_star, 9), 6) + 0.0) AS course_factor_star,
+       CASE WHEN sg_total >= 0 AND ppi > sg_total THEN 'Proper Player'
+            WHEN sg_total >= 0 AND ppi <= sg_total THEN 'Imposter'
+            WHEN sg_total < 0 AND ppi > sg_total THEN 'Gamer'
+            ELSE 'Mule' END AS category,
+       (round(round(ppi - sg_total, 9), 6) + 0.0) AS ppi_sg_diff
+FROM framed_{p} WHERE n = {p}"""
+
+
+def _rolling_sql(periods, with_period=False) -> str:
+    ctes = [ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL] + [
+        _framed_sql(p) for p in periods]
+    return _with(*ctes) + "\nUNION ALL\n".join(_period_select(p, with_period) for p in periods)
+
+
+def rolling_of(spark, sf_dir, period):
+    return form.rolling_index(rounds(spark, sf_dir), course_factor_of(spark, sf_dir), period)
+
+
+def _rolling_query(p):
+    def q(spark, sf_dir):
+        return r6(rolling_of(spark, sf_dir, p))
+    q.__name__ = f"q_rolling_index_{p}"
+    return q
+
+
+for _p in (10, 25, 50):
+    register(f"rolling_index_{_p}", _rolling_sql([_p]))(_rolling_query(_p))
+
+MULTI_PERIODS = (10, 25, 50)
+
+
+@register("rolling_index_multi", _rolling_sql(MULTI_PERIODS, with_period=True))
+def q_rolling_index_multi(spark, sf_dir):
+    return r6(form.rolling_index_multi(rounds(spark, sf_dir), course_factor_of(spark, sf_dir),
+                                       MULTI_PERIODS))
+
+
+@register("wave_average", _with(ROUNDS_SQL) + """
+SELECT year, event_id, dg_id, player_name, round, teetime, score, wave,
+       (round(round(avg(score) OVER (PARTITION BY event_id, year, round, wave), 9), 6) + 0.0) AS wave_average
+FROM (SELECT *, CASE WHEN hour(teetime) < 12 THEN 'morning' ELSE 'afternoon' END AS wave
+      FROM rounds WHERE score IS NOT NULL)""")
+def q_wave_average(spark, sf_dir):
+    df = form.with_wave_average(rounds(spark, sf_dir))
+    return r6(df.select("year", "event_id", "dg_id", "player_name", "round", "teetime", "score",
+                        "wave", "wave_average"))
+
+
+@register("weighted_index_by_course", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL,
+                                            SCORED_SQL) + """
+SELECT course_num, count(*) AS rounds,
+       (round(round(coalesce(sum((wave_average - score) * course_factor_star), 0.0)
+             / coalesce(sum(course_factor_star), 0.0), 9), 6) + 0.0) AS ppi
+FROM waved GROUP BY course_num""")
+def q_weighted_index_by_course(spark, sf_dir):
+    prepared = form.prepare_rounds(rounds(spark, sf_dir), course_factor_of(spark, sf_dir))
+    out = prepared.groupBy("course_num").agg(
+        F.count(F.lit(1)).alias("rounds"),
+        form.weighted_index(F.col("score"), F.col("wave_average"),
+                            F.col("course_factor_star")).alias("ppi"))
+    return r6(out)
