@@ -163,6 +163,24 @@ def _period_select(p: int, with_period: bool = False) -> str:
 FROM framed_{p} WHERE n = {p}"""
 
 
+def _form_cte(p: int) -> str:
+    """Unrounded form-index dataset for period ``p`` (needs framed_p)."""
+    return f"""form_{p} AS (
+  SELECT dg_id, player_name, ppi, teetime, first_tee_time_in_group, sg_total, score, event_name,
+         wave_average, course_factor_star,
+         CASE WHEN sg_total >= 0 AND ppi > sg_total THEN 'Proper Player'
+              WHEN sg_total >= 0 AND ppi <= sg_total THEN 'Imposter'
+              WHEN sg_total < 0 AND ppi > sg_total THEN 'Gamer'
+              ELSE 'Mule' END AS category,
+         ppi - sg_total AS ppi_sg_diff
+  FROM framed_{p} WHERE n = {p})"""
+
+
+def _form_ctes(p: int) -> list[str]:
+    return [ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL, _framed_sql(p),
+            _form_cte(p)]
+
+
 def _rolling_sql(periods, with_period=False) -> str:
     ctes = [ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL] + [
         _framed_sql(p) for p in periods]
@@ -216,3 +234,192 @@ def q_weighted_index_by_course(spark, sf_dir):
         form.weighted_index(F.col("score"), F.col("wave_average"),
                             F.col("course_factor_star")).alias("ppi"))
     return r6(out)
+
+
+# ------------------------------------------------------------------ reports
+from fairway.plans import reports  # noqa: E402
+
+# Report parameters for the driver data (all tee times fall in January 2024).
+REPORT_YEAR = 2024
+MAX_DAYS = 25
+FORM_PERIOD = 50
+TREND_PLAYER = 42
+
+DIFF_COLS = ("year, event_id, event_name, course_name, course_num, over_80, sub_70, "
+             "total_rounds, " + R("scoring_average") + " AS scoring_average, pti, "
+             "major_championship")
+FORM_COLS = ", ".join(
+    [c if c in ("dg_id", "player_name", "teetime", "first_tee_time_in_group", "score",
+                "event_name", "category") else f"{R(c)} AS {c}"
+     for c in ("dg_id", "player_name", "ppi", "teetime", "first_tee_time_in_group", "sg_total",
+               "score", "event_name", "wave_average", "course_factor_star", "category",
+               "ppi_sg_diff")])
+YEAR_RANGE = (f"teetime >= TIMESTAMP '{REPORT_YEAR}-01-01' "
+              f"AND teetime < TIMESTAMP '{REPORT_YEAR + 1}-01-01'")
+
+
+def form_of(spark, sf_dir):
+    return rolling_of(spark, sf_dir, FORM_PERIOD)
+
+
+@register("year_as_text", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT CAST(year AS VARCHAR) AS year, event_id, event_name, course_name, course_num, over_80,
+       sub_70, total_rounds, {R("scoring_average")} AS scoring_average, pti, major_championship
+FROM difficulty""")
+def q_year_as_text(spark, sf_dir):
+    return r6(reports.year_as_text(difficulty_of(spark, sf_dir)))
+
+
+@register("zero_high_events", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {DIFF_COLS} FROM difficulty WHERE over_80 = 0""")
+def q_zero_high_events(spark, sf_dir):
+    return r6(reports.zero_high_events(difficulty_of(spark, sf_dir)))
+
+
+@register("easiest_event", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {DIFF_COLS} FROM difficulty WHERE over_80 = 0
+ORDER BY sub_70 DESC, year, event_id, course_num LIMIT 1""")
+def q_easiest_event(spark, sf_dir):
+    return r6(reports.easiest_event(difficulty_of(spark, sf_dir)))
+
+
+@register("overall_shares", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {R("100.0 * (CAST(coalesce(sum(over_80), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0))")}
+         AS pct_over_80,
+       {R("100.0 * (CAST(coalesce(sum(sub_70), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0))")}
+         AS pct_sub_70,
+       count(*) FILTER (WHERE over_80 = 0) AS zero_high_events
+FROM difficulty""")
+def q_overall_shares(spark, sf_dir):
+    return r6(reports.overall_shares(difficulty_of(spark, sf_dir)))
+
+
+@register("majors_ranked", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {DIFF_COLS},
+       row_number() OVER (ORDER BY pti DESC NULLS FIRST, year, event_id, course_num) AS rank
+FROM difficulty WHERE major_championship""")
+def q_majors_ranked(spark, sf_dir):
+    return r6(reports.majors_ranked(difficulty_of(spark, sf_dir)))
+
+
+@register("major_extremes", _with(ROUNDS_SQL, DIFFICULTY_SQL) + """
+SELECT * FROM (SELECT 'hardest' AS kind, year, event_id, event_name, course_name, course_num, pti
+               FROM difficulty WHERE major_championship
+               ORDER BY pti DESC, year, event_id, course_num LIMIT 1)
+UNION ALL
+SELECT * FROM (SELECT 'easiest' AS kind, year, event_id, event_name, course_name, course_num, pti
+               FROM difficulty WHERE major_championship
+               ORDER BY pti ASC, year DESC, event_id DESC, course_num DESC LIMIT 1)""")
+def q_major_extremes(spark, sf_dir):
+    return r6(reports.major_extremes(difficulty_of(spark, sf_dir)))
+
+
+@register("venue_extremes", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL) + f"""
+, h AS (SELECT * FROM course_factor ORDER BY course_factor DESC, course_num LIMIT 1),
+e AS (SELECT * FROM course_factor WHERE course_factor > 0 ORDER BY course_factor, course_num
+      LIMIT 1)
+SELECT h.course_num AS hardest_course_num, h.course_name AS hardest_course,
+       {R("h.course_factor")} AS hardest_factor,
+       e.course_num AS easiest_course_num, e.course_name AS easiest_course,
+       {R("e.course_factor")} AS easiest_factor,
+       CAST(trunc(h.course_factor / e.course_factor) AS BIGINT) AS factor_ratio,
+       {R("100.0 * (CAST(h.total_over_80 AS DOUBLE) / h.total_rounds)")} AS hardest_pct_over_80,
+       {R("100.0 * (CAST(h.total_sub_70 AS DOUBLE) / h.total_rounds)")} AS hardest_pct_sub_70
+FROM h LEFT JOIN e ON true""")
+def q_venue_extremes(spark, sf_dir):
+    return r6(reports.venue_extremes(course_factor_of(spark, sf_dir)))
+
+
+RANKS_SQL = """ranks AS (
+  SELECT course_num, course_factor,
+         CASE WHEN course_factor IS NULL THEN NULL
+              ELSE row_number() OVER (ORDER BY course_factor DESC NULLS LAST, course_num) END
+           AS rank
+  FROM course_factor)"""
+
+
+@register("venue_rank", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, RANKS_SQL) + f"""
+SELECT course_num, {R("course_factor")} AS course_factor, rank FROM ranks""")
+def q_venue_rank(spark, sf_dir):
+    return r6(reports.venue_rank(course_factor_of(spark, sf_dir)))
+
+
+@register("score_distribution", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, RANKS_SQL) + f"""
+, counts AS (SELECT course_num, score, count(*) AS rounds FROM rounds GROUP BY course_num, score)
+SELECT c.course_num, c.score, c.rounds,
+       {R("100.0 * (CAST(c.rounds AS DOUBLE) / sum(c.rounds) OVER (PARTITION BY c.course_num))")}
+         AS pct_of_rounds,
+       k.rank, {R("k.course_factor")} AS course_factor,
+       {R("log10(1.0 + k.course_factor)")} AS log_course_factor
+FROM counts c LEFT JOIN ranks k ON c.course_num = k.course_num""")
+def q_score_distribution(spark, sf_dir):
+    return r6(reports.score_distribution(rounds(spark, sf_dir), course_factor_of(spark, sf_dir)))
+
+
+@register("venue_median", _with(ROUNDS_SQL) + """
+SELECT course_num, count(*) AS rounds, CAST(median(score) AS DOUBLE) AS median_score
+FROM rounds WHERE score IS NOT NULL GROUP BY course_num""")
+def q_venue_median(spark, sf_dir):
+    return r6(reports.venue_median(rounds(spark, sf_dir)))
+
+
+NO_IMPACT_SQL = f"""no_impact AS (
+  SELECT player_name AS Name, score AS Score, event_name AS Event FROM form_{FORM_PERIOD}
+  WHERE course_factor_star = 0.0 AND {YEAR_RANGE})"""
+
+
+@register("no_impact_rounds", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+SELECT * FROM no_impact""")
+def q_no_impact_rounds(spark, sf_dir):
+    return reports.no_impact_rounds(form_of(spark, sf_dir), REPORT_YEAR)
+
+
+@register("no_impact_top10", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+SELECT * FROM no_impact ORDER BY Score, Name, Event LIMIT 10""")
+def q_no_impact_top10(spark, sf_dir):
+    return reports.no_impact_top(form_of(spark, sf_dir), REPORT_YEAR, 10)
+
+
+@register("no_impact_count", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+SELECT count(*) FILTER (WHERE Score < 65) AS rounds_below FROM no_impact""")
+def q_no_impact_count(spark, sf_dir):
+    return reports.no_impact_count(form_of(spark, sf_dir), REPORT_YEAR, 65)
+
+
+STANDINGS_SQL = f"""standings AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY dg_id ORDER BY teetime DESC NULLS LAST,
+                                 player_name DESC NULLS LAST,
+                                 first_tee_time_in_group DESC NULLS LAST) AS rn
+    FROM form_{FORM_PERIOD})
+  WHERE rn = 1 AND {YEAR_RANGE}
+    AND date_sub('day', first_tee_time_in_group, teetime) <= {MAX_DAYS})"""
+
+
+@register("current_standings", _with(*_form_ctes(FORM_PERIOD), STANDINGS_SQL) + f"""
+SELECT {FORM_COLS} FROM standings""")
+def q_current_standings(spark, sf_dir):
+    return r6(reports.current_standings(form_of(spark, sf_dir), REPORT_YEAR, MAX_DAYS))
+
+
+@register("largest_gap", _with(*_form_ctes(FORM_PERIOD), STANDINGS_SQL) + f"""
+SELECT {FORM_COLS} FROM standings
+WHERE ppi_sg_diff IS NOT NULL AND NOT isnan(ppi_sg_diff)
+ORDER BY ppi_sg_diff, dg_id LIMIT 1""")
+def q_largest_gap(spark, sf_dir):
+    standings = reports.current_standings(form_of(spark, sf_dir), REPORT_YEAR, MAX_DAYS)
+    return r6(reports.largest_gap(standings))
+
+
+@register("player_trend", _with(*_form_ctes(FORM_PERIOD)) + f"""
+SELECT {FORM_COLS}, {R("(wave_average - score) * course_factor_star")} AS weighted_score
+FROM form_{FORM_PERIOD} WHERE dg_id = {TREND_PLAYER}""")
+def q_player_trend(spark, sf_dir):
+    return r6(reports.player_trend(form_of(spark, sf_dir), TREND_PLAYER))
+
+
+@register("trend_bounds", _with(*_form_ctes(FORM_PERIOD)) + f"""
+SELECT min(teetime) AS start, max(teetime) + INTERVAL 120 DAY AS "end"
+FROM form_{FORM_PERIOD} WHERE dg_id = {TREND_PLAYER}""")
+def q_trend_bounds(spark, sf_dir):
+    return reports.trend_bounds(reports.player_trend(form_of(spark, sf_dir), TREND_PLAYER), 120)
