@@ -423,3 +423,191 @@ SELECT min(teetime) AS start, max(teetime) + INTERVAL 120 DAY AS "end"
 FROM form_{FORM_PERIOD} WHERE dg_id = {TREND_PLAYER}""")
 def q_trend_bounds(spark, sf_dir):
     return reports.trend_bounds(reports.player_trend(form_of(spark, sf_dir), TREND_PLAYER), 120)
+
+
+# ------------------------------------------------------------------- ingest
+from fairway.session import scratch_dir  # noqa: E402
+from fairway.sources import ingest, io  # noqa: E402
+from fairway.sources.schemas import EVENT_DIFFICULTY  # noqa: E402
+from fairway.sources.testdata import ROUNDS_RAW_SQL  # noqa: E402
+
+
+def _events(spark, sf_dir):
+    return testdata.table(spark, sf_dir, "events")
+
+
+def _event_list(spark, sf_dir):
+    return ingest.parse_event_list(testdata.event_list_documents(_events(spark, sf_dir)))
+
+
+def _ingested(spark, sf_dir):
+    payloads = ingest.parse_payloads(testdata.payload_documents(_events(spark, sf_dir)))
+    events = ingest.pga_events(_event_list(spark, sf_dir))
+    return ingest.rounds_from_payloads(payloads, events)
+
+
+@register("tour_filter", """
+SELECT CAST(year(ts) AS BIGINT) AS calendar_year, strftime(max(ts), '%Y-%m-%d') AS date,
+       CAST(day(ts) AS BIGINT) AS event_id, 'day_' || CAST(day(ts) AS VARCHAR) AS event_name,
+       'yes' AS sg_categories, 'yes' AS traditional_stats, 'pga' AS tour
+FROM events GROUP BY year(ts), day(ts) HAVING day(ts) % 2 = 1""")
+def q_tour_filter(spark, sf_dir):
+    return ingest.pga_events(_event_list(spark, sf_dir))
+
+
+INGEST_SRC_SQL = """ingest_src AS (
+  SELECT *, CAST(ts AS DATE) AS completed,
+         CASE isodow(CAST(ts AS DATE)) WHEN 1 THEN -5 WHEN 7 THEN -4 WHEN 6 THEN -3 END AS off,
+         CASE WHEN event_type = 'signup' THEN 'none'
+              WHEN event_type = 'error' AND dg_id % 7 = 3 THEN 'bad' ELSE 'ok' END AS tee_kind
+  FROM rounds_raw WHERE event_id % 2 = 1)"""
+
+
+@register("ingest_rounds", _with(ROUNDS_RAW_SQL, INGEST_SRC_SQL) + f"""
+SELECT year, event_id, event_name, dg_id, player_name, round, course_name, course_num,
+       course_par, score, sg_app, sg_arg, sg_ott, sg_putt, sg_t2g,
+       {R("sg_total")} AS sg_total,
+       CASE tee_kind WHEN 'none' THEN CAST(completed + CAST(round + off AS INTEGER) AS TIMESTAMP)
+            ELSE CAST(completed + CAST(round + off AS INTEGER) AS TIMESTAMP)
+                 + (date_trunc('minute', ts) - date_trunc('day', ts)) END AS teetime
+FROM ingest_src WHERE off IS NOT NULL AND tee_kind <> 'bad'""")
+def q_ingest_rounds(spark, sf_dir):
+    return r6(_ingested(spark, sf_dir).rounds)
+
+
+QUARANTINE_SQL = """
+SELECT year, event_id, event_name, dg_id, player_name, round,
+       CASE tee_kind WHEN 'none' THEN NULL WHEN 'bad' THEN 'tbd'
+            ELSE lower(strftime(ts, '%-I:%M%p')) END AS teetime_text,
+       strftime(completed, '%Y-%m-%d') AS event_completed,
+       CASE WHEN off IS NULL THEN CAST(year AS VARCHAR) || ' ' || event_name || ' ('
+                 || CAST(event_id AS VARCHAR)
+                 || ') didn''t finish on Sunday or Monday... it finished on '
+                 || strftime(completed, '%A')
+            ELSE 'malformed teetime ''tbd''' END AS reason
+FROM ingest_src WHERE off IS NULL OR tee_kind = 'bad'"""
+
+
+@register("ingest_quarantine", _with(ROUNDS_RAW_SQL, INGEST_SRC_SQL) + QUARANTINE_SQL)
+def q_ingest_quarantine(spark, sf_dir):
+    return _ingested(spark, sf_dir).quarantine
+
+
+@register("round_dates", """
+SELECT o_orderkey, CAST(round AS BIGINT) AS round, CAST(o_orderdate AS DATE) AS completion_date,
+       CAST(o_orderdate AS DATE)
+         + CAST(round + CASE isodow(CAST(o_orderdate AS DATE)) WHEN 1 THEN -5 WHEN 7 THEN -4
+                                                               WHEN 6 THEN -3 END AS INTEGER)
+         AS round_date,
+       isodow(CAST(o_orderdate AS DATE)) IN (1, 6, 7) AS valid
+FROM orders, range(1, 5) t(round)""")
+def q_round_dates(spark, sf_dir):
+    orders = testdata.table(spark, sf_dir, "orders")
+    completed = F.to_date("o_orderdate")
+    per_round = orders.select("o_orderkey", completed.alias("completion_date"),
+                              F.explode(F.sequence(F.lit(1).cast("long"), F.lit(4).cast("long"))).alias("round"))
+    rd = ingest.round_date(F.col("completion_date"), F.col("round"))
+    return per_round.select("o_orderkey", "round", "completion_date", rd.alias("round_date"),
+                            rd.isNotNull().alias("valid"))
+
+
+@register("teetime_parse", """
+SELECT event_id,
+       CASE WHEN event_type = 'signup' THEN NULL
+            WHEN event_type = 'error' AND user_id % 7 = 3 THEN 'tbd'
+            ELSE lower(strftime(ts, '%-I:%M%p')) END AS teetime_text,
+       CASE WHEN event_type = 'signup' THEN date_trunc('day', ts)
+            WHEN event_type = 'error' AND user_id % 7 = 3 THEN NULL
+            ELSE date_trunc('minute', ts) END AS teetime
+FROM events""")
+def q_teetime_parse(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    text = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+            .when((F.col("event_type") == "error") & (F.col("user_id") % 7 == 3), F.lit("tbd"))
+            .otherwise(F.lower(F.date_format("ts", "h:mma"))))
+    staged = ev.select("event_id", F.to_date("ts").alias("day"), text.alias("teetime_text"))
+    return staged.select("event_id", "teetime_text",
+                         ingest.teetime_at(F.col("day"), F.col("teetime_text")).alias("teetime"))
+
+
+ORDER_EVENTS_SQL = """order_events AS (
+  SELECT CAST(year(o_orderdate) AS BIGINT) AS calendar_year,
+         strftime(o_orderdate, '%Y-%m-%d') AS date, o_orderkey AS event_id,
+         'Cup ' || o_orderpriority || ' ' || CAST(o_custkey AS VARCHAR) AS event_name,
+         'yes' AS sg_categories, 'yes' AS traditional_stats, 'pga' AS tour, o_orderstatus
+  FROM orders),
+landed AS (
+  SELECT calendar_year AS year, event_id,
+         trim(regexp_replace(lower(event_name), '[^a-z0-9]+', '-', 'g'), '-') AS event_slug
+  FROM order_events WHERE o_orderstatus = 'F')"""
+
+
+def _order_events(spark, sf_dir):
+    orders = testdata.table(spark, sf_dir, "orders")
+    return orders.select(
+        F.year("o_orderdate").cast("long").alias("calendar_year"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_orderkey").alias("event_id"),
+        F.concat(F.lit("Cup "), F.col("o_orderpriority"), F.lit(" "),
+                 F.col("o_custkey").cast("string")).alias("event_name"),
+        F.lit("yes").alias("sg_categories"), F.lit("yes").alias("traditional_stats"),
+        F.lit("pga").alias("tour"), "o_orderstatus")
+
+
+def _landed(spark, sf_dir):
+    done = _order_events(spark, sf_dir).filter(F.col("o_orderstatus") == "F")
+    return ingest.landed_event_keys(done.select(
+        F.col("calendar_year").alias("year"), "event_id", "event_name"))
+
+
+@register("incremental_new_events", _with(ORDER_EVENTS_SQL) + """
+SELECT calendar_year, date, event_id, event_name, sg_categories, traditional_stats, tour
+FROM order_events o
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.year = o.calendar_year
+                  AND l.event_id = o.event_id)""")
+def q_incremental_new_events(spark, sf_dir):
+    events = _order_events(spark, sf_dir).drop("o_orderstatus")
+    return ingest.new_events(events, _landed(spark, sf_dir))
+
+
+@register("incremental_new_events_slug", _with(ORDER_EVENTS_SQL) + """
+SELECT calendar_year, date, event_id, event_name, sg_categories, traditional_stats, tour
+FROM order_events o
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.year = o.calendar_year
+                  AND l.event_slug = trim(regexp_replace(lower(o.event_name), '[^a-z0-9]+', '-',
+                                                         'g'), '-'))""")
+def q_incremental_new_events_slug(spark, sf_dir):
+    events = _order_events(spark, sf_dir).drop("o_orderstatus")
+    return ingest.new_events(events, _landed(spark, sf_dir), by_slug=True)
+
+
+ROUNDS_COLS = ", ".join(
+    f"{R(c)} AS {c}" if c.startswith("sg_") else c
+    for c in ("year", "event_id", "event_name", "dg_id", "player_name", "round", "course_name",
+              "course_num", "course_par", "score", "sg_app", "sg_arg", "sg_ott", "sg_putt",
+              "sg_t2g", "sg_total", "teetime"))
+
+
+@register("parquet_roundtrip", _with(ROUNDS_SQL) + f"""
+SELECT {ROUNDS_COLS} FROM rounds""")
+def q_parquet_roundtrip(spark, sf_dir):
+    root = scratch_dir(spark, "rounds")
+    io.write_rounds(rounds(spark, sf_dir), root)
+    return r6(io.read_rounds(spark, root))
+
+
+@register("csv_roundtrip", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {DIFF_COLS} FROM difficulty""")
+def q_csv_roundtrip(spark, sf_dir):
+    path = scratch_dir(spark, "difficulty-csv")
+    io.write_csv(difficulty_of(spark, sf_dir), path)
+    return r6(io.read_csv(spark, path, EVENT_DIFFICULTY))
+
+
+@register("form_index_sink", _rolling_sql([25]))
+def q_form_index_sink(spark, sf_dir):
+    root = scratch_dir(spark, "form-index")
+    long = form.rolling_index_multi(rounds(spark, sf_dir), course_factor_of(spark, sf_dir),
+                                    MULTI_PERIODS)
+    io.write_form_index(long, root)
+    return r6(io.read_form_index(spark, root, 25))

@@ -28,7 +28,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rounds_from_events(events: DataFrame) -> DataFrame:
+def round_columns() -> list:
+    """The rounds columns as expressions over the ``events`` columns."""
     cn = F.col("event_id") % COURSES
     v = F.floor("value").cast("long")
     day = F.dayofmonth("ts").cast("long")
@@ -41,26 +42,30 @@ def rounds_from_events(events: DataFrame) -> DataFrame:
                       F.lit(None).cast("double")).otherwise(
         F.round((F.col("value") - 50) / 50, 3))
     null_double = F.lit(None).cast("double")
-    out = events.select(
-        F.year("ts").cast("long").alias("year"),
-        day.alias("event_id"),
-        F.concat(F.lit("day_"), day.cast("string")).alias("event_name"),
-        F.col("user_id").alias("dg_id"),
-        F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("player_name"),
-        (F.col("event_id") % 4 + 1).cast("long").alias("round"),
-        F.concat(F.lit("course_"), cn.cast("string")).alias("course_name"),
-        cn.cast("long").alias("course_num"),
-        F.lit(72).cast("long").alias("course_par"),
-        score.cast("long").alias("score"),
-        null_double.alias("sg_app"),
-        null_double.alias("sg_arg"),
-        null_double.alias("sg_ott"),
-        null_double.alias("sg_putt"),
-        null_double.alias("sg_t2g"),
-        sg_total.cast("double").alias("sg_total"),
-        F.col("ts").cast("timestamp_ntz").alias("teetime"),
-    )
-    return out.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
+    exprs = {
+        "year": F.year("ts"),
+        "event_id": day,
+        "event_name": F.concat(F.lit("day_"), day.cast("string")),
+        "dg_id": F.col("user_id"),
+        "player_name": F.concat(F.lit("user_"), F.col("user_id").cast("string")),
+        "round": F.col("event_id") % 4 + 1,
+        "course_name": F.concat(F.lit("course_"), cn.cast("string")),
+        "course_num": cn,
+        "course_par": F.lit(72),
+        "score": score,
+        "sg_app": null_double,
+        "sg_arg": null_double,
+        "sg_ott": null_double,
+        "sg_putt": null_double,
+        "sg_t2g": null_double,
+        "sg_total": sg_total,
+        "teetime": F.col("ts"),
+    }
+    return [exprs[f.name].cast(f.dataType).alias(f.name) for f in ROUNDS.fields]
+
+
+def rounds_from_events(events: DataFrame) -> DataFrame:
+    return events.select(*round_columns())
 
 
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +74,7 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # DuckDB text of the same view, used by the oracle queries.
-ROUNDS_SQL = """rounds AS (
+_ROUNDS_SQL_TEMPLATE = """{name} AS (
   SELECT CAST(year(e.ts) AS BIGINT) AS year,
          CAST(day(e.ts) AS BIGINT) AS event_id,
          'day_' || CAST(day(e.ts) AS VARCHAR) AS event_name,
@@ -89,5 +94,65 @@ ROUNDS_SQL = """rounds AS (
          CAST(NULL AS DOUBLE) AS sg_t2g,
          CASE WHEN e.event_type = 'error' AND e.user_id % 5 = 0 THEN NULL
               ELSE round((e.value - 50) / 50, 3) END AS sg_total,
-         e.ts AS teetime
+         e.ts AS teetime{extra}
   FROM events e)"""
+
+ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="")
+# the view plus the raw columns the landed documents are built from
+ROUNDS_RAW_SQL = _ROUNDS_SQL_TEMPLATE.format(
+    name="rounds_raw", extra=", e.ts AS ts, e.event_type AS event_type")
+
+
+# ------------------------------------------------------ landed-document view
+def payload_documents(events: DataFrame) -> DataFrame:
+    """One payload JSON document (``value``) per ``events`` row, shaped like
+    the feed: string event id, completion date, one player whose round
+    ``event_id % 4 + 1`` is set and the other three absent.
+
+    Completion date is the row's calendar date, so Saturday, Sunday and
+    Monday rows are valid and the rest are quarantined. Sign-ups have no tee
+    time (midnight); errors of users with ``user_id % 7 = 3`` carry a
+    malformed tee time.
+    """
+    r = dict(zip([f.name for f in ROUNDS.fields], round_columns()))
+    rnd = F.col("event_id") % 4 + 1
+    tee = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+           .when((F.col("event_type") == "error") & (F.col("user_id") % 7 == 3), F.lit("tbd"))
+           .otherwise(F.lower(F.date_format("ts", "h:mma"))))
+    detail = F.struct(
+        r["course_name"].alias("course_name"), r["course_num"].alias("course_num"),
+        r["course_par"].alias("course_par"), r["score"].alias("score"),
+        r["sg_app"].alias("sg_app"), r["sg_arg"].alias("sg_arg"), r["sg_ott"].alias("sg_ott"),
+        r["sg_putt"].alias("sg_putt"), r["sg_t2g"].alias("sg_t2g"),
+        r["sg_total"].alias("sg_total"), tee.alias("teetime"))
+    rounds_by_slot = [F.when(rnd == i, detail).alias(f"round_{i}") for i in range(1, 5)]
+    player = F.struct(F.col("user_id").alias("dg_id"),
+                      F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("player_name"),
+                      *rounds_by_slot)
+    day = F.dayofmonth("ts")
+    doc = F.struct(
+        F.concat(F.lit("day_"), day.cast("string")).alias("event_name"),
+        day.cast("string").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("event_completed"),
+        F.year("ts").cast("long").alias("year"),
+        F.year("ts").cast("long").alias("season"),
+        F.lit("pga").alias("tour"),
+        F.array(player).alias("scores"))
+    return events.select(F.to_json(doc).alias("value"))
+
+
+def event_list_documents(events: DataFrame) -> DataFrame:
+    """One event-list JSON document per (year, day) seen in ``events``; the
+    tour alternates so the tour filter has work to do (odd days: pga)."""
+    day = F.dayofmonth("ts").cast("long")
+    per_event = events.groupBy(F.year("ts").cast("long").alias("calendar_year"),
+                               day.alias("event_id")).agg(F.max("ts").alias("last_ts"))
+    doc = F.struct(
+        F.col("calendar_year"),
+        F.date_format("last_ts", "yyyy-MM-dd").alias("date"),
+        F.col("event_id"),
+        F.concat(F.lit("day_"), F.col("event_id").cast("string")).alias("event_name"),
+        F.lit("yes").alias("sg_categories"),
+        F.lit("yes").alias("traditional_stats"),
+        F.when(F.col("event_id") % 2 == 1, F.lit("pga")).otherwise(F.lit("euro")).alias("tour"))
+    return per_event.select(F.to_json(doc).alias("value"))
