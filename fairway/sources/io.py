@@ -9,25 +9,32 @@ from pyspark.sql import types as T
 from fairway.sources.schemas import FORM_INDEX, ROUNDS, SchemaMismatch, check_schema
 
 
-def write_rounds(rounds: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Rounds dataset partitioned by ``year``; an overwrite replaces only the
-    years present in ``rounds`` (dynamic partition overwrite)."""
+def write_rounds(rounds: DataFrame, root: str, mode: str = "overwrite",
+                 by_event: bool = False) -> None:
+    """Rounds dataset partitioned by ``year`` (and ``event_id`` with
+    ``by_event``: one folder per event, so re-landing an event replaces
+    exactly its rows). Overwrites are dynamic: only partitions present in
+    ``rounds`` are replaced, which makes a retried batch idempotent."""
     spark = rounds.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rounds.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields]) \
-        .repartition("year").write.mode(mode).partitionBy("year").parquet(root)
+    parts = ["year", "event_id"] if by_event else ["year"]
+    typed = rounds.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
+    typed.repartition(*parts).write.mode(mode).partitionBy(*parts).parquet(root)
 
 
 def read_rounds(spark: SparkSession, root: str) -> DataFrame:
     """Scan a rounds dataset with the declared schema, after checking the
-    stored schema (Spark would silently NULL-fill a missing column)."""
-    stored = spark.read.parquet(root)
-    if "year" not in stored.columns:
-        raise SchemaMismatch("missing partition column year")
-    # ``year`` comes from folder names (its inferred type is not the files');
-    # the declared schema below types it.
-    check_schema(stored.drop("year"),
-                 T.StructType([f for f in ROUNDS.fields if f.name != "year"]))
+    stored schema (Spark would silently NULL-fill a missing column).
+    Partition folders (``year``, optionally ``event_id``) are typed by the
+    declaration, not by inference."""
+    discovered = spark.read.parquet(root).columns
+    # the files' own columns: no partition discovery
+    files = spark.read.option("recursiveFileLookup", "true").parquet(root)
+    folders = set(discovered) - set(files.columns)
+    missing = [f.name for f in ROUNDS.fields if f.name not in discovered]
+    if missing:
+        raise SchemaMismatch("missing columns " + ", ".join(missing))
+    check_schema(files, T.StructType([f for f in ROUNDS.fields if f.name not in folders]))
     return spark.read.schema(ROUNDS).parquet(root)
 
 
