@@ -35,7 +35,8 @@ def read_rounds(spark: SparkSession, root: str) -> DataFrame:
     if missing:
         raise SchemaMismatch("missing columns " + ", ".join(missing))
     check_schema(files, T.StructType([f for f in ROUNDS.fields if f.name not in folders]))
-    return spark.read.schema(ROUNDS).parquet(root)
+    # partition columns come last from the reader; restore the declared order
+    return spark.read.schema(ROUNDS).parquet(root).select(*[f.name for f in ROUNDS.fields])
 
 
 def write_form_index(long: DataFrame, root: str, mode: str = "overwrite") -> None:
@@ -49,7 +50,7 @@ def read_form_index(spark: SparkSession, root: str, period: int) -> DataFrame:
     """One period of the rolling index (partition pruning on ``period``)."""
     schema = T.StructType(FORM_INDEX.fields + [T.StructField("period", T.LongType())])
     df = spark.read.schema(schema).parquet(root)
-    return df.filter(F.col("period") == period).drop("period")
+    return df.filter(F.col("period") == period).select(*[f.name for f in FORM_INDEX.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
