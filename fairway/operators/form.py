@@ -62,32 +62,45 @@ def wave_averages(rounds: DataFrame) -> DataFrame:
     return scored.groupBy(*WAVE_KEYS).agg(F.avg("score").alias("wave_average"))
 
 
+def _attach_wave_average(scored: DataFrame) -> DataFrame:
+    """``scored``: rounds with a score and a ``wave`` label."""
+    averages = scored.groupBy(*WAVE_KEYS).agg(F.avg("score").alias("wave_average"))
+    return join_small(scored, averages, list(WAVE_KEYS), "inner")
+
+
 def with_wave_average(rounds: DataFrame) -> DataFrame:
     """Rounds with a score, labelled with their wave and its average."""
     scored = rounds.filter(F.col("score").isNotNull()).withColumn("wave", wave("teetime"))
-    return join_small(scored, wave_averages(rounds), list(WAVE_KEYS), "inner")
+    return _attach_wave_average(scored)
 
 
-def prepare_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
+def scored_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
     """Drop score-less rounds, attach factor* (left: unknown courses keep a
-    NULL factor), the wave and its average."""
+    NULL factor) and the wave label."""
     needed = rounds.select("dg_id", "player_name", "teetime", "year", "event_id", "round",
                            "event_name", "course_num", "score", "sg_total")
-    waved = with_wave_average(needed)
-    return join_small(waved, factors.select("course_num", "course_factor_star"),
+    scored = needed.filter(F.col("score").isNotNull()).withColumn("wave", wave("teetime"))
+    return join_small(scored, factors.select("course_num", "course_factor_star"),
                       ["course_num"], "left")
 
 
+def prepare_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
+    """``scored_rounds`` plus the wave average."""
+    return _attach_wave_average(scored_rounds(rounds, factors))
+
+
 def _block_rows(max_period: int) -> int:
     return max(MIN_BLOCK_ROWS, 64 * max_period)
 
 
 def _frames(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """One row per prepared round with, for each period p, the frame values
-    ``ppi_p, first_p, n_p, sg_p``."""
+    """One row per scored round (``scored_rounds``) with, for each period p,
+    the frame values ``ppi_p, first_p, n_p, sg_p``."""
     max_p = max(periods)
     block = _block_rows(max_p)
-    indexed = global_row_number(prepared, list(ROUND_ORDER), "index")
+    # number first (this writes the ordered rounds once), then take the wave
+    # averages from that frozen copy instead of scanning the source again
+    indexed = _attach_wave_average(global_row_number(prepared, list(ROUND_ORDER), "index"))
     own = F.floor((F.col("index") - 1) / block).cast("long")
     in_tail = ((F.col("index") - 1) % block) >= (block - (max_p - 1))
     targets = F.when(in_tail & F.lit(max_p > 1), F.array(own, own + 1)).otherwise(F.array(own))
@@ -128,7 +141,7 @@ def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25) -> Da
     closes a full window). Output columns follow ``schemas.FORM_INDEX``."""
     if period < 1:
         raise ValueError("period must be >= 1")
-    framed = _frames(prepare_rounds(rounds, factors), [period])
+    framed = _frames(scored_rounds(rounds, factors), [period])
     return _finish(_period_view(framed, period))
 
 
@@ -139,7 +152,7 @@ def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
     periods = sorted(set(int(p) for p in periods))
     if not periods or periods[0] < 1:
         raise ValueError("periods must be >= 1")
-    framed = _frames(prepare_rounds(rounds, factors), periods)
+    framed = _frames(scored_rounds(rounds, factors), periods)
     per = F.explode(F.array(*[
         F.struct(F.lit(p).cast("long").alias("period"),
                  F.col(f"__ppi_{p}").alias("ppi"),

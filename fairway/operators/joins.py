@@ -3,9 +3,12 @@ broadcast, and lineage cuts through the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,11 +19,15 @@ from fairway.session import ensure_checkpoint_dir
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage, so
-    later jobs (and executor loss) never recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and
+    read it back: one job, lineage cut (a lost executor never recomputes
+    it), and later scans read only the columns they need."""
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/fairway-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -49,11 +56,12 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
                max_rows: int | None = None) -> DataFrame:
     """Join ``big`` to a dimension that is expected to be small.
 
-    The small side is materialized once (checkpoint), counted, and broadcast
-    only when its row count is within the limit; otherwise the join is a
-    shuffle join, where AQE still splits hot keys of the big side.
+    The small side (an aggregate of the big data, deterministic) is cached
+    and counted once, and broadcast only when its row count is within the
+    limit; otherwise the join is a shuffle join, where AQE still splits hot
+    keys of the big side.
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
-    small = materialize(small)
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
     fits = small.count() <= limit
     return join_keys(big, small, on, how, broadcast_right=fits)

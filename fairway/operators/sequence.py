@@ -8,10 +8,11 @@ per-partition counts have one row per partition, a proven bound, so they are
 broadcast.
 
 Range boundaries come from sampling, and two scans of the same plan may
-sample differently; the tagged rows are therefore checkpointed to the shared
-checkpoint folder once, and both the counts and the numbering read that
-frozen copy. This also cuts the lineage, so a lost executor never forces a
-re-sort.
+sample differently; the tagged rows (partition id and position stored as
+columns) are therefore written once as a Parquet table in the shared
+checkpoint folder, and both the counts and the numbering read that frozen
+copy. This also cuts the lineage, so a lost executor never forces a re-sort,
+and the counts read a single column.
 """
 
 from __future__ import annotations
@@ -42,7 +43,8 @@ def global_row_number(df: DataFrame, order: Sequence[ColumnOrName], name: str =
     n = _partitions(df, partitions)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = materialize(ranged.select("*", F.spark_partition_id().alias("__pid"),
-                                       F.monotonically_increasing_id().alias("__mid")))
+                                       F.monotonically_increasing_id().alias("__mid")),
+                         "ordered")
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     # At most one row per partition: a single-partition window is fine here.
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

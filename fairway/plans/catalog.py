@@ -99,8 +99,10 @@ def difficulty_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return difficulty.event_difficulty(rounds(spark, sf_dir))
 
 
-def course_factor_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return difficulty.course_factor(difficulty_of(spark, sf_dir))
+def course_factor_of(spark: SparkSession, sf_dir: str, source: DataFrame | None = None
+                     ) -> DataFrame:
+    src = source if source is not None else rounds(spark, sf_dir)
+    return difficulty.course_factor(difficulty.event_difficulty(src))
 
 
 @register("event_difficulty", _with(ROUNDS_SQL, DIFFICULTY_SQL) + """
@@ -188,7 +190,8 @@ def _rolling_sql(periods, with_period=False) -> str:
 
 
 def rolling_of(spark, sf_dir, period):
-    return form.rolling_index(rounds(spark, sf_dir), course_factor_of(spark, sf_dir), period)
+    src = rounds(spark, sf_dir)
+    return form.rolling_index(src, course_factor_of(spark, sf_dir, src), period)
 
 
 def _rolling_query(p):
@@ -206,8 +209,8 @@ MULTI_PERIODS = (10, 25, 50)
 
 @register("rolling_index_multi", _rolling_sql(MULTI_PERIODS, with_period=True))
 def q_rolling_index_multi(spark, sf_dir):
-    return r6(form.rolling_index_multi(rounds(spark, sf_dir), course_factor_of(spark, sf_dir),
-                                       MULTI_PERIODS))
+    src = rounds(spark, sf_dir)
+    return r6(form.rolling_index_multi(src, course_factor_of(spark, sf_dir, src), MULTI_PERIODS))
 
 
 @register("wave_average", _with(ROUNDS_SQL) + """
@@ -228,7 +231,8 @@ SELECT course_num, count(*) AS rounds,
              / coalesce(sum(course_factor_star), 0.0), 9), 6) + 0.0) AS ppi
 FROM waved GROUP BY course_num""")
 def q_weighted_index_by_course(spark, sf_dir):
-    prepared = form.prepare_rounds(rounds(spark, sf_dir), course_factor_of(spark, sf_dir))
+    src = rounds(spark, sf_dir)
+    prepared = form.prepare_rounds(src, course_factor_of(spark, sf_dir, src))
     out = prepared.groupBy("course_num").agg(
         F.count(F.lit(1)).alias("rounds"),
         form.weighted_index(F.col("score"), F.col("wave_average"),
@@ -353,7 +357,8 @@ SELECT c.course_num, c.score, c.rounds,
        {R("log10(1.0 + k.course_factor)")} AS log_course_factor
 FROM counts c LEFT JOIN ranks k ON c.course_num = k.course_num""")
 def q_score_distribution(spark, sf_dir):
-    return r6(reports.score_distribution(rounds(spark, sf_dir), course_factor_of(spark, sf_dir)))
+    src = rounds(spark, sf_dir)
+    return r6(reports.score_distribution(src, course_factor_of(spark, sf_dir, src)))
 
 
 @register("venue_median", _with(ROUNDS_SQL) + """
@@ -607,7 +612,7 @@ def q_csv_roundtrip(spark, sf_dir):
 @register("form_index_sink", _rolling_sql([25]))
 def q_form_index_sink(spark, sf_dir):
     root = scratch_dir(spark, "form-index")
-    long = form.rolling_index_multi(rounds(spark, sf_dir), course_factor_of(spark, sf_dir),
-                                    MULTI_PERIODS)
+    src = rounds(spark, sf_dir)
+    long = form.rolling_index_multi(src, course_factor_of(spark, sf_dir, src), MULTI_PERIODS)
     io.write_form_index(long, root)
     return r6(io.read_form_index(spark, root, 25))
