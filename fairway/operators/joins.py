@@ -30,6 +30,17 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_tables(spark) -> None:
+    """Delete the Parquet tables ``materialize`` wrote in this checkpoint
+    folder. Call only when no DataFrame reading them is used any more."""
+    base = ensure_checkpoint_dir(spark)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/fairway-tables")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
+
+
 def broadcast_limit(df: DataFrame) -> int:
     value = df.sparkSession.conf.get("spark.fairway.broadcastMaxRows", None)
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS

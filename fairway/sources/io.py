@@ -66,3 +66,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
         .option("negativeInf", "-inf")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
+
+
+def write_event_list(events: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Keep the parsed event list as JSON lines (the landed list is fetched once)."""
+    events.write.mode(mode).json(path)
+
+
+def read_event_list_lines(spark: SparkSession, path: str) -> DataFrame:
+    from fairway.sources.schemas import EVENT_LIST
+
+    return spark.read.schema(EVENT_LIST).json(path)
