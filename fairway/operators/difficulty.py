@@ -59,15 +59,23 @@ def course_factor(difficulty: DataFrame) -> DataFrame:
                  sum0("total_rounds")).alias("scoring_average"),
     )
     # Totals over every course: one-row aggregates used as scalar subqueries.
-    all_over = difficulty.agg(sum0("over_80")).scalar()
-    all_sub = difficulty.agg(sum0("sub_70")).scalar()
+    totals = difficulty.agg(sum0("over_80").alias("o"), sum0("sub_70").alias("s"))
+    all_over = totals.select("o").scalar()
+    all_sub = totals.select("s").scalar()
     with_others = by_course.select(
         "course_num", "course_name", "total_over_80", "total_sub_70", "total_rounds",
         "scoring_average",
         (all_over - F.col("total_over_80")).alias("other_over_80"),
         (all_sub - F.col("total_sub_70")).alias("other_sub_70"),
     )
-    factor = F.lit(100) * ieee_div(ieee_div("total_over_80", "total_sub_70"),
-                                   ieee_div("other_over_80", "other_sub_70"))
-    return with_others.withColumn("course_factor", factor).withColumn(
-        "course_factor_star", F.log10(F.lit(1.0) + F.col("course_factor")))
+    # Each ratio is its own column so the IEEE division never repeats the
+    # subquery operands inside its branches.
+    ratios = with_others.select(
+        "*",
+        ieee_div("total_over_80", "total_sub_70").alias("__here"),
+        ieee_div("other_over_80", "other_sub_70").alias("__elsewhere"))
+    factor = ratios.select(
+        *with_others.columns,
+        (F.lit(100) * ieee_div("__here", "__elsewhere")).alias("course_factor"))
+    return factor.withColumn("course_factor_star",
+                             F.log10(F.lit(1.0) + F.col("course_factor")))

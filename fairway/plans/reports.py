@@ -113,12 +113,16 @@ def score_distribution(rounds: DataFrame, factors: DataFrame) -> DataFrame:
     course's rank and factor, and ``log10(1 + factor)``. NULL scores are a
     score group of their own; courses without a factor keep NULLs.
 
-    Counts are pre-aggregated (map-side) before any shuffle; the per-course
-    totals and ranks are small dimensions joined after a size check.
+    Counts are pre-aggregated (map-side) before any shuffle; course totals
+    come from a window over that histogram (one row per distinct score of a
+    course, so a hot course is still a small group); ranks are a small
+    dimension joined after a size check.
     """
+    from pyspark.sql import Window
+
     counts = rounds.groupBy("course_num", "score").agg(F.count(F.lit(1)).alias("rounds"))
-    totals = counts.groupBy("course_num").agg(F.sum("rounds").alias("__course_rounds"))
-    shares = join_small(counts, totals, ["course_num"], "inner")
+    shares = counts.withColumn("__course_rounds",
+                               F.sum("rounds").over(Window.partitionBy("course_num")))
     ranks = venue_rank(factors)
     out = join_small(shares, ranks, ["course_num"], "left")
     return out.select(
