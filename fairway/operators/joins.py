@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from fairway.session import ensure_checkpoint_dir
 
+# Small sides cached by join_small, so a job can release them when done.
+_CACHED: list[DataFrame] = []
+
 # Rows above which a "small" side is joined by shuffle instead of broadcast.
 # Settable per session with spark.fairway.broadcastMaxRows.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
@@ -41,6 +44,13 @@ def release_tables(spark) -> None:
         fs.delete(path, True)
 
 
+def release_cached() -> None:
+    """Unpersist the small sides cached by ``join_small`` (call after the
+    queries that use them have run, e.g. at the end of a micro-batch)."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
 def broadcast_limit(df: DataFrame) -> int:
     value = df.sparkSession.conf.get("spark.fairway.broadcastMaxRows", None)
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
@@ -74,5 +84,6 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(small)
     fits = small.count() <= limit
     return join_keys(big, small, on, how, broadcast_right=fits)

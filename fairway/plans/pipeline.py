@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fairway.operators.difficulty import course_factor, event_difficulty
 from fairway.operators.form import rolling_index_multi
-from fairway.operators.joins import materialize, release_tables
+from fairway.operators.joins import materialize, release_cached, release_tables
 from fairway.plans import reports
 from fairway.sources import io
 
@@ -40,6 +40,7 @@ def run_metrics(spark: SparkSession, rounds_root: str, out_root: str,
     long = long.sortWithinPartitions(F.col("dg_id").desc(), F.col("player_name").desc(),
                                      F.col("teetime").desc())
     io.write_form_index(long, f"{out_root}/form_index")
+    release_cached()
     release_tables(spark)
     return {"pti": f"{out_root}/pti", "course_factor": f"{out_root}/course_factor",
             "form_index": f"{out_root}/form_index"}

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from fairway.operators.joins import release_cached
 from fairway.sources import ingest, io
 from fairway.sources.schemas import EVENT_PAYLOAD
 
@@ -41,6 +42,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, events: DataFrame, round
         spark_.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         result.quarantine.write.mode("overwrite").partitionBy("year", "event_id") \
             .parquet(quarantine_root)
+        release_cached()
 
     writer = landing_stream(spark, landing_dir, max_files_per_trigger).writeStream \
         .foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
