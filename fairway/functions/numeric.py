@@ -20,7 +20,9 @@ def _col(c: ColumnOrName) -> Column:
 
 def ieee_div(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
     """``numerator / denominator`` as doubles with IEEE results for a zero
-    denominator; NULL in either operand gives NULL."""
+    denominator; NULL in either operand gives NULL. A zero denominator is
+    taken as +0 (the denominators here are counts and sums of non-negative
+    weights, which are never -0.0)."""
     a = _col(numerator).cast("double")
     b = _col(denominator).cast("double")
     zero = b == F.lit(0.0)
