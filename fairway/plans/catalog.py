@@ -616,3 +616,15 @@ def q_form_index_sink(spark, sf_dir):
     long = form.rolling_index_multi(src, course_factor_of(spark, sf_dir, src), MULTI_PERIODS)
     io.write_form_index(long, root)
     return r6(io.read_form_index(spark, root, 25))
+
+
+@register("score_share_rows", _with(ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, RANKS_SQL) + f"""
+SELECT {ROUNDS_COLS.replace("teetime", "r.teetime").replace(", course_num,", ", r.course_num,")},
+       k.rank, {R("k.course_factor")} AS course_factor,
+       {R("(CAST(count(*) OVER (PARTITION BY r.score, r.course_num) AS DOUBLE) / "
+          "count(*) OVER (PARTITION BY r.course_num)) * 100.0")} AS count,
+       {R("log10(1.0 + k.course_factor)")} AS log_course_factor
+FROM rounds r LEFT JOIN ranks k ON r.course_num = k.course_num""")
+def q_score_share_rows(spark, sf_dir):
+    src = rounds(spark, sf_dir)
+    return r6(reports.score_share_rows(src, course_factor_of(spark, sf_dir, src)))

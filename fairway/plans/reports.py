@@ -132,6 +132,23 @@ def score_distribution(rounds: DataFrame, factors: DataFrame) -> DataFrame:
         F.log10(F.lit(1.0) + F.col("course_factor")).alias("log_course_factor"))
 
 
+def score_share_rows(rounds: DataFrame, factors: DataFrame) -> DataFrame:
+    """Every round with ``count`` (percent of its course's rounds that had
+    the same score), its course's rank and factor, and ``log10(1 + factor)``
+    — the row-level frame behind the score-distribution chart.
+
+    The shares come from the pre-aggregated histogram (bounded by courses x
+    distinct scores) joined back after a size check, instead of two window
+    counts over each course, which would put a hot course in one task.
+    """
+    shares = score_distribution(rounds, factors).select(
+        "course_num", "score", F.col("pct_of_rounds").alias("count"))
+    with_share = join_small(rounds, shares, ["course_num", "score"], "left")
+    ranks = venue_rank(factors).select("course_num", "rank", "course_factor")
+    out = join_small(with_share, ranks, ["course_num"], "left")
+    return out.withColumn("log_course_factor", F.log10(F.lit(1.0) + F.col("course_factor")))
+
+
 def venue_median(rounds: DataFrame) -> DataFrame:
     """Exact median score per course (mean of the two middle values for an
     even count), from a per-course score histogram: the values of a hot

@@ -105,3 +105,16 @@ def test_year_as_text(spark):
     out = reports.year_as_text(difficulty_rows(spark))
     assert dict(out.dtypes)["year"] == "string"
     assert out.filter(F.col("year") == "2022").count() == 2
+
+
+def test_score_share_rows(spark):
+    rows = [dict(course_num=c, score=s) for c, s in
+            [(1, 70), (1, 70), (1, 72), (1, None), (3, 66)]]
+    r = make_rounds(spark, rows)
+    cf = spark.createDataFrame([(1, 3.0)], "course_num long, course_factor double")
+    out = reports.score_share_rows(r, cf).collect()
+    assert len(out) == 5                      # every round kept
+    by = {(x.course_num, x.score): x for x in out}
+    assert same(by[(1, 70)]["count"], 50.0) and same(by[(1, None)]["count"], 25.0)
+    assert by[(1, 72)]["rank"] == 1 and by[(3, 66)]["rank"] is None
+    assert same(by[(3, 66)]["count"], 100.0)
