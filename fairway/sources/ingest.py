@@ -49,9 +49,11 @@ def read_event_list(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EVENT_LIST).option("multiLine", True).json(path)
 
 
-def read_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """Landed per-event payload files (one JSON object per file)."""
-    return spark.read.schema(EVENT_PAYLOAD).option("multiLine", True).json(path)
+def read_payloads(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Landed per-event payload files: one (pretty-printed) JSON object per
+    file, or with ``multi_line=False`` JSON Lines (one document per line),
+    which Spark splits across tasks within a file."""
+    return spark.read.schema(EVENT_PAYLOAD).option("multiLine", multi_line).json(path)
 
 
 def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:

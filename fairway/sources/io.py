@@ -19,7 +19,9 @@ def write_rounds(rounds: DataFrame, root: str, mode: str = "overwrite",
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     parts = ["year", "event_id"] if by_event else ["year"]
     typed = rounds.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
-    typed.repartition(*parts).write.mode(mode).partitionBy(*parts).parquet(root)
+    # rebalance (not repartition) on the folder columns: AQE splits a hot year
+    # over several tasks and merges small ones, so no task writes a whole year
+    typed.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(root)
 
 
 def read_rounds(spark: SparkSession, root: str) -> DataFrame:
@@ -43,7 +45,7 @@ def write_form_index(long: DataFrame, root: str, mode: str = "overwrite") -> Non
     """Rolling index for all periods, one folder per ``period``."""
     spark = long.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    long.repartition("period").write.mode(mode).partitionBy("period").parquet(root)
+    long.hint("rebalance", "period").write.mode(mode).partitionBy("period").parquet(root)
 
 
 def read_form_index(spark: SparkSession, root: str, period: int) -> DataFrame:

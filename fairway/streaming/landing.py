@@ -20,9 +20,11 @@ from fairway.sources.schemas import EVENT_PAYLOAD
 
 
 def landing_stream(spark: SparkSession, landing_dir: str,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of payload documents (one JSON object per file)."""
-    reader = spark.readStream.schema(EVENT_PAYLOAD).option("multiLine", True)
+                   max_files_per_trigger: int | None = None,
+                   multi_line: bool = True) -> DataFrame:
+    """Stream of payload documents (one JSON object per file, or JSON Lines
+    with ``multi_line=False``)."""
+    reader = spark.readStream.schema(EVENT_PAYLOAD).option("multiLine", multi_line)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir)
@@ -31,7 +33,8 @@ def landing_stream(spark: SparkSession, landing_dir: str,
 def start_ingest(spark: SparkSession, landing_dir: str, events: DataFrame, rounds_root: str,
                  quarantine_root: str, checkpoint_location: str, *, available_now: bool = True,
                  processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None,
+                 multi_line: bool = True) -> StreamingQuery:
     """Start the incremental ingest. ``events`` is the (static) event list,
     already filtered to the tour of interest."""
 
@@ -44,7 +47,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, events: DataFrame, round
             .parquet(quarantine_root)
         release_cached()
 
-    writer = landing_stream(spark, landing_dir, max_files_per_trigger).writeStream \
+    writer = landing_stream(spark, landing_dir, max_files_per_trigger, multi_line).writeStream \
         .foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)

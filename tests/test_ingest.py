@@ -141,3 +141,11 @@ def test_course_dimension(spark):
         "location string")
     out = ingest.course_dimension(schedule, events(spark)).collect()
     assert [(r.course_name, r.course_num) for r in out] == [("Torrey Pines (South)", 744)]
+
+
+def test_json_lines_payloads(spark, tmp_path):
+    lines = "\n".join(json.dumps(payload(c)) for c in ("2021-06-20", "2021-06-16"))
+    (tmp_path / "batch.jsonl").write_text(lines + "\n")
+    res = ingest.rounds_from_payloads(
+        ingest.read_payloads(spark, str(tmp_path), multi_line=False), events(spark))
+    assert res.rounds.count() == 4 and res.quarantine.count() == 4
