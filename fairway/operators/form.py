@@ -36,6 +36,10 @@ WAVE_KEYS = ("event_id", "year", "round", "wave")
 ROUND_ORDER = ("dg_id", "teetime", "year", "event_id", "round", "player_name", "course_num",
                "score")
 MIN_BLOCK_ROWS = 1 << 16
+# Largest player (rows) allowed to be framed whole in one task; above it the
+# range-partitioned block/halo plan is used. Session setting:
+# spark.fairway.maxWindowGroupRows.
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
 OUTPUT_COLUMNS = ("dg_id", "player_name", "ppi", "teetime", "first_tee_time_in_group",
                   "sg_total", "score", "event_name", "wave_average", "course_factor_star")
@@ -93,9 +97,70 @@ def _block_rows(max_period: int) -> int:
     return max(MIN_BLOCK_ROWS, 64 * max_period)
 
 
-def _frames(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
+def _with_frames(df: DataFrame, base: Window, periods: Sequence[int]) -> DataFrame:
+    """Add ``__ppi_p, __first_p, __n_p, __sg_p`` for each period. The frame
+    sums are plain window columns; the IEEE division runs in a projection
+    above the Window, so no window expression is repeated inside its
+    branches."""
+    gain = (F.col("wave_average") - F.col("score")) * F.col("course_factor_star")
+    sums = []
+    for p in periods:
+        w = base.rangeBetween(-(p - 1), 0)
+        sums += [
+            F.sum(gain).over(w).alias(f"__num_{p}"),
+            F.sum("course_factor_star").over(w).alias(f"__den_{p}"),
+            F.first("teetime").over(w).alias(f"__first_{p}"),
+            F.count(F.lit(1)).over(w).alias(f"__n_{p}"),
+            F.avg("sg_total").over(w).alias(f"__sg_{p}"),
+        ]
+    framed = df.select("*", *sums)
+    ratios = [ieee_div(F.coalesce(F.col(f"__num_{p}"), F.lit(0.0)),
+                       F.coalesce(F.col(f"__den_{p}"), F.lit(0.0))).alias(f"__ppi_{p}")
+              for p in periods]
+    return framed.select("*", *ratios)
+
+
+def max_group_rows(spark) -> int:
+    value = spark.conf.get("spark.fairway.maxWindowGroupRows", None)
+    return int(value) if value else DEFAULT_MAX_GROUP_ROWS
+
+
+def largest_player(prepared: DataFrame) -> int:
+    """Rows of the biggest player (partial aggregation; one number to the driver)."""
+    biggest = prepared.groupBy("dg_id").count().agg(F.max("count")).first()[0]
+    return int(biggest or 0)
+
+
+def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None = None
+            ) -> DataFrame:
     """One row per scored round (``scored_rounds``) with, for each period p,
-    the frame values ``ppi_p, first_p, n_p, sg_p``."""
+    the frame values ``ppi_p, first_p, n_p, sg_p``.
+
+    ``skew_safe=None`` decides from the data: players up to
+    ``spark.fairway.maxWindowGroupRows`` rows are framed whole (one hash
+    exchange on the player); a bigger player switches to the block/halo plan.
+    """
+    if skew_safe is None:
+        skew_safe = largest_player(prepared) > max_group_rows(prepared.sparkSession)
+    if skew_safe:
+        return _frames_blocked(prepared, periods)
+    return _frames_by_player(prepared, periods)
+
+
+def _frames_by_player(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Bounded players: per-player row number (index differences inside a
+    player equal those of the global index) and frames in the same
+    partitioning — one exchange on ``dg_id``."""
+    order = Window.partitionBy("dg_id").orderBy(*ROUND_ORDER[1:])
+    indexed = _attach_wave_average(prepared).withColumn(
+        "index", F.row_number().over(order).cast("long"))
+    base = Window.partitionBy("dg_id", "player_name").orderBy("index")
+    return _with_frames(indexed, base, periods)
+
+
+def _frames_blocked(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Any skew: global row number from range partitioning, frames in index
+    blocks with a ``p-1`` row halo (no group above ``block + p - 1`` rows)."""
     max_p = max(periods)
     block = _block_rows(max_p)
     # number first (this writes the ordered rounds once), then take the wave
@@ -106,17 +171,7 @@ def _frames(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
     targets = F.when(in_tail & F.lit(max_p > 1), F.array(own, own + 1)).otherwise(F.array(own))
     spread = indexed.select("*", own.alias("__own"), F.explode(targets).alias("__blk"))
     base = Window.partitionBy("dg_id", "player_name", "__blk").orderBy("index")
-    cols = []
-    for p in periods:
-        w = base.rangeBetween(-(p - 1), 0)
-        cols += [
-            weighted_index(F.col("score"), F.col("wave_average"), F.col("course_factor_star"),
-                           over=w).alias(f"__ppi_{p}"),
-            F.first("teetime").over(w).alias(f"__first_{p}"),
-            F.count(F.lit(1)).over(w).alias(f"__n_{p}"),
-            F.avg("sg_total").over(w).alias(f"__sg_{p}"),
-        ]
-    framed = spread.select("*", *cols)
+    framed = _with_frames(spread, base, periods)
     # halo copies only feed the next block's frames
     return framed.filter(F.col("__blk") == F.col("__own"))
 
@@ -136,23 +191,27 @@ def _period_view(framed: DataFrame, p: int) -> DataFrame:
         "score", "event_name", "wave_average", "course_factor_star")
 
 
-def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25) -> DataFrame:
+def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25,
+                  skew_safe: bool | None = None) -> DataFrame:
     """Rolling form index over ``period`` rounds (one row per round that
-    closes a full window). Output columns follow ``schemas.FORM_INDEX``."""
+    closes a full window). Output columns follow ``schemas.FORM_INDEX``.
+    ``skew_safe``: force (True) or skip (False) the block/halo plan; by
+    default it is chosen from the largest player's size."""
     if period < 1:
         raise ValueError("period must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), [period])
+    framed = _frames(scored_rounds(rounds, factors), [period], skew_safe)
     return _finish(_period_view(framed, period))
 
 
 def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
-                        periods: Sequence[int] = (25, 50, 75, 100)) -> DataFrame:
+                        periods: Sequence[int] = (25, 50, 75, 100),
+                        skew_safe: bool | None = None) -> DataFrame:
     """All periods in one pass (one index, one window exchange), stacked long
     with a ``period`` column. Each period equals ``rolling_index`` alone."""
     periods = sorted(set(int(p) for p in periods))
     if not periods or periods[0] < 1:
         raise ValueError("periods must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), periods)
+    framed = _frames(scored_rounds(rounds, factors), periods, skew_safe)
     per = F.explode(F.array(*[
         F.struct(F.lit(p).cast("long").alias("period"),
                  F.col(f"__ppi_{p}").alias("ppi"),

@@ -130,7 +130,8 @@ def skewed_rows():
     return rows
 
 
-def test_blocks_and_halo_match_brute_force(spark, skewed_rows, monkeypatch):
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_both_plans_match_brute_force(spark, skewed_rows, monkeypatch, skew_safe):
     # tiny blocks force many block boundaries (halo copies) inside hot players
     monkeypatch.setattr(form, "MIN_BLOCK_ROWS", 16)
     monkeypatch.setattr(form, "_block_rows", lambda p: 16)
@@ -138,7 +139,8 @@ def test_blocks_and_halo_match_brute_force(spark, skewed_rows, monkeypatch):
     df = make_rounds(spark, skewed_rows)
     for period in (3, 10):
         want = brute_force([dict(r) for r in skewed_rows], cf, period)
-        got = form.rolling_index(df, factors(spark, list(cf.items())), period).collect()
+        got = form.rolling_index(df, factors(spark, list(cf.items())), period,
+                                 skew_safe=skew_safe).collect()
         assert len(got) == len(want)
         for r in got:
             ppi, sg = want[(r.dg_id, r.teetime)]
@@ -174,3 +176,20 @@ def test_weighted_index_in_groupby(spark):
     out = {r.g: r.ppi for r in prepared.groupBy("g").agg(form.weighted_index(
         F.col("score"), F.col("wave_average"), F.col("cf")).alias("ppi")).collect()}
     assert same(out[1], (2 * 2.0 - 2 * 1.0) / 3.0) and math.isnan(out[2])
+
+
+def test_plan_choice_follows_largest_player(spark, skewed_rows):
+    df = make_rounds(spark, skewed_rows)
+    cf = factors(spark, [(1, 0.5), (2, 1.0), (3, 2.0), (4, 0.0)])
+    prepared = form.scored_rounds(df, cf)
+    assert form.largest_player(prepared) == 300 - sum(
+        1 for i, r in enumerate(skewed_rows) if r["dg_id"] == 1 and r["score"] is None)
+    spark.conf.set("spark.fairway.maxWindowGroupRows", "50")
+    try:
+        blocked = form.rolling_index(df, cf, 10)
+        assert "rangepartitioning" not in form.rolling_index(df, cf, 10, skew_safe=False) \
+            ._jdf.queryExecution().executedPlan().toString()
+        by_player = form.rolling_index(df, cf, 10, skew_safe=False)
+        assert sorted(blocked.collect()) == sorted(by_player.collect())
+    finally:
+        spark.conf.unset("spark.fairway.maxWindowGroupRows")
