@@ -79,11 +79,14 @@ def pga_events(events: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- transforms
 def unpivot_rounds(payloads: DataFrame) -> DataFrame:
     """One row per (event payload, player, present round)."""
+    # explode_outer + an explicit NULL filter: the same rows as explode, but
+    # Catalyst does not infer a size(scores) > 0 filter that it would push
+    # below an exchange (re-parsing every document there)
     players = payloads.select(
         F.col("event_id").cast("long").alias("event_id"),
         F.col("year").alias("payload_year"),
         F.col("event_completed"),
-        F.explode("scores").alias("p"))
+        F.explode_outer("scores").alias("p")).filter(F.col("p").isNotNull())
     rounds = players.select(
         "event_id", "payload_year", "event_completed",
         F.col("p.dg_id").alias("dg_id"),

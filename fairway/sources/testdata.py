@@ -125,7 +125,12 @@ def payload_documents(events: DataFrame) -> DataFrame:
     Monday rows are valid and the rest are quarantined. Sign-ups have no tee
     time (midnight); errors of users with ``user_id % 7 = 3`` carry a
     malformed tee time.
+
+    Real documents land as many files, which Spark reads in parallel; the
+    driver's table is a single row group, so the generated documents are
+    spread round-robin over the shuffle partitions to stand for that.
     """
+    events = events.repartition(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     r = dict(zip([f.name for f in ROUNDS.fields], round_columns()))
     rnd = F.col("event_id") % 4 + 1
     tee = (F.when(F.col("event_type") == "signup", F.lit(None).cast("string"))
