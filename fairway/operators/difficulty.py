@@ -74,8 +74,6 @@ def course_factor(difficulty: DataFrame) -> DataFrame:
         "*",
         ieee_div("total_over_80", "total_sub_70").alias("__here"),
         ieee_div("other_over_80", "other_sub_70").alias("__elsewhere"))
-    factor = ratios.select(
-        *with_others.columns,
-        (F.lit(100) * ieee_div("__here", "__elsewhere")).alias("course_factor"))
-    return factor.withColumn("course_factor_star",
-                             F.log10(F.lit(1.0) + F.col("course_factor")))
+    factor = F.lit(100) * ieee_div("__here", "__elsewhere")
+    return ratios.select(*with_others.columns, factor.alias("course_factor"),
+                         F.log10(F.lit(1.0) + factor).alias("course_factor_star"))

@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 
 from fairway.functions.numeric import ieee_div
 from fairway.functions.rules import category, wave
-from fairway.operators.joins import join_small
+from pyspark import StorageLevel
+
+from fairway.operators import joins
+from fairway.operators.joins import join_keys, join_small
 from fairway.operators.sequence import global_row_number
 
 WAVE_KEYS = ("event_id", "year", "round", "wave")
@@ -74,16 +77,16 @@ def _attach_wave_average(scored: DataFrame) -> DataFrame:
 
 def with_wave_average(rounds: DataFrame) -> DataFrame:
     """Rounds with a score, labelled with their wave and its average."""
-    scored = rounds.filter(F.col("score").isNotNull()).withColumn("wave", wave("teetime"))
+    scored = rounds.filter(F.col("score").isNotNull()).select("*", wave("teetime").alias("wave"))
     return _attach_wave_average(scored)
 
 
 def scored_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
     """Drop score-less rounds, attach factor* (left: unknown courses keep a
     NULL factor) and the wave label."""
-    needed = rounds.select("dg_id", "player_name", "teetime", "year", "event_id", "round",
-                           "event_name", "course_num", "score", "sg_total")
-    scored = needed.filter(F.col("score").isNotNull()).withColumn("wave", wave("teetime"))
+    scored = rounds.filter(F.col("score").isNotNull()).select(
+        "dg_id", "player_name", "teetime", "year", "event_id", "round", "event_name",
+        "course_num", "score", "sg_total", wave("teetime").alias("wave"))
     return join_small(scored, factors.select("course_num", "course_factor_star"),
                       ["course_num"], "left")
 
@@ -131,6 +134,32 @@ def largest_player(prepared: DataFrame) -> int:
     return int(biggest or 0)
 
 
+def _grouping_id(cols: Sequence[str], grouped: Sequence[str]) -> int:
+    """``grouping_id()`` of a grouping set: one bit per column, first column
+    most significant, set when the column is not grouped."""
+    n = len(cols)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(cols) if c not in grouped)
+
+
+def wave_table_and_largest_player(prepared: DataFrame):
+    """One pass over the rounds (grouping sets) for both the wave averages and
+    the rows per player; returns (wave table, wave table fits a broadcast,
+    rows of the largest player). Only two small statistics reach the driver."""
+    keys = list(WAVE_KEYS)
+    cols = keys + ["dg_id"]
+    combo = prepared.groupingSets([keys, ["dg_id"]], *cols).agg(
+        F.avg("score").alias("wave_average"), F.count(F.lit(1)).alias("__n"),
+        F.grouping_id().alias("__g")).persist(StorageLevel.MEMORY_AND_DISK)
+    joins._CACHED.append(combo)
+    wave_g, player_g = _grouping_id(cols, keys), _grouping_id(cols, ["dg_id"])
+    stats = {r["__g"]: r for r in combo.groupBy("__g").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("__n").alias("biggest")).collect()}
+    waves = combo.filter(F.col("__g") == wave_g).select(*keys, "wave_average")
+    wave_rows = stats[wave_g]["rows"] if wave_g in stats else 0
+    largest = stats[player_g]["biggest"] if player_g in stats else 0
+    return waves, wave_rows <= joins.broadcast_limit(prepared), int(largest or 0)
+
+
 def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None = None
             ) -> DataFrame:
     """One row per scored round (``scored_rounds``) with, for each period p,
@@ -140,32 +169,35 @@ def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None
     ``spark.fairway.maxWindowGroupRows`` rows are framed whole (one hash
     exchange on the player); a bigger player switches to the block/halo plan.
     """
+    waves, fits, largest = wave_table_and_largest_player(prepared)
+
+    def attach(df: DataFrame) -> DataFrame:
+        return join_keys(df, waves, list(WAVE_KEYS), "inner", broadcast_right=fits)
+
     if skew_safe is None:
-        skew_safe = largest_player(prepared) > max_group_rows(prepared.sparkSession)
+        skew_safe = largest > max_group_rows(prepared.sparkSession)
     if skew_safe:
-        return _frames_blocked(prepared, periods)
-    return _frames_by_player(prepared, periods)
+        return _frames_blocked(prepared, periods, attach)
+    return _frames_by_player(prepared, periods, attach)
 
 
-def _frames_by_player(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
+def _frames_by_player(prepared: DataFrame, periods: Sequence[int], attach) -> DataFrame:
     """Bounded players: per-player row number (index differences inside a
     player equal those of the global index) and frames in the same
     partitioning — one exchange on ``dg_id``."""
     order = Window.partitionBy("dg_id").orderBy(*ROUND_ORDER[1:])
-    indexed = _attach_wave_average(prepared).withColumn(
-        "index", F.row_number().over(order).cast("long"))
+    indexed = attach(prepared).select(
+        "*", F.row_number().over(order).cast("long").alias("index"))
     base = Window.partitionBy("dg_id", "player_name").orderBy("index")
     return _with_frames(indexed, base, periods)
 
 
-def _frames_blocked(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
+def _frames_blocked(prepared: DataFrame, periods: Sequence[int], attach) -> DataFrame:
     """Any skew: global row number from range partitioning, frames in index
     blocks with a ``p-1`` row halo (no group above ``block + p - 1`` rows)."""
     max_p = max(periods)
     block = _block_rows(max_p)
-    # number first (this writes the ordered rounds once), then take the wave
-    # averages from that frozen copy instead of scanning the source again
-    indexed = _attach_wave_average(global_row_number(prepared, list(ROUND_ORDER), "index"))
+    indexed = attach(global_row_number(prepared, list(ROUND_ORDER), "index"))
     own = F.floor((F.col("index") - 1) / block).cast("long")
     in_tail = ((F.col("index") - 1) % block) >= (block - (max_p - 1))
     targets = F.when(in_tail & F.lit(max_p > 1), F.array(own, own + 1)).otherwise(F.array(own))
@@ -177,8 +209,8 @@ def _frames_blocked(prepared: DataFrame, periods: Sequence[int]) -> DataFrame:
 
 
 def _finish(df: DataFrame) -> DataFrame:
-    return df.select(*OUTPUT_COLUMNS).withColumn("category", category("ppi", "sg_total")) \
-        .withColumn("ppi_sg_diff", F.col("ppi") - F.col("sg_total"))
+    return df.select(*OUTPUT_COLUMNS, category("ppi", "sg_total").alias("category"),
+                     (F.col("ppi") - F.col("sg_total")).alias("ppi_sg_diff"))
 
 
 def _period_view(framed: DataFrame, p: int) -> DataFrame:
@@ -227,5 +259,5 @@ def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
         F.col("__p.first_tee_time_in_group").alias("first_tee_time_in_group"),
         F.col("__p.sg_total").alias("sg_total"),
         "score", "event_name", "wave_average", "course_factor_star")
-    return long.withColumn("category", category("ppi", "sg_total")) \
-        .withColumn("ppi_sg_diff", F.col("ppi") - F.col("sg_total"))
+    return long.select("*", category("ppi", "sg_total").alias("category"),
+                       (F.col("ppi") - F.col("sg_total")).alias("ppi_sg_diff"))

@@ -62,9 +62,9 @@ def join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     group of its own, as in the grouping that produced ``right``). Right-side
     keys are renamed first so a right side derived from ``left`` never makes
     the references ambiguous."""
-    renamed = right
-    for key in on:
-        renamed = renamed.withColumnRenamed(key, f"__r_{key}")
+    keys = set(on)
+    renamed = right.select([F.col(c).alias(f"__r_{c}") if c in keys else F.col(c)
+                            for c in right.columns])
     if broadcast_right:
         renamed = F.broadcast(renamed)
     cond = reduce(lambda a, b: a & b,
