@@ -1,16 +1,20 @@
 """Event difficulty (high/low round ratio) and the course factor.
 
-Both are plain partial+final hash aggregations. The course factor needs the
-totals over all courses; they enter as uncorrelated scalar subqueries
-(computed once, inlined as literals), so no join and no single-partition
-window is involved.
+Both are plain partial+final aggregations. The course factor needs the
+totals over all courses; they enter as one uncorrelated scalar subquery
+(computed once, inlined as a literal), so no join and no single-partition
+window is involved. The per-course table (one row per course) is cached, so
+the subquery reads it instead of scanning the rounds a second time.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fairway.operators import joins
+
 from fairway.functions.numeric import ieee_div, round_half_even, sum0
 from fairway.functions.rules import HIGH_SCORE, LOW_SCORE, is_major
 
@@ -58,10 +62,12 @@ def course_factor(difficulty: DataFrame) -> DataFrame:
         ieee_div(F.coalesce(F.sum(F.col("scoring_average") * F.col("total_rounds")), F.lit(0.0)),
                  sum0("total_rounds")).alias("scoring_average"),
     )
-    # Totals over every course: one-row aggregates used as scalar subqueries.
-    totals = difficulty.agg(sum0("over_80").alias("o"), sum0("sub_70").alias("s"))
-    all_over = totals.select("o").scalar()
-    all_sub = totals.select("s").scalar()
+    by_course = by_course.persist(StorageLevel.MEMORY_AND_DISK)
+    joins._CACHED.append(by_course)
+    # Totals over every course: one scalar subquery returning both sums.
+    totals = by_course.agg(F.struct(sum0("total_over_80").alias("o"),
+                                    sum0("total_sub_70").alias("s"))).scalar()
+    all_over, all_sub = totals.getField("o"), totals.getField("s")
     with_others = by_course.select(
         "course_num", "course_name", "total_over_80", "total_sub_70", "total_rounds",
         "scoring_average",
