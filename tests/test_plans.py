@@ -50,3 +50,15 @@ def test_latest_per_player_is_an_aggregate(spark):
     long = form.rolling_index(rounds(spark, SF001), course_factor_of(spark, SF001), 10)
     p = plan(reports.latest_per_player(long).filter(F.lit(True)))
     assert "max_by" in p
+
+
+def test_score_filter_pushed_on_stored_rounds(spark, tmp_path):
+    from fairway.sources import io
+
+    io.write_rounds(rounds(spark, SF001), str(tmp_path / "r"))
+    stored = io.read_rounds(spark, str(tmp_path / "r"))
+    scored = form.scored_rounds(stored, course_factor_of(spark, SF001))
+    p = plan(scored)
+    assert "PushedFilters: [IsNotNull(score)]" in p
+    scan = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
+    assert "sg_app" not in scan and "course_par" not in scan   # pruned columns
