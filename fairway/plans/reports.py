@@ -6,8 +6,6 @@ limit appears only where the report is a top-k.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,10 +174,10 @@ def venue_median(rounds: DataFrame) -> DataFrame:
 def _in_year(ts: str, year: int):
     """Calendar-year test written as a half-open range so it reaches the
     Parquet reader as a pushed filter (``year(ts) = k`` does not)."""
-    start = _dt.datetime(year, 1, 1)
-    end = _dt.datetime(year + 1, 1, 1)
-    return (F.col(ts) >= F.lit(start).cast("timestamp_ntz")) & (
-        F.col(ts) < F.lit(end).cast("timestamp_ntz"))
+    # bounds from text: no Python local-time or session-zone conversion
+    start = F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    end = F.lit(f"{year + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return (F.col(ts) >= start) & (F.col(ts) < end)
 
 
 def no_impact_rounds(form: DataFrame, year: int) -> DataFrame:
