@@ -8,11 +8,14 @@ where the wave average is the mean score of the event round's morning or
 afternoon wave and factor* the log course factor. Rows without a full window
 (fewer than ``p`` rounds) are dropped.
 
-Plan, chosen for skew: wave averages are a partial+final ``groupBy`` joined
-back (no window over a possibly huge wave); the round order is a global row
-number built from range partitioning (a hot player is split across tasks);
-frames are evaluated in fixed-size blocks of that index, each block carrying
-the ``p-1`` preceding rows as a halo, so no window group is larger than
+Plan, chosen for skew: one grouping-sets aggregate yields the wave averages
+(joined back after a size check; no window over a possibly huge wave) and
+the rows per player. When the largest player is within
+``spark.fairway.maxWindowGroupRows`` the frames run in one hash exchange on
+the player. Otherwise the round order is a global row number built from
+range partitioning (a hot player is split across tasks) and frames are
+evaluated in fixed-size blocks of that index, each block carrying the
+``p-1`` preceding rows as a halo, so no window group is larger than
 ``block + p - 1`` rows. The frame is RANGE over the index within
 (dg_id, player_name): a player id with interleaved names only sees rows of
 the same name whose index is within the last ``p`` positions.
@@ -22,13 +25,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairway.functions.numeric import ieee_div
 from fairway.functions.rules import category, wave
-from pyspark import StorageLevel
-
 from fairway.operators import joins
 from fairway.operators.joins import join_keys, join_small
 from fairway.operators.sequence import global_row_number
@@ -63,16 +65,19 @@ def weighted_index(score: Column, wave_average: Column, factor: Column,
     return ieee_div(F.coalesce(gain, F.lit(0.0)), F.coalesce(weight, F.lit(0.0)))
 
 
+def _wave_table(scored: DataFrame) -> DataFrame:
+    return scored.groupBy(*WAVE_KEYS).agg(F.avg("score").alias("wave_average"))
+
+
 def wave_averages(rounds: DataFrame) -> DataFrame:
     """Mean score per (event, year, round, wave) over rounds with a score."""
-    scored = rounds.filter(F.col("score").isNotNull()).withColumn("wave", wave("teetime"))
-    return scored.groupBy(*WAVE_KEYS).agg(F.avg("score").alias("wave_average"))
+    return _wave_table(rounds.filter(F.col("score").isNotNull())
+                       .select("*", wave("teetime").alias("wave")))
 
 
 def _attach_wave_average(scored: DataFrame) -> DataFrame:
     """``scored``: rounds with a score and a ``wave`` label."""
-    averages = scored.groupBy(*WAVE_KEYS).agg(F.avg("score").alias("wave_average"))
-    return join_small(scored, averages, list(WAVE_KEYS), "inner")
+    return join_small(scored, _wave_table(scored), list(WAVE_KEYS), "inner")
 
 
 def with_wave_average(rounds: DataFrame) -> DataFrame:
