@@ -27,12 +27,6 @@ from fairway.operators.joins import materialize
 ColumnOrName = Column | str
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def global_row_number(df: DataFrame, order: Sequence[ColumnOrName], name: str = "index",
                       partitions: int | None = None) -> DataFrame:
     """Add ``name``: the 1-based position of each row in ``order``.
@@ -40,8 +34,11 @@ def global_row_number(df: DataFrame, order: Sequence[ColumnOrName], name: str =
     ``order`` should be a total order (add tie-breaks) so the numbering is
     deterministic across task retries.
     """
-    n = _partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count AQE may merge adjacent small range partitions
+    # (still a range partitioning, and positions are frozen right after), so
+    # a small input does not fan out to every shuffle partition.
+    ranged = (df.repartitionByRange(partitions, *order) if partitions
+              else df.repartitionByRange(*order)).sortWithinPartitions(*order)
     tagged = materialize(ranged.select("*", F.spark_partition_id().alias("__pid"),
                                        F.monotonically_increasing_id().alias("__mid")),
                          "ordered")
