@@ -29,12 +29,22 @@ def event_difficulty(rounds: DataFrame) -> DataFrame:
     ``x/0`` stays ``inf`` (kept); ``0/0`` is NaN and the row is dropped, as
     is any row whose mean is NaN.
     """
-    agg = rounds.groupBy(*EVENT_KEYS).agg(
+    return difficulty_from_counts(rounds.groupBy(*EVENT_KEYS).agg(*event_count_columns()))
+
+
+def event_count_columns() -> list:
+    """The per-event aggregates (usable in any grouping)."""
+    return [
         F.count_if(F.col("score") >= HIGH_SCORE).alias("over_80"),
         F.count_if(F.col("score") < LOW_SCORE).alias("sub_70"),
         F.count(F.lit(1)).alias("total_rounds"),
         F.avg("score").alias("scoring_average"),
-    )
+    ]
+
+
+def difficulty_from_counts(agg: DataFrame) -> DataFrame:
+    """Ratio, major flag and NaN filter over per-event counts (``EVENT_KEYS``
+    plus the ``event_count_columns``)."""
     out = agg.select(
         *EVENT_KEYS,
         "over_80",

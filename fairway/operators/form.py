@@ -165,8 +165,49 @@ def wave_table_and_largest_player(prepared: DataFrame):
     return waves, wave_rows <= joins.broadcast_limit(prepared), int(largest or 0)
 
 
-def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None = None
-            ) -> DataFrame:
+class RoundStatistics:
+    """Event counts, wave averages and rounds per player from ONE pass over
+    the rounds (a grouping-sets aggregate), written once as a small table in
+    the shared checkpoint folder. A pipeline computes event difficulty and
+    the rolling index from it without scanning the rounds twice."""
+
+    def __init__(self, rounds: DataFrame):
+        from fairway.operators.difficulty import EVENT_KEYS, event_count_columns
+
+        waved = rounds.select("*", wave("teetime").alias("wave"))
+        self._event_keys = list(EVENT_KEYS)
+        cols = list(dict.fromkeys(self._event_keys + list(WAVE_KEYS) + ["dg_id"]))
+        self._gids = {name: _grouping_id(cols, keys) for name, keys in (
+            ("event", self._event_keys), ("wave", list(WAVE_KEYS)), ("player", ["dg_id"]))}
+        stats = waved.groupingSets(
+            [self._event_keys, list(WAVE_KEYS), ["dg_id"]], *cols).agg(
+            *event_count_columns(), F.count("score").alias("__scored"),
+            F.grouping_id().alias("__g"))
+        self.table = joins.materialize(stats, "round-stats")
+
+    def _part(self, name: str) -> DataFrame:
+        return self.table.filter(F.col("__g") == self._gids[name])
+
+    def event_counts(self) -> DataFrame:
+        """Input of ``difficulty_from_counts``."""
+        return self._part("event").select(*self._event_keys, "over_80", "sub_70",
+                                          "total_rounds", "scoring_average")
+
+    def wave_table(self) -> DataFrame:
+        # groups whose scores are all NULL never meet a scored round
+        return self._part("wave").select(*WAVE_KEYS, F.col("scoring_average")
+                                         .alias("wave_average"))
+
+    def wave_rows_and_largest_player(self) -> tuple[int, int]:
+        row = self.table.agg(
+            F.count_if(F.col("__g") == self._gids["wave"]).alias("w"),
+            F.max(F.when(F.col("__g") == self._gids["player"], F.col("__scored"))).alias("p"),
+        ).first()
+        return int(row["w"] or 0), int(row["p"] or 0)
+
+
+def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None = None,
+            stats: RoundStatistics | None = None) -> DataFrame:
     """One row per scored round (``scored_rounds``) with, for each period p,
     the frame values ``ppi_p, first_p, n_p, sg_p``.
 
@@ -174,7 +215,12 @@ def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None
     ``spark.fairway.maxWindowGroupRows`` rows are framed whole (one hash
     exchange on the player); a bigger player switches to the block/halo plan.
     """
-    waves, fits, largest = wave_table_and_largest_player(prepared)
+    if stats is None:
+        waves, fits, largest = wave_table_and_largest_player(prepared)
+    else:
+        waves = stats.wave_table()
+        wave_rows, largest = stats.wave_rows_and_largest_player()
+        fits = wave_rows <= joins.broadcast_limit(prepared)
 
     def attach(df: DataFrame) -> DataFrame:
         return join_keys(df, waves, list(WAVE_KEYS), "inner", broadcast_right=fits)
@@ -242,13 +288,14 @@ def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25,
 
 def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
                         periods: Sequence[int] = (25, 50, 75, 100),
-                        skew_safe: bool | None = None) -> DataFrame:
+                        skew_safe: bool | None = None,
+                        stats: RoundStatistics | None = None) -> DataFrame:
     """All periods in one pass (one index, one window exchange), stacked long
     with a ``period`` column. Each period equals ``rolling_index`` alone."""
     periods = sorted(set(int(p) for p in periods))
     if not periods or periods[0] < 1:
         raise ValueError("periods must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), periods, skew_safe)
+    framed = _frames(scored_rounds(rounds, factors), periods, skew_safe, stats)
     per = F.explode(F.array(*[
         F.struct(F.lit(p).cast("long").alias("period"),
                  F.col(f"__ppi_{p}").alias("ppi"),

@@ -1,9 +1,11 @@
 """End-to-end metrics job: rounds -> event difficulty -> course factor ->
 rolling form index for several periods, plus the two report extracts.
 
-Event difficulty and the course factor are checkpointed once to the shared
-checkpoint folder (they feed several outputs), instead of being recomputed
-per output; all periods of the rolling index come from one pass.
+One grouping-sets pass over the rounds yields the event counts, wave
+averages and rows per player (a small table in the shared checkpoint
+folder); event difficulty and the course factor are written there once (they
+feed several outputs); all periods of the rolling index come from one more
+pass. The rounds are scanned twice in total.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairway.operators.difficulty import course_factor, event_difficulty
-from fairway.operators.form import rolling_index_multi
+from fairway.operators.difficulty import course_factor, difficulty_from_counts
+from fairway.operators.form import RoundStatistics, rolling_index_multi
 from fairway.operators.joins import materialize, release_cached, release_tables
 from fairway.plans import reports
 from fairway.sources import io
@@ -30,13 +32,15 @@ def sorted_for_export(df: DataFrame, *cols) -> DataFrame:
 def run_metrics(spark: SparkSession, rounds_root: str, out_root: str,
                 periods: Sequence[int] = PERIODS) -> dict[str, str]:
     rounds = io.read_rounds(spark, rounds_root)
-    difficulty = materialize(event_difficulty(rounds))
+    # one pass over the rounds for event counts, wave averages, player sizes
+    stats = RoundStatistics(rounds)
+    difficulty = materialize(difficulty_from_counts(stats.event_counts()))
     io.write_csv(sorted_for_export(difficulty, F.col("pti").desc_nulls_first(), "year",
                                    "event_id", "course_num"), f"{out_root}/pti")
     factors = materialize(course_factor(difficulty))
     io.write_csv(sorted_for_export(factors, F.col("course_factor").desc_nulls_first(),
                                    "course_num"), f"{out_root}/course_factor")
-    long = rolling_index_multi(rounds, factors, periods)
+    long = rolling_index_multi(rounds, factors, periods, stats=stats)
     long = long.sortWithinPartitions(F.col("dg_id").desc(), F.col("player_name").desc(),
                                      F.col("teetime").desc())
     io.write_form_index(long, f"{out_root}/form_index")

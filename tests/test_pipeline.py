@@ -32,3 +32,21 @@ def test_event_list_sink(spark, tmp_path):
     back = io.read_event_list_lines(spark, str(tmp_path / "events")).collect()
     assert [r.asDict() for r in back] == [EVENT_LIST[1]]
     assert json.loads(json.dumps(back[0].asDict()))["tour"] == "pga"
+
+
+def test_round_statistics_path_equals_standalone(spark):
+    from fairway.operators import difficulty as d
+    from fairway.operators import form
+    from tests.conftest import SF01
+
+    src = rounds(spark, SF01)
+    stats = form.RoundStatistics(src)
+    a = d.difficulty_from_counts(stats.event_counts())
+    b = d.event_difficulty(src)
+    assert a.count() == b.count() == 1108
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    factors = d.course_factor(b)
+    x = form.rolling_index_multi(src, factors, (10, 25), stats=stats)
+    y = form.rolling_index_multi(src, factors, (10, 25))
+    assert x.count() == y.count() == 6633 + 4383
+    assert x.exceptAll(y).count() == 0
