@@ -275,14 +275,16 @@ def _period_view(framed: DataFrame, p: int) -> DataFrame:
 
 
 def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25,
-                  skew_safe: bool | None = None) -> DataFrame:
+                  skew_safe: bool | None = None,
+                  stats: RoundStatistics | None = None) -> DataFrame:
     """Rolling form index over ``period`` rounds (one row per round that
     closes a full window). Output columns follow ``schemas.FORM_INDEX``.
     ``skew_safe``: force (True) or skip (False) the block/halo plan; by
-    default it is chosen from the largest player's size."""
+    default it is chosen from the largest player's size. ``stats``: a
+    ``RoundStatistics`` of the same rounds, when one was already computed."""
     if period < 1:
         raise ValueError("period must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), [period], skew_safe)
+    framed = _frames(scored_rounds(rounds, factors), [period], skew_safe, stats)
     return _finish(_period_view(framed, period))
 
 

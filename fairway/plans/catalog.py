@@ -189,9 +189,17 @@ def _rolling_sql(periods, with_period=False) -> str:
     return _with(*ctes) + "\nUNION ALL\n".join(_period_select(p, with_period) for p in periods)
 
 
-def rolling_of(spark, sf_dir, period):
+def rolling_inputs(spark, sf_dir):
+    """Rounds, course factors and the one-pass round statistics."""
     src = rounds(spark, sf_dir)
-    return form.rolling_index(src, course_factor_of(spark, sf_dir, src), period)
+    stats = form.RoundStatistics(src)
+    factors = difficulty.course_factor(difficulty.difficulty_from_counts(stats.event_counts()))
+    return src, factors, stats
+
+
+def rolling_of(spark, sf_dir, period):
+    src, factors, stats = rolling_inputs(spark, sf_dir)
+    return form.rolling_index(src, factors, period, stats=stats)
 
 
 def _rolling_query(p):
@@ -209,8 +217,8 @@ MULTI_PERIODS = (10, 25, 50)
 
 @register("rolling_index_multi", _rolling_sql(MULTI_PERIODS, with_period=True))
 def q_rolling_index_multi(spark, sf_dir):
-    src = rounds(spark, sf_dir)
-    return r6(form.rolling_index_multi(src, course_factor_of(spark, sf_dir, src), MULTI_PERIODS))
+    src, factors, stats = rolling_inputs(spark, sf_dir)
+    return r6(form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats))
 
 
 @register("wave_average", _with(ROUNDS_SQL) + """
@@ -612,8 +620,8 @@ def q_csv_roundtrip(spark, sf_dir):
 @register("form_index_sink", _rolling_sql([25]))
 def q_form_index_sink(spark, sf_dir):
     root = scratch_dir(spark, "form-index")
-    src = rounds(spark, sf_dir)
-    long = form.rolling_index_multi(src, course_factor_of(spark, sf_dir, src), MULTI_PERIODS)
+    src, factors, stats = rolling_inputs(spark, sf_dir)
+    long = form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats)
     io.write_form_index(long, root)
     return r6(io.read_form_index(spark, root, 25))
 
