@@ -53,3 +53,25 @@ def global_row_number(df: DataFrame, order: Sequence[ColumnOrName], name: str =
     position = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     return joined.withColumn(name, F.col("__off") + position + F.lit(1)).drop(
         "__pid", "__mid", "__opid", "__off")
+
+
+def row_number_checked(df: DataFrame, order: Sequence[ColumnOrName], name: str = "index",
+                       max_rows: int | None = None) -> DataFrame:
+    """``global_row_number`` with a checked shortcut: the input is cached and
+    counted; up to ``max_rows`` rows (default ``spark.fairway.maxWindowGroupRows``)
+    one ordered window numbers them in a single task — a proven bound, like a
+    broadcast — and beyond it the distributed numbering runs."""
+    from pyspark import StorageLevel
+
+    from fairway.operators import joins
+
+    spark = df.sparkSession
+    if max_rows is None:
+        value = spark.conf.get("spark.fairway.maxWindowGroupRows", None)
+        max_rows = int(value) if value else 2_000_000
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    joins._CACHED.append(cached)
+    if cached.count() <= max_rows:
+        return cached.select("*", F.row_number().over(Window.orderBy(*order))
+                             .cast("long").alias(name))
+    return global_row_number(cached, order, name)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fairway.functions.numeric import ieee_div, sum0
 from fairway.functions.rules import weighted_gain, whole_days_between
 from fairway.operators.joins import join_small
-from fairway.operators.sequence import global_row_number
+from fairway.operators.sequence import row_number_checked
 
 EVENT_TIE = ("year", "event_id", "course_num")
 
@@ -45,10 +45,11 @@ def overall_shares(difficulty: DataFrame) -> DataFrame:
 
 def majors_ranked(difficulty: DataFrame) -> DataFrame:
     """Major championships ranked by PTI (1 = hardest), ties by year, event,
-    course. The rank is a distributed row number, not a one-task window."""
+    course. One ordered window only within a checked row count, else the
+    distributed row number."""
     majors = difficulty.filter(F.col("major_championship"))
     order = [F.col("pti").desc_nulls_first()] + [F.col(c).asc() for c in EVENT_TIE]
-    return global_row_number(majors, order, "rank")
+    return row_number_checked(majors, order, "rank")
 
 
 def major_extremes(difficulty: DataFrame) -> DataFrame:
@@ -99,7 +100,7 @@ def venue_rank(factors: DataFrame) -> DataFrame:
     course number; a NULL factor gets a NULL rank."""
     known = factors.filter(F.col("course_factor").isNotNull()).select(
         "course_num", "course_factor")
-    ranked = global_row_number(
+    ranked = row_number_checked(
         known, [F.col("course_factor").desc(), F.col("course_num").asc()], "rank")
     unknown = factors.filter(F.col("course_factor").isNull()).select(
         "course_num", "course_factor", F.lit(None).cast("long").alias("rank"))

@@ -193,3 +193,14 @@ def test_plan_choice_follows_largest_player(spark, skewed_rows):
         assert sorted(blocked.collect()) == sorted(by_player.collect())
     finally:
         spark.conf.unset("spark.fairway.maxWindowGroupRows")
+
+
+def test_row_number_checked_both_ways(spark):
+    from fairway.operators.sequence import row_number_checked
+
+    data = [(i % 5, i) for i in range(200)]
+    df = spark.createDataFrame(data, "k long, v long")
+    want = [(i + 1, k, v) for i, (k, v) in enumerate(sorted(data, key=lambda x: (-x[0], x[1])))]
+    for limit in (10, 1000):      # distributed numbering, then the single window
+        out = row_number_checked(df, [F.col("k").desc(), "v"], "rank", max_rows=limit).collect()
+        assert sorted((r["rank"], r.k, r.v) for r in out) == want
