@@ -149,3 +149,12 @@ def test_json_lines_payloads(spark, tmp_path):
     res = ingest.rounds_from_payloads(
         ingest.read_payloads(spark, str(tmp_path), multi_line=False), events(spark))
     assert res.rounds.count() == 4 and res.quarantine.count() == 4
+
+
+def test_strict_mode_fails_on_malformed_teetime(spark):
+    rounds = list(RAHM)
+    rounds[0] = rounds[0][:7] + ("noon",)
+    strict = ingest.rounds_from_payloads(
+        ingest.parse_payloads(text_df(spark, [payload(rounds=rounds)])), events(spark), strict=True)
+    with pytest.raises(Exception, match="malformed teetime 'noon'"):
+        strict.rounds.collect()
