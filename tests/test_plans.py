@@ -62,3 +62,16 @@ def test_score_filter_pushed_on_stored_rounds(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(score)]" in p
     scan = re.search(r"ReadSchema: struct<([^>]*)>", p).group(1)
     assert "sg_app" not in scan and "course_par" not in scan   # pruned columns
+
+
+def test_skew_safe_plan_shape(spark):
+    src = rounds(spark, SF001)
+    df = form.rolling_index(src, course_factor_of(spark, SF001), 10, skew_safe=True)
+    p = plan(df)
+    # frames run on (dg_id, player_name, block); the frozen ordered table is
+    # scanned, not re-sorted, and the partition offsets are broadcast
+    assert re.search(r"Exchange hashpartitioning\(dg_id#\d+L, player_name#\d+, __blk#\d+L", p)
+    assert not re.search(r"Exchange hashpartitioning\(dg_id#\d+L, \d+\)", p)
+    assert "rangepartitioning" not in p
+    assert "fairway-tables/ordered-" in p
+    assert "BroadcastExchange" in p
