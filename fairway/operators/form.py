@@ -162,7 +162,7 @@ def wave_table_and_largest_player(prepared: DataFrame):
     waves = combo.filter(F.col("__g") == wave_g).select(*keys, "wave_average")
     wave_rows = stats[wave_g]["rows"] if wave_g in stats else 0
     largest = stats[player_g]["biggest"] if player_g in stats else 0
-    return waves, wave_rows <= joins.broadcast_limit(prepared), int(largest or 0)
+    return waves, joins.fits_broadcast(waves, wave_rows), int(largest or 0)
 
 
 class RoundStatistics:
@@ -220,7 +220,7 @@ def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None
     else:
         waves = stats.wave_table()
         wave_rows, largest = stats.wave_rows_and_largest_player()
-        fits = wave_rows <= joins.broadcast_limit(prepared)
+        fits = joins.fits_broadcast(waves, wave_rows)
 
     def attach(df: DataFrame) -> DataFrame:
         return join_keys(df, waves, list(WAVE_KEYS), "inner", broadcast_right=fits)

@@ -17,9 +17,13 @@ from fairway.session import ensure_checkpoint_dir
 # Small sides cached by join_small, so a job can release them when done.
 _CACHED: list[DataFrame] = []
 
-# Rows above which a "small" side is joined by shuffle instead of broadcast.
-# Settable per session with spark.fairway.broadcastMaxRows.
+# Rows / estimated bytes above which a "small" side is joined by shuffle
+# instead of broadcast. Settable per session with spark.fairway.broadcastMaxRows
+# and spark.fairway.broadcastMaxBytes.
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 256 << 20
+# Per-value size assumed for variable-width columns in the byte estimate.
+VARIABLE_WIDTH_BYTES = 64
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -56,6 +60,28 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
 
 
+def broadcast_byte_limit(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get("spark.fairway.broadcastMaxBytes", None)
+    return int(value) if value else DEFAULT_BROADCAST_MAX_BYTES
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Row width from the schema: fixed-width types by size, strings and
+    nested values at ``VARIABLE_WIDTH_BYTES``."""
+    from pyspark.sql import types as T
+
+    fixed = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+             T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+             T.TimestampNTZType: 8}
+    return 16 + sum(fixed.get(type(f.dataType), VARIABLE_WIDTH_BYTES) for f in df.schema.fields)
+
+
+def fits_broadcast(df: DataFrame, rows: int) -> bool:
+    """Whether ``rows`` rows of ``df`` are within both broadcast limits."""
+    return rows <= broadcast_limit(df) and rows * estimated_row_bytes(df) <= \
+        broadcast_byte_limit(df)
+
+
 def join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
               *, broadcast_right: bool = False) -> DataFrame:
     """Equi-join on ``on`` with NULL-safe key equality (a NULL key is a
@@ -78,12 +104,13 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     """Join ``big`` to a dimension that is expected to be small.
 
     The small side (an aggregate of the big data, deterministic) is cached
-    and counted once, and broadcast only when its row count is within the
-    limit; otherwise the join is a shuffle join, where AQE still splits hot
-    keys of the big side.
+    and counted once, and broadcast only when its row count and estimated
+    size are within the limits; otherwise the join is a shuffle join, where
+    AQE still splits hot keys of the big side.
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
     small = small.persist(StorageLevel.MEMORY_AND_DISK)
     _CACHED.append(small)
-    fits = small.count() <= limit
+    rows = small.count()
+    fits = rows <= limit and fits_broadcast(small, rows)
     return join_keys(big, small, on, how, broadcast_right=fits)

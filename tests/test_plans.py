@@ -75,3 +75,23 @@ def test_skew_safe_plan_shape(spark):
     assert "rangepartitioning" not in p
     assert "fairway-tables/ordered-" in p
     assert "BroadcastExchange" in p
+
+
+def test_join_small_falls_back_to_shuffle_join(spark):
+    from fairway.operators.joins import join_small
+
+    big = spark.range(1000).selectExpr("id % 10 AS k", "id AS v")
+    small = spark.range(10).selectExpr("id AS k", "id * 2 AS w")
+    assert "BroadcastHashJoin" in plan(join_small(big, small, ["k"]))
+    spark.conf.set("spark.fairway.broadcastMaxBytes", "100")   # 10 rows * 32 bytes > 100
+    try:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = join_small(big, small, ["k"])
+        p = plan(joined)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        assert joined.count() == 1000
+    finally:
+        spark.conf.unset("spark.fairway.broadcastMaxBytes")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
