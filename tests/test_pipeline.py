@@ -50,3 +50,18 @@ def test_round_statistics_path_equals_standalone(spark):
     y = form.rolling_index_multi(src, factors, (10, 25))
     assert x.count() == y.count() == 6633 + 4383
     assert x.exceptAll(y).count() == 0
+
+
+def test_pipeline_skew_safe_plan_same_output(spark, tmp_path):
+    root = str(tmp_path / "rounds")
+    io.write_rounds(rounds(spark, SF001), root)
+    default = pipeline.run_metrics(spark, root, str(tmp_path / "a"), periods=(10,))
+    spark.conf.set("spark.fairway.maxWindowGroupRows", "1")
+    try:
+        forced = pipeline.run_metrics(spark, root, str(tmp_path / "b"), periods=(10,))
+    finally:
+        spark.conf.unset("spark.fairway.maxWindowGroupRows")
+    a = io.read_form_index(spark, default["form_index"], 10)
+    b = io.read_form_index(spark, forced["form_index"], 10)
+    assert a.count() == b.count() == 666
+    assert a.exceptAll(b).count() == 0
