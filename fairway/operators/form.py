@@ -193,6 +193,10 @@ class RoundStatistics:
         return self._part("event").select(*self._event_keys, "over_80", "sub_70",
                                           "total_rounds", "scoring_average")
 
+    def player_rounds(self) -> DataFrame:
+        """Rounds with a score per player."""
+        return self._part("player").select("dg_id", F.col("__scored").alias("scored_rounds"))
+
     def wave_table(self) -> DataFrame:
         # groups whose scores are all NULL never meet a scored round
         return self._part("wave").select(*WAVE_KEYS, F.col("scoring_average")

@@ -636,3 +636,17 @@ FROM rounds r LEFT JOIN ranks k ON r.course_num = k.course_num""")
 def q_score_share_rows(spark, sf_dir):
     src = rounds(spark, sf_dir)
     return r6(reports.score_share_rows(src, course_factor_of(spark, sf_dir, src)))
+
+
+# ------------------------------------------------------- one-pass statistics
+@register("event_difficulty_one_pass", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
+SELECT {DIFF_COLS} FROM difficulty""")
+def q_event_difficulty_one_pass(spark, sf_dir):
+    stats = form.RoundStatistics(rounds(spark, sf_dir))
+    return r6(difficulty.difficulty_from_counts(stats.event_counts()))
+
+
+@register("player_scored_rounds", _with(ROUNDS_SQL) + """
+SELECT dg_id, count(score) AS scored_rounds FROM rounds GROUP BY dg_id""")
+def q_player_scored_rounds(spark, sf_dir):
+    return form.RoundStatistics(rounds(spark, sf_dir)).player_rounds()
