@@ -39,16 +39,21 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", app_name="fairway-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
-    results = {}
+    results, errors = {}, {}
     for name in HEADLINE:
-        run_once(spark, name, sf_dir)  # warm-up (JIT, file listing)
-        results[name] = round(statistics.median(run_once(spark, name, sf_dir)
-                                                for _ in range(repeat)), 3)
+        try:
+            run_once(spark, name, sf_dir)  # warm-up (JIT, file listing)
+            results[name] = round(statistics.median(run_once(spark, name, sf_dir)
+                                                    for _ in range(repeat)), 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep the JSON line
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_median_total", "value":
-                      round(sum(results.values()), 3), "unit": "sec", "queries": results,
-                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus}))
+    out = {"metric": "headline_queries_median_total", "value": round(sum(results.values()), 3),
+           "unit": "sec", "queries": results,
+           "sf": float(sf) if sf.replace(".", "").isdigit() else sf, "cpus": cpus}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
