@@ -86,14 +86,20 @@ def with_wave_average(rounds: DataFrame) -> DataFrame:
     return _attach_wave_average(scored)
 
 
-def scored_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
+def scored_rounds(rounds: DataFrame, factors: DataFrame,
+                  factor_rows_bound: int | None = None) -> DataFrame:
     """Drop score-less rounds, attach factor* (left: unknown courses keep a
-    NULL factor) and the wave label."""
+    NULL factor) and the wave label. ``factor_rows_bound``: a proven upper
+    bound on the rows of ``factors`` (e.g. the event-group count of the
+    ``RoundStatistics`` they were computed from); it replaces the count."""
     scored = rounds.filter(F.col("score").isNotNull()).select(
         "dg_id", "player_name", "teetime", "year", "event_id", "round", "event_name",
         "course_num", "score", "sg_total", wave("teetime").alias("wave"))
-    return join_small(scored, factors.select("course_num", "course_factor_star"),
-                      ["course_num"], "left")
+    dim = factors.select("course_num", "course_factor_star")
+    if factor_rows_bound is not None:
+        return join_keys(scored, dim, ["course_num"], "left",
+                         broadcast_right=joins.fits_broadcast(dim, factor_rows_bound))
+    return join_small(scored, dim, ["course_num"], "left")
 
 
 def prepare_rounds(rounds: DataFrame, factors: DataFrame) -> DataFrame:
@@ -202,12 +208,23 @@ class RoundStatistics:
         return self._part("wave").select(*WAVE_KEYS, F.col("scoring_average")
                                          .alias("wave_average"))
 
+    def summary(self) -> dict[str, int]:
+        """Row counts of the event and wave parts and the largest player's
+        scored rounds, from one small action (computed once)."""
+        if not hasattr(self, "_summary"):
+            row = self.table.agg(
+                F.count_if(F.col("__g") == self._gids["event"]).alias("e"),
+                F.count_if(F.col("__g") == self._gids["wave"]).alias("w"),
+                F.max(F.when(F.col("__g") == self._gids["player"], F.col("__scored")))
+                .alias("p"),
+            ).first()
+            self._summary = {"event_rows": int(row["e"] or 0), "wave_rows": int(row["w"] or 0),
+                             "largest_player": int(row["p"] or 0)}
+        return self._summary
+
     def wave_rows_and_largest_player(self) -> tuple[int, int]:
-        row = self.table.agg(
-            F.count_if(F.col("__g") == self._gids["wave"]).alias("w"),
-            F.max(F.when(F.col("__g") == self._gids["player"], F.col("__scored"))).alias("p"),
-        ).first()
-        return int(row["w"] or 0), int(row["p"] or 0)
+        s = self.summary()
+        return s["wave_rows"], s["largest_player"]
 
 
 def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None = None,
@@ -280,7 +297,8 @@ def _period_view(framed: DataFrame, p: int) -> DataFrame:
 
 def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25,
                   skew_safe: bool | None = None,
-                  stats: RoundStatistics | None = None) -> DataFrame:
+                  stats: RoundStatistics | None = None,
+                  factor_rows_bound: int | None = None) -> DataFrame:
     """Rolling form index over ``period`` rounds (one row per round that
     closes a full window). Output columns follow ``schemas.FORM_INDEX``.
     ``skew_safe``: force (True) or skip (False) the block/halo plan; by
@@ -288,20 +306,23 @@ def rolling_index(rounds: DataFrame, factors: DataFrame, period: int = 25,
     ``RoundStatistics`` of the same rounds, when one was already computed."""
     if period < 1:
         raise ValueError("period must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), [period], skew_safe, stats)
+    framed = _frames(scored_rounds(rounds, factors, factor_rows_bound), [period], skew_safe,
+                     stats)
     return _finish(_period_view(framed, period))
 
 
 def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
                         periods: Sequence[int] = (25, 50, 75, 100),
                         skew_safe: bool | None = None,
-                        stats: RoundStatistics | None = None) -> DataFrame:
+                        stats: RoundStatistics | None = None,
+                        factor_rows_bound: int | None = None) -> DataFrame:
     """All periods in one pass (one index, one window exchange), stacked long
     with a ``period`` column. Each period equals ``rolling_index`` alone."""
     periods = sorted(set(int(p) for p in periods))
     if not periods or periods[0] < 1:
         raise ValueError("periods must be >= 1")
-    framed = _frames(scored_rounds(rounds, factors), periods, skew_safe, stats)
+    framed = _frames(scored_rounds(rounds, factors, factor_rows_bound), periods, skew_safe,
+                     stats)
     per = F.explode(F.array(*[
         F.struct(F.lit(p).cast("long").alias("period"),
                  F.col(f"__ppi_{p}").alias("ppi"),

@@ -199,7 +199,9 @@ def rolling_inputs(spark, sf_dir):
 
 def rolling_of(spark, sf_dir, period):
     src, factors, stats = rolling_inputs(spark, sf_dir)
-    return form.rolling_index(src, factors, period, stats=stats)
+    # factors come from these statistics: at most one row per event group
+    return form.rolling_index(src, factors, period, stats=stats,
+                              factor_rows_bound=stats.summary()["event_rows"])
 
 
 def _rolling_query(p):
@@ -218,7 +220,8 @@ MULTI_PERIODS = (10, 25, 50)
 @register("rolling_index_multi", _rolling_sql(MULTI_PERIODS, with_period=True))
 def q_rolling_index_multi(spark, sf_dir):
     src, factors, stats = rolling_inputs(spark, sf_dir)
-    return r6(form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats))
+    return r6(form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats,
+                                       factor_rows_bound=stats.summary()["event_rows"]))
 
 
 @register("wave_average", _with(ROUNDS_SQL) + """
@@ -621,7 +624,8 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_form_index_sink(spark, sf_dir):
     root = scratch_dir(spark, "form-index")
     src, factors, stats = rolling_inputs(spark, sf_dir)
-    long = form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats)
+    long = form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats,
+                                    factor_rows_bound=stats.summary()["event_rows"])
     io.write_form_index(long, root)
     return r6(io.read_form_index(spark, root, 25))
 

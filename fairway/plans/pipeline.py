@@ -40,7 +40,9 @@ def run_metrics(spark: SparkSession, rounds_root: str, out_root: str,
     factors = materialize(course_factor(difficulty))
     io.write_csv(sorted_for_export(factors, F.col("course_factor").desc_nulls_first(),
                                    "course_num"), f"{out_root}/course_factor")
-    long = rolling_index_multi(rounds, factors, periods, stats=stats)
+    # factors were computed from these statistics: at most one row per event group
+    long = rolling_index_multi(rounds, factors, periods, stats=stats,
+                               factor_rows_bound=stats.summary()["event_rows"])
     long = long.sortWithinPartitions(F.col("dg_id").desc(), F.col("player_name").desc(),
                                      F.col("teetime").desc())
     io.write_form_index(long, f"{out_root}/form_index")
