@@ -9,11 +9,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fairway.llm.jaccard_join import near_duplicates
+from fairway.llm.quality import keep_good
 from fairway.llm.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised quality rules keep."""
+    return keep_good(docs.select(*COLUMNS))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the smallest id.
     Of rows that repeat this id one stays; rows without an id stay."""
@@ -24,6 +30,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", good_quality),
     ("near_duplicates", one_of_each_group),
 ]
 
