@@ -7,9 +7,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fairway.llm.jaccard_join import near_duplicates
+from fairway.llm.mixing import mixed_documents
 from fairway.llm.quality import keep_good
+from fairway.llm.secrets import masked
 from fairway.llm.staging import stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -29,9 +32,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
 
 
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret found is replaced by a mark; all documents stay."""
+    return masked(docs.select(*COLUMNS)).withColumn(
+        "n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
+
+
+def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the entropy-balanced mix takes it."""
+    return mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", good_quality),
     ("near_duplicates", one_of_each_group),
+    ("secret_scan", without_secrets),
+    ("target_mix", target_mix),
 ]
 
 # The entropy-balanced mix and the expectation-maximised verdict have no SQL form.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import jaccard_join, quality
+from fairway.llm import jaccard_join, mixing, quality, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +18,22 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op4_entropy_mix": op4_entropy_mix,
+    "op6_secret_scan": op6_secret_scan,
     "op9_quality_rules": op9_quality_rules,
 }
 
