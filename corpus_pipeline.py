@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fairway.llm.jaccard_join import near_duplicates
 from fairway.llm.mixing import mixed_documents
+from fairway.llm.packing import pack
 from fairway.llm.quality import keep_good
 from fairway.llm.secrets import masked
 from fairway.llm.staging import stage
@@ -43,11 +44,17 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' tokens, packed into training sequences."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", good_quality),
     ("near_duplicates", one_of_each_group),
     ("secret_scan", without_secrets),
     ("target_mix", target_mix),
+    ("packing", packed),
 ]
 
 # The entropy-balanced mix and the expectation-maximised verdict have no SQL form.
