@@ -30,7 +30,7 @@ import unicodedata
 
 import numpy as np
 
-from fairway.llm.textvec import U64, HashIndex, RangeHash, Texts, mix
+from fairway.llm.textvec import U64, HashIndex, RangeHash, Texts, entries_inside, mix
 
 # byte classes; +_N marks the first byte of a text
 _L, _STMD, _R, _V, _E, _EL, _NUM, _SP, _WS, _AP, _OTHER, _CONT, _N = range(13)
@@ -271,23 +271,8 @@ class Transducers:
         base = np.concatenate([[0], np.cumsum(size + 1)])
         last = np.full(int(base[-1]), -1, np.int32)   # last token at each position
         count = np.zeros(int(base[-1]), np.int32)     # tokens emitted up to it
-        at = np.cumsum(size) - size
-        flat = np.arange(int(size.sum())) - np.repeat(at - starts, size)
-        hashes = RangeHash(data[flat])
-        # vocabulary entries that end at position i: (piece, i, length), longest first
-        hits = []
-        for length in range(1, min(self.longest, int(size.max(initial=0))) + 1):
-            long_enough = np.flatnonzero(size >= length)
-            k = size[long_enough] - length + 1
-            piece = np.repeat(long_enough, k)
-            begin = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
-            s = at[piece] + begin
-            number = self._tokens.lookup(hashes(s, s + length))
-            found = number >= 0
-            hits.append((piece[found], begin[found] + length, np.full(found.sum(), length), self._token_ids[number[found]]))
-        piece, pos, length, token = (np.concatenate(x) for x in zip(*hits))
-        order = np.lexsort((-length, piece, pos))
-        piece, pos, length, token = piece[order], pos[order], length[order], token[order]
+        # vocabulary entries that end at each position, longest first
+        piece, pos, length, token = entries_inside(data, starts, ends, self._tokens, self._token_ids, self.longest)
         group = np.flatnonzero(np.concatenate([[True], (pos[1:] != pos[:-1]) | (piece[1:] != piece[:-1])]))
         group_end = np.append(group[1:], len(pos))
         level = np.searchsorted(pos[group], np.arange(1, int(size.max(initial=0)) + 2))

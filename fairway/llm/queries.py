@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import jaccard_join, mixing, packing, quality, secrets, token_counts
+from fairway.llm import jaccard_join, language_id, mixing, packing, quality, secrets, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict_languages(_table(spark, sf_dir, "documents"))
+
+
 def op4_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_language_id": op3_language_id,
     "op4_entropy_mix": op4_entropy_mix,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,

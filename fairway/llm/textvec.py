@@ -181,3 +181,27 @@ class HashIndex:
         self._keys = np.zeros(size, dtype=U64)
         self._values = np.full(size, -1, dtype=np.int32)
         self._put(keys, values)
+
+
+def entries_inside(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, index: HashIndex, ids: np.ndarray,
+                   longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All vocabulary entries inside the byte ranges: (range, end position in
+    the range, length, entry id), by end position, range, then longest first.
+    ``index`` numbers the entries' hashes, ``ids`` gives the number's entry."""
+    size = ends - starts
+    at = np.cumsum(size) - size
+    flat = np.arange(int(size.sum())) - np.repeat(at - starts, size)
+    hashes = RangeHash(data[flat])
+    found = [(np.zeros(0, np.int64),) * 3 + (np.zeros(0, ids.dtype),)]
+    for length in range(1, min(longest, int(size.max(initial=0))) + 1):
+        enough = np.flatnonzero(size >= length)
+        k = size[enough] - length + 1
+        owner = np.repeat(enough, k)
+        begin = np.arange(int(k.sum())) - np.repeat(np.cumsum(k) - k, k)
+        s = at[owner] + begin
+        number = index.lookup(hashes(s, s + length))
+        hit = number >= 0
+        found.append((owner[hit], begin[hit] + length, np.full(int(hit.sum()), length), ids[number[hit]]))
+    owner, pos, length, entry = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((-length, owner, pos))
+    return owner[order], pos[order], length[order], entry[order]
