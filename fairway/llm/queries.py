@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import jaccard_join, language_id, mixing, packing, quality, secrets, token_counts
+from fairway.llm import jaccard_join, language_id, mixing, packing, quality, secrets, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_entropy_mix": op4_entropy_mix,
     "op5_token_counts": op5_token_counts,
     "op6_secret_scan": op6_secret_scan,
+    "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
 }
@@ -73,4 +78,15 @@ reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l
 SELECT w.doc_id, coalesce(n, 0) AS n_shingles,
        least(w.doc_id, (SELECT min(y) FROM reach WHERE x = w.doc_id)) AS component_id
 FROM words w LEFT JOIN sizes USING (doc_id)""",
+    # base 32 of the SHA-1: five bits at a time out of two hexadecimal digits
+    "op7_warc": """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS h
+           FROM pages),
+b AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, array_to_string(list_transform(range(32), lambda i:
+  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((((strpos('0123456789abcdef', substr(h, 5 * i // 4 + 1, 1)) - 1) * 16
+    + strpos('0123456789abcdef', substr(h, 5 * i // 4 + 2, 1)) - 1) >> (3 - (5 * i) % 4)) & 31 AS INTEGER), 1)), '')
+  AS payload_digest FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b""",
 }
