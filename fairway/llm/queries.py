@@ -7,13 +7,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import jaccard_join, language_id, mixing, packing, quality, secrets, token_counts, warc
+from fairway.llm import hamming_search, jaccard_join, language_id, mixing, packing, quality, secrets, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_search.search_table(_table(spark, sf_dir, "embeddings"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_hamming_search": op1_hamming_search,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op4_entropy_mix": op4_entropy_mix,
@@ -60,6 +65,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_hamming_search": """
+WITH codes AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: coalesce(x > 0, false)) AS c
+               FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (SELECT q.vec_id AS query_id, v.vec_id AS neighbor_id,
+  list_sum(list_transform(list_zip(q.c, v.c), lambda z: CASE WHEN z[1] <> z[2] THEN 1 ELSE 0 END)) AS distance
+  FROM codes q JOIN codes v ON q.vec_id % 20 = 0 AND q.vec_id <> v.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id) AS rank,
+       neighbor_id, CAST(distance AS BIGINT) AS distance
+FROM pairs QUALIFY rank <= 10""",
     "op2_jaccard_join": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
