@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import parts, stage
+from fairway.llm.staging import parts, ship, stage
 
 K = 10
 QUERY_STEP = 20
@@ -143,6 +143,7 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """``codes`` and ``queries`` are (id, code); returns query_id, rank,
     neighbor_id and distance of the ``k`` nearest other ids of each query."""
     spark = codes.sparkSession
+    ship(spark)
     order = Window.partitionBy("code").orderBy("id")
     held = stage(codes.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k + 1).groupBy("code").agg(
         F.sort_array(F.collect_list("id")).alias("ids")), "codes")

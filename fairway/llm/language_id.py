@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import stage
+from fairway.llm.staging import ship, stage
 from fairway.llm.textvec import U64, HashIndex, RangeHash, Texts, entries_inside, slices
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -244,6 +244,7 @@ _scorers: dict[int, _Scorer] = {}
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                       vocabulary: str = VOCABULARY) -> DataFrame:
     """``id_col``, held_out, lang_pred and score for every row of ``docs``."""
+    ship(docs.sparkSession)
     langs, prior, table = train(_training_words(docs, id_col, text_col, lang_col), vocabulary)
     model = docs.sparkSession.sparkContext.broadcast((prior, table))
 

@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import stage
+from fairway.llm.staging import ship, stage
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -142,8 +142,9 @@ def _copies(key, pdf):
     return pd.DataFrame({"group": pdf["group"], "size": left, "part": pdf["part"], "copies": out})
 
 
-def planned(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+def planned(sizes: DataFrame) -> DataFrame:
     """Rows of ``sizes`` (id, source, size, seed) with source_size, target and copies."""
+    ship(sizes.sparkSession)
     counted = sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     counted = stage(counted, "cells")
     wanted = stage(targets(counted.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).cast("double").alias("total"))),
@@ -182,7 +183,7 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> Data
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
     """``id_col``, size, source_size, target and taken words of every row."""
-    plan = planned(docs, _sized(docs, id_col, text_col, source_col))
+    plan = planned(_sized(docs, id_col, text_col, source_col))
     return plan.select(F.col("id").alias(id_col), "size", "source_size", "target",
                        (F.col("copies") * F.col("size")).alias("taken"))
 
@@ -193,7 +194,7 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     an id count as one document (the id decides), rows without an id are not
     taken."""
     firsts = docs.where(F.col(id_col).isNotNull())
-    plan = planned(docs, _sized(firsts, id_col, text_col, source_col).dropDuplicates(["id"]))
+    plan = planned(_sized(firsts, id_col, text_col, source_col).dropDuplicates(["id"]))
     plan = plan.where("copies > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies"))
     rows = firsts.dropDuplicates([id_col]) if firsts.groupBy(id_col).count().where("count > 1").limit(1).count() \
         else firsts

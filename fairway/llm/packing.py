@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairway.llm.bpe_transducer import transducers
-from fairway.llm.staging import stage
+from fairway.llm.staging import ship, stage
 from fairway.llm.textvec import Texts, slices
 
 WINDOW = 2048
@@ -182,6 +182,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         _merge([(d, s, np.frombuffer(i, np.uint32), t) for d, s, i, t in zip(*cols)], rows, window)
         return pa.Table.from_batches([rows.batch()])
 
+    ship(docs.sparkSession)
     placed = stage(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         place, _DDL), "packed")
     left = placed.where("sequence_id is null").withColumn("group", F.expr(f"part div {GROUP}"))

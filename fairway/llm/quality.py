@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import stage
+from fairway.llm.staging import ship, stage
 from fairway.llm.textvec import SPACE, U64, RangeHash, Texts, mix, slices
 
 ACCURACY = (0.9, 0.995)
@@ -187,6 +187,7 @@ def _fitted(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Statistics, posterior ``quality`` and ``kept`` for every row of ``docs``."""
+    ship(docs.sparkSession)
     schema = docs.select(F.col(id_col).alias("id")).schema["id"].dataType.simpleString()
     scored = stage(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _score, f"id {schema}, {', '.join(f'{c} long' for c in BASE)}, base_failed boolean, pattern int"), "quality")
@@ -200,6 +201,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, all columns as they are."""
+    ship(docs.sparkSession)
     votes = stage(docs.select(F.lit(0).alias("id"), F.col(text_col).alias("text")).mapInArrow(
         _score, f"id int, {', '.join(f'{c} long' for c in BASE)}, base_failed boolean, pattern int")
         .groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "patterns")

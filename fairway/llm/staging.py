@@ -6,7 +6,10 @@ the job that was running, never a recomputation of the steps before.
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,3 +31,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def parts(spark: SparkSession) -> int:
     """Partitions of the packed shuffles: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor:
+    the driver's copy is sent once for each Spark application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), "fairway_package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairway.llm.bpe_transducer import transducers
+from fairway.llm.staging import ship
 from fairway.llm.textvec import Texts, slices
 
 LIMIT = 512
@@ -34,6 +35,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.record_batch([batch.column("id"), pa.array(texts.ends - texts.starts), pa.array(tokens),
                                    pa.array(tokens > limit)], names=["id", "n_bytes", "n_tokens", "over_limit"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long, over_limit boolean").withColumnRenamed(

@@ -32,7 +32,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import shared_folder, stage
+from fairway.llm.staging import shared_folder, ship, stage
 
 MAGIC = b"\x1f\x8b\x08"
 ARCHIVE_BYTES = 64 << 20
@@ -74,6 +74,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     """Write ``pages`` (page_id, url, html) as archives; returns the manifest
     (path, bytes, records)."""
     spark = pages.sparkSession
+    ship(spark)
     folder = folder or shared_folder(spark, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"),
                         F.coalesce(F.col("html"), F.lit("")).alias("html"))
@@ -188,6 +189,7 @@ def records_in(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
 def read_archives(spark: SparkSession, manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All records of the manifest's archives: path, position, fields of the
     header, and payload (null for revisits)."""
+    ship(spark)
     ranges = manifest.select("path", F.col("bytes"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
         .alias("start"))
