@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import hamming_search, jaccard_join, language_id, mixing, packing, quality, secrets, token_counts, warc
+from fairway.llm import hamming_search, jaccard_join, language_id, mixing, packing, quality, repeats, secrets, token_counts, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming_search": op1_hamming_search,
     "op2_jaccard_join": op2_jaccard_join,
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
