@@ -15,21 +15,21 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from fairway.operators.joins import release_cached  # noqa: E402
+from fairway.operators.joins import run_scope  # noqa: E402
 from fairway.plans import catalog  # noqa: E402
 from fairway.session import get_spark  # noqa: E402
 
 HEADLINE = ("event_difficulty", "course_factor", "rolling_index_25", "rolling_index_multi",
-            "score_distribution", "current_standings", "ingest_rounds")
+            "score_distribution", "current_standings", "ingest_rounds", "score_share_rows",
+            "weighted_index_by_course", "wave_average", "venue_extremes", "majors_ranked",
+            "venue_median", "ingest_quarantine", "parquet_roundtrip", "form_index_sink")
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:
-    t0 = time.perf_counter()
-    catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    elapsed = time.perf_counter() - t0
-    # cached dimension tables belong to the finished query
-    release_cached()
-    return elapsed
+    with run_scope():  # cached and written tables belong to this run
+        t0 = time.perf_counter()
+        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
 
 
 def main() -> None:

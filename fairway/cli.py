@@ -17,8 +17,9 @@ from fairway.session import get_spark
 
 
 def _ingest(spark, args) -> None:
-    from fairway.operators.joins import release_cached
+    from fairway.operators.joins import materialize, run_scope
     from fairway.sources import ingest, io
+    from fairway.streaming.landing import _exists
 
     events = ingest.pga_events(ingest.read_event_list(spark, args.event_list))
     if args.stream:
@@ -29,12 +30,18 @@ def _ingest(spark, args) -> None:
         query.awaitTermination()
         return
     payloads = ingest.read_payloads(spark, args.landing, multi_line=not args.json_lines)
-    result = ingest.rounds_from_payloads(payloads, events, strict=args.strict)
-    io.write_rounds(result.rounds, args.rounds, by_event=True)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    result.quarantine.write.mode("overwrite").partitionBy("year", "event_id") \
-        .parquet(args.quarantine)
-    release_cached()
+    if _exists(spark, args.rounds):  # landed events are skipped
+        payloads = ingest.unlanded_payloads(payloads, ingest.landed_event_keys(io.read_rounds(spark, args.rounds)))
+    with run_scope():
+        if args.strict:
+            staged = ingest.rounds_from_payloads(payloads, events, strict=True)
+            io.write_rounds(materialize(staged.rounds, "rounds"), args.rounds)
+            return
+        # parsed once, then split
+        result = ingest.split_rounds(materialize(ingest.staged_rounds(payloads, events), "staged"))
+        io.write_rounds(result.rounds, args.rounds)
+        result.quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("year", "event_id").parquet(args.quarantine)
 
 
 def _metrics(spark, args) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,13 +60,30 @@ def whole_days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     return F.timestamp_diff("DAY", _col(start), _col(end))
 
 
-# Accented letters folded to ASCII before slugging.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyy"
+def _folding() -> tuple[str, str, dict[str, str]]:
+    """Latin letters and their ASCII base, by Unicode decomposition; letters
+    without one, or that become several, by the short list below."""
+    # Letters that Unicode does not decompose.
+    special = {"ß": "ss", "æ": "ae", "œ": "oe", "þ": "th", "ĳ": "ij"}
+    single = {"ø": "o", "ł": "l", "đ": "d", "ð": "d", "ħ": "h", "ı": "i", "ŧ": "t", "ŋ": "n", "’": " "}
+    for code in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        ch = chr(code)
+        base = unicodedata.normalize("NFKD", ch)[0]
+        if ch == ch.lower() and ch not in special and base.isascii() and base.isalnum():
+            single.setdefault(ch, base)
+    return "".join(single), "".join(single.values()), special
+
+
+_ACCENTED, _PLAIN, _SPECIAL = _folding()
 
 
 def slug(name: ColumnOrName) -> Column:
-    """Lower-case ASCII slug: runs of other characters become one '-'."""
-    folded = F.translate(F.lower(_col(name)), _ACCENTED, _PLAIN)
+    """Lower-case ASCII slug: Latin letters lose their marks, commas inside
+    numbers vanish, runs of other characters become one '-'."""
+    folded = F.lower(_col(name))
+    for letter, plain in _SPECIAL.items():
+        folded = F.replace(folded, F.lit(letter), F.lit(plain))
+    folded = F.translate(folded, _ACCENTED, _PLAIN)
+    folded = F.regexp_replace(folded, "(?<=[0-9]),(?=[0-9])", "")
     dashed = F.regexp_replace(folded, "[^a-z0-9]+", "-")
     return F.regexp_replace(dashed, "^-+|-+$", "")

@@ -73,7 +73,7 @@ def course_factor(difficulty: DataFrame) -> DataFrame:
                  sum0("total_rounds")).alias("scoring_average"),
     )
     by_course = by_course.persist(StorageLevel.MEMORY_AND_DISK)
-    joins._CACHED.append(by_course)
+    joins.current_scope().keep(by_course)
     # Totals over every course: one scalar subquery returning both sums.
     totals = by_course.agg(F.struct(sum0("total_over_80").alias("o"),
                                     sum0("total_sub_70").alias("s"))).scalar()

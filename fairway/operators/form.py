@@ -39,13 +39,14 @@ WAVE_KEYS = ("event_id", "year", "round", "wave")
 # Total order of a player's rounds: time first, then the logical key and the
 # remaining used columns as tie-breaks so numbering is deterministic.
 ROUND_ORDER = ("dg_id", "teetime", "year", "event_id", "round", "player_name", "course_num",
-               "score")
+               "score", "event_name", "sg_total")
 MIN_BLOCK_ROWS = 1 << 16
 # Largest player (rows) allowed to be framed whole in one task; above it the
 # range-partitioned block/halo plan is used. Session setting:
 # spark.fairway.maxWindowGroupRows.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
+# Column names of the form-index dataset.
 OUTPUT_COLUMNS = ("dg_id", "player_name", "ppi", "teetime", "first_tee_time_in_group",
                   "sg_total", "score", "event_name", "wave_average", "course_factor_star")
 
@@ -77,7 +78,7 @@ def wave_averages(rounds: DataFrame) -> DataFrame:
 
 def _attach_wave_average(scored: DataFrame) -> DataFrame:
     """``scored``: rounds with a score and a ``wave`` label."""
-    return join_small(scored, _wave_table(scored), list(WAVE_KEYS), "inner")
+    return join_small(scored, _wave_table(scored), list(WAVE_KEYS), "inner", null_safe=True)
 
 
 def with_wave_average(rounds: DataFrame) -> DataFrame:
@@ -88,9 +89,9 @@ def with_wave_average(rounds: DataFrame) -> DataFrame:
 
 def scored_rounds(rounds: DataFrame, factors: DataFrame,
                   factor_rows_bound: int | None = None) -> DataFrame:
-    """Drop score-less rounds, attach factor* (left: unknown courses keep a
-    NULL factor) and the wave label. ``factor_rows_bound``: a proven upper
-    bound on the rows of ``factors`` (e.g. the event-group count of the
+    """Drop score-less rounds, attach factor* (left: unknown and NULL courses
+    keep a NULL factor) and the wave label. ``factor_rows_bound``: a proven
+    upper bound on the rows of ``factors`` (e.g. the course count of the
     ``RoundStatistics`` they were computed from); it replaces the count."""
     scored = rounds.filter(F.col("score").isNotNull()).select(
         "dg_id", "player_name", "teetime", "year", "event_id", "round", "event_name",
@@ -161,7 +162,7 @@ def wave_table_and_largest_player(prepared: DataFrame):
     combo = prepared.groupingSets([keys, ["dg_id"]], *cols).agg(
         F.avg("score").alias("wave_average"), F.count(F.lit(1)).alias("__n"),
         F.grouping_id().alias("__g")).persist(StorageLevel.MEMORY_AND_DISK)
-    joins._CACHED.append(combo)
+    joins.current_scope().keep(combo)
     wave_g, player_g = _grouping_id(cols, keys), _grouping_id(cols, ["dg_id"])
     stats = {r["__g"]: r for r in combo.groupBy("__g").agg(
         F.count(F.lit(1)).alias("rows"), F.max("__n").alias("biggest")).collect()}
@@ -209,17 +210,21 @@ class RoundStatistics:
                                          .alias("wave_average"))
 
     def summary(self) -> dict[str, int]:
-        """Row counts of the event and wave parts and the largest player's
-        scored rounds, from one small action (computed once)."""
+        """Row counts of the event and wave parts, the number of courses (the
+        exact row count of their factors) and the largest player's scored
+        rounds, from one small action (computed once)."""
         if not hasattr(self, "_summary"):
             row = self.table.agg(
                 F.count_if(F.col("__g") == self._gids["event"]).alias("e"),
                 F.count_if(F.col("__g") == self._gids["wave"]).alias("w"),
                 F.max(F.when(F.col("__g") == self._gids["player"], F.col("__scored")))
                 .alias("p"),
+                F.count_distinct(F.when(F.col("__g") == self._gids["event"],
+                                        F.struct("course_num"))).alias("c"),
             ).first()
             self._summary = {"event_rows": int(row["e"] or 0), "wave_rows": int(row["w"] or 0),
-                             "largest_player": int(row["p"] or 0)}
+                             "largest_player": int(row["p"] or 0),
+                             "course_rows": int(row["c"] or 0)}
         return self._summary
 
     def wave_rows_and_largest_player(self) -> tuple[int, int]:
@@ -244,7 +249,8 @@ def _frames(prepared: DataFrame, periods: Sequence[int], skew_safe: bool | None
         fits = joins.fits_broadcast(waves, wave_rows)
 
     def attach(df: DataFrame) -> DataFrame:
-        return join_keys(df, waves, list(WAVE_KEYS), "inner", broadcast_right=fits)
+        return join_keys(df, waves, list(WAVE_KEYS), "inner", broadcast_right=fits,
+                         null_safe=True)
 
     if skew_safe is None:
         skew_safe = largest > max_group_rows(prepared.sparkSession)

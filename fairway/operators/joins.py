@@ -3,9 +3,11 @@ broadcast, and lineage cuts through the shared checkpoint folder."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import contextvars
 import uuid
-
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -14,8 +16,52 @@ from pyspark.sql import functions as F
 
 from fairway.session import ensure_checkpoint_dir
 
-# Small sides cached by join_small, so a job can release them when done.
-_CACHED: list[DataFrame] = []
+
+
+class RunScope:
+    """What one run keeps: cached frames and written tables. ``release`` frees
+    exactly these, so runs side by side never touch each other's."""
+
+    def __init__(self) -> None:
+        self.frames: list[DataFrame] = []
+        self.paths: list[tuple[object, str]] = []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.frames.append(df)
+        return df
+
+    def release(self) -> None:
+        while self.frames:
+            self.frames.pop().unpersist()
+        while self.paths:
+            spark, path = self.paths.pop()
+            with contextlib.suppress(Exception):  # the session may have ended
+                folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+# Frames and tables of calls outside any run; released when the process ends.
+_DEFAULT = RunScope()
+atexit.register(_DEFAULT.release)
+_scope: contextvars.ContextVar[RunScope] = contextvars.ContextVar("run_scope", default=_DEFAULT)
+
+
+def current_scope() -> RunScope:
+    return _scope.get()
+
+
+@contextlib.contextmanager
+def run_scope() -> Iterator[RunScope]:
+    """Everything cached or written inside belongs to this run and is
+    released at its end: consume the results inside the block."""
+    scope = RunScope()
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        scope.release()
+
 
 # Rows / estimated bytes above which a "small" side is joined by shuffle
 # instead of broadcast. Settable per session with spark.fairway.broadcastMaxRows
@@ -34,27 +80,10 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     base = ensure_checkpoint_dir(spark)
     path = f"{base.rstrip('/')}/fairway-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    current_scope().paths.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_tables(spark) -> None:
-    """Delete the Parquet tables ``materialize`` wrote in this checkpoint
-    folder. Call only when no DataFrame reading them is used any more."""
-    base = ensure_checkpoint_dir(spark)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/fairway-tables")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)
-
-
-def release_cached() -> None:
-    """Unpersist the small sides cached by ``join_small`` (call after the
-    queries that use them have run, e.g. at the end of a micro-batch)."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
-
-
 def broadcast_limit(df: DataFrame) -> int:
     value = df.sparkSession.conf.get("spark.fairway.broadcastMaxRows", None)
     return int(value) if value else DEFAULT_BROADCAST_MAX_ROWS
@@ -83,24 +112,25 @@ def fits_broadcast(df: DataFrame, rows: int) -> bool:
 
 
 def join_keys(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner",
-              *, broadcast_right: bool = False) -> DataFrame:
-    """Equi-join on ``on`` with NULL-safe key equality (a NULL key is a
-    group of its own, as in the grouping that produced ``right``). Right-side
-    keys are renamed first so a right side derived from ``left`` never makes
-    the references ambiguous."""
+              *, broadcast_right: bool = False, null_safe: bool = False) -> DataFrame:
+    """Equi-join on ``on``. ``null_safe``: a NULL key is a group of its own,
+    for a right side that restores a grouping of ``left``; otherwise a NULL
+    key matches nothing. Right-side keys are renamed first so a right side
+    derived from ``left`` never makes the references ambiguous."""
     keys = set(on)
     renamed = right.select([F.col(c).alias(f"__r_{c}") if c in keys else F.col(c)
                             for c in right.columns])
     if broadcast_right:
         renamed = F.broadcast(renamed)
     cond = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in on])
+                  [F.col(k).eqNullSafe(F.col(f"__r_{k}")) if null_safe
+                   else F.col(k) == F.col(f"__r_{k}") for k in on])
     joined = left.join(renamed, cond, how)
     return joined.drop(*[f"__r_{k}" for k in on])
 
 
 def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               max_rows: int | None = None) -> DataFrame:
+               max_rows: int | None = None, *, null_safe: bool = False) -> DataFrame:
     """Join ``big`` to a dimension that is expected to be small.
 
     The small side (an aggregate of the big data, deterministic) is cached
@@ -109,8 +139,7 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     AQE still splits hot keys of the big side.
     """
     limit = max_rows if max_rows is not None else broadcast_limit(big)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(small)
+    small = current_scope().keep(small.persist(StorageLevel.MEMORY_AND_DISK))
     rows = small.count()
     fits = rows <= limit and fits_broadcast(small, rows)
-    return join_keys(big, small, on, how, broadcast_right=fits)
+    return join_keys(big, small, on, how, broadcast_right=fits, null_safe=null_safe)

@@ -58,18 +58,21 @@ def global_row_number(df: DataFrame, order: Sequence[ColumnOrName], name: str =
 
 
 def row_number_checked(df: DataFrame, order: Sequence[ColumnOrName], name: str = "index",
-                       max_rows: int | None = None) -> DataFrame:
+                       max_rows: int | None = None, rows_bound: int | None = None) -> DataFrame:
     """``global_row_number`` with a checked shortcut: the input is cached and
-    counted; up to ``max_rows`` rows (default ``spark.fairway.maxWindowGroupRows``)
+    counted (unless ``rows_bound``, a proven bound, is given); up to ``max_rows`` rows (default ``spark.fairway.maxWindowGroupRows``)
     one ordered window numbers them in a single task — a proven bound, like a
-    broadcast — and beyond it the distributed numbering runs."""
+    broadcast — and beyond it the distributed numbering runs. ``order`` must be
+    total, so that both give the same numbers."""
     spark = df.sparkSession
     if max_rows is None:
         value = spark.conf.get("spark.fairway.maxWindowGroupRows", None)
         max_rows = int(value) if value else 2_000_000
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    joins._CACHED.append(cached)
-    if cached.count() <= max_rows:
+    if rows_bound is None or rows_bound > max_rows:
+        df = joins.current_scope().keep(df.persist(StorageLevel.MEMORY_AND_DISK))
+        rows_bound = df.count()
+    cached = df
+    if rows_bound <= max_rows:
         return cached.select("*", F.row_number().over(Window.orderBy(*order))
                              .cast("long").alias(name))
     return global_row_number(cached, order, name)

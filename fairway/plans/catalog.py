@@ -135,7 +135,8 @@ waved AS (
          row_number() OVER (ORDER BY dg_id NULLS FIRST, teetime NULLS FIRST, year NULLS FIRST,
                                      event_id NULLS FIRST, round NULLS FIRST,
                                      player_name NULLS FIRST, course_num NULLS FIRST,
-                                     score NULLS FIRST) AS idx
+                                     score NULLS FIRST, event_name NULLS FIRST,
+                                     sg_total NULLS FIRST) AS idx
   FROM scored)"""
 
 
@@ -199,9 +200,9 @@ def rolling_inputs(spark, sf_dir):
 
 def rolling_of(spark, sf_dir, period):
     src, factors, stats = rolling_inputs(spark, sf_dir)
-    # factors come from these statistics: at most one row per event group
+    # factors come from these statistics: one row per course
     return form.rolling_index(src, factors, period, stats=stats,
-                              factor_rows_bound=stats.summary()["event_rows"])
+                              factor_rows_bound=stats.summary()["course_rows"])
 
 
 def _rolling_query(p):
@@ -221,7 +222,7 @@ MULTI_PERIODS = (10, 25, 50)
 def q_rolling_index_multi(spark, sf_dir):
     src, factors, stats = rolling_inputs(spark, sf_dir)
     return r6(form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats,
-                                       factor_rows_bound=stats.summary()["event_rows"]))
+                                       factor_rows_bound=stats.summary()["course_rows"]))
 
 
 @register("wave_average", _with(ROUNDS_SQL) + """
@@ -254,7 +255,7 @@ def q_weighted_index_by_course(spark, sf_dir):
 # ------------------------------------------------------------------ reports
 from fairway.plans import reports  # noqa: E402
 
-# Report parameters for the driver data (all tee times fall in January 2024).
+# Report parameters for the driver data (tee times fall in January 2023 and 2024).
 REPORT_YEAR = 2024
 MAX_DAYS = 25
 FORM_PERIOD = 50
@@ -293,15 +294,15 @@ def q_zero_high_events(spark, sf_dir):
 
 @register("easiest_event", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
 SELECT {DIFF_COLS} FROM difficulty WHERE over_80 = 0
-ORDER BY sub_70 DESC, year, event_id, course_num LIMIT 1""")
+ORDER BY sub_70 DESC, year, event_id, course_num, event_name DESC, course_name DESC LIMIT 1""")
 def q_easiest_event(spark, sf_dir):
     return r6(reports.easiest_event(difficulty_of(spark, sf_dir)))
 
 
 @register("overall_shares", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
-SELECT {R("100.0 * (CAST(coalesce(sum(over_80), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0))")}
+SELECT round_even(100.0 * (CAST(coalesce(sum(over_80), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0)), 1)
          AS pct_over_80,
-       {R("100.0 * (CAST(coalesce(sum(sub_70), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0))")}
+       round_even(100.0 * (CAST(coalesce(sum(sub_70), 0) AS DOUBLE) / coalesce(sum(total_rounds), 0)), 1)
          AS pct_sub_70,
        count(*) FILTER (WHERE over_80 = 0) AS zero_high_events
 FROM difficulty""")
@@ -311,7 +312,8 @@ def q_overall_shares(spark, sf_dir):
 
 @register("majors_ranked", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
 SELECT {DIFF_COLS},
-       row_number() OVER (ORDER BY pti DESC NULLS FIRST, year, event_id, course_num) AS rank
+       row_number() OVER (ORDER BY pti DESC NULLS FIRST, year, event_id, course_num,
+                          event_name DESC, course_name DESC) AS rank
 FROM difficulty WHERE major_championship""")
 def q_majors_ranked(spark, sf_dir):
     return r6(reports.majors_ranked(difficulty_of(spark, sf_dir)))
@@ -320,11 +322,14 @@ def q_majors_ranked(spark, sf_dir):
 @register("major_extremes", _with(ROUNDS_SQL, DIFFICULTY_SQL) + """
 SELECT * FROM (SELECT 'hardest' AS kind, year, event_id, event_name, course_name, course_num, pti
                FROM difficulty WHERE major_championship
-               ORDER BY pti DESC, year, event_id, course_num LIMIT 1)
+               ORDER BY pti DESC, year, event_id, course_num, event_name DESC, course_name DESC
+               LIMIT 1)
 UNION ALL
 SELECT * FROM (SELECT 'easiest' AS kind, year, event_id, event_name, course_name, course_num, pti
                FROM difficulty WHERE major_championship
-               ORDER BY pti ASC, year DESC, event_id DESC, course_num DESC LIMIT 1)""")
+               ORDER BY pti ASC, year DESC NULLS FIRST, event_id DESC NULLS FIRST,
+                        course_num DESC NULLS FIRST, event_name, course_name
+               LIMIT 1)""")
 def q_major_extremes(spark, sf_dir):
     return r6(reports.major_extremes(difficulty_of(spark, sf_dir)))
 
@@ -338,8 +343,8 @@ SELECT h.course_num AS hardest_course_num, h.course_name AS hardest_course,
        e.course_num AS easiest_course_num, e.course_name AS easiest_course,
        {R("e.course_factor")} AS easiest_factor,
        CAST(trunc(h.course_factor / e.course_factor) AS BIGINT) AS factor_ratio,
-       {R("100.0 * (CAST(h.total_over_80 AS DOUBLE) / h.total_rounds)")} AS hardest_pct_over_80,
-       {R("100.0 * (CAST(h.total_sub_70 AS DOUBLE) / h.total_rounds)")} AS hardest_pct_sub_70
+       round_even(100.0 * (CAST(h.total_over_80 AS DOUBLE) / h.total_rounds), 1) AS hardest_pct_over_80,
+       round_even(100.0 * (CAST(h.total_sub_70 AS DOUBLE) / h.total_rounds), 1) AS hardest_pct_sub_70
 FROM h LEFT JOIN e ON true""")
 def q_venue_extremes(spark, sf_dir):
     return r6(reports.venue_extremes(course_factor_of(spark, sf_dir)))
@@ -444,7 +449,7 @@ def q_trend_bounds(spark, sf_dir):
 # ------------------------------------------------------------------- ingest
 from fairway.session import scratch_dir  # noqa: E402
 from fairway.sources import ingest, io  # noqa: E402
-from fairway.sources.schemas import EVENT_DIFFICULTY  # noqa: E402
+from fairway.sources.schemas import CORRUPT, EVENT_DIFFICULTY  # noqa: E402
 from fairway.sources.testdata import ROUNDS_RAW_SQL  # noqa: E402
 
 
@@ -476,7 +481,7 @@ INGEST_SRC_SQL = """ingest_src AS (
          CASE isodow(CAST(ts AS DATE)) WHEN 1 THEN -5 WHEN 7 THEN -4 WHEN 6 THEN -3 END AS off,
          CASE WHEN event_type = 'signup' THEN 'none'
               WHEN event_type = 'error' AND dg_id % 7 = 3 THEN 'bad' ELSE 'ok' END AS tee_kind
-  FROM rounds_raw WHERE event_id % 2 = 1)"""
+  FROM rounds_raw)"""
 
 
 @register("ingest_rounds", _with(ROUNDS_RAW_SQL, INGEST_SRC_SQL) + f"""
@@ -486,22 +491,23 @@ SELECT year, event_id, event_name, dg_id, player_name, round, course_name, cours
        CASE tee_kind WHEN 'none' THEN CAST(completed + CAST(round + off AS INTEGER) AS TIMESTAMP)
             ELSE CAST(completed + CAST(round + off AS INTEGER) AS TIMESTAMP)
                  + (date_trunc('minute', ts) - date_trunc('day', ts)) END AS teetime
-FROM ingest_src WHERE off IS NOT NULL AND tee_kind <> 'bad'""")
+FROM ingest_src WHERE event_id % 2 = 1 AND off IS NOT NULL AND tee_kind <> 'bad'""")
 def q_ingest_rounds(spark, sf_dir):
     return r6(_ingested(spark, sf_dir).rounds)
 
 
 QUARANTINE_SQL = """
-SELECT year, event_id, event_name, dg_id, player_name, round,
+SELECT year, event_id, CASE WHEN event_id % 2 = 1 THEN event_name END AS event_name, dg_id,
+       player_name, round,
        CASE tee_kind WHEN 'none' THEN NULL WHEN 'bad' THEN 'tbd'
             ELSE lower(strftime(ts, '%-I:%M%p')) END AS teetime_text,
        strftime(completed, '%Y-%m-%d') AS event_completed,
-       CASE WHEN off IS NULL THEN CAST(year AS VARCHAR) || ' ' || event_name || ' ('
-                 || CAST(event_id AS VARCHAR)
-                 || ') didn''t finish on Sunday or Monday... it finished on '
-                 || strftime(completed, '%A')
-            ELSE 'malformed teetime ''tbd''' END AS reason
-FROM ingest_src WHERE off IS NULL OR tee_kind = 'bad'"""
+       CAST(NULL AS VARCHAR) AS document,
+       CASE WHEN event_id % 2 = 0 THEN 'event not in the list'
+            WHEN off IS NULL THEN 'completed on ' || strftime(completed, '%A')
+                 || ', expected Saturday to Monday'
+            ELSE 'malformed tee time ''tbd''' END AS reason
+FROM ingest_src WHERE event_id % 2 = 0 OR off IS NULL OR tee_kind = 'bad'"""
 
 
 @register("ingest_quarantine", _with(ROUNDS_RAW_SQL, INGEST_SRC_SQL) + QUARANTINE_SQL)
@@ -509,6 +515,53 @@ def q_ingest_quarantine(spark, sf_dir):
     return _ingested(spark, sf_dir).quarantine
 
 
+MIXED_SQL = """mixed AS (
+  SELECT event_id AS key, event_id % 20 AS k, CAST(day(ts) AS BIGINT) AS day, ts, event_type,
+         user_id, CAST(event_id % 4 + 1 AS BIGINT) AS slot,
+         event_id % 20 = 0 OR (event_id % 20 = 1 AND event_type <> 'signup') AS broken,
+         CASE WHEN event_type = 'signup' THEN NULL
+              WHEN (event_id % 37) % 9 = 0 THEN 62 + CAST(floor(value) AS BIGINT) % 18
+              ELSE 62 + CAST(floor(value) AS BIGINT) % 24 END AS score
+  FROM events)"""
+
+
+def _mixed(spark, sf_dir):
+    docs = testdata.mixed_documents(_events(spark, sf_dir))
+    return ingest.parse_payloads(docs)
+
+
+@register("rounds_unpivot", _with(MIXED_SQL) + """
+SELECT day AS event_id, CAST(year(ts) AS BIGINT) AS payload_year, dg_id, player_name, round, score
+FROM (SELECT *, user_id AS dg_id, 'first' AS player_name, slot AS round FROM mixed
+      UNION ALL SELECT *, user_id, 'first', slot % 4 + 1 FROM mixed
+      UNION ALL SELECT *, user_id + 1000000, 'second', (slot + 1) % 4 + 1 FROM mixed)
+WHERE NOT broken""")
+def q_rounds_unpivot(spark, sf_dir):
+    readable = _mixed(spark, sf_dir).where(F.col(CORRUPT).isNull())
+    return ingest.unpivot_rounds(readable).select(
+        "event_id", "payload_year", "dg_id", "player_name", "round", F.col("r.score").alias("score"))
+
+
+@register("ingest_accounting", _with(MIXED_SQL) + """
+SELECT reason, CAST(sum(n) AS BIGINT) AS rows FROM (
+  SELECT CASE WHEN broken THEN 1 ELSE 3 END AS n,
+         CASE WHEN broken THEN 'unreadable document'
+              WHEN k = 2 THEN 'other tour'
+              WHEN day % 2 = 0 THEN 'event not in the list'
+              WHEN day % 10 = 1 THEN 'event listed under several names'
+              WHEN k IN (3, 4) THEN 'no usable completion date'
+              WHEN isodow(CAST(ts AS DATE)) NOT IN (1, 6, 7) THEN 'completed on '
+                   || strftime(ts, '%A') || ', expected Saturday to Monday'
+              WHEN event_type = 'error' AND user_id % 7 = 3 THEN 'malformed tee time ''tbd'''
+              ELSE 'valid' END AS reason
+  FROM mixed) GROUP BY reason""")
+def q_ingest_accounting(spark, sf_dir):
+    """Rounds that landed, by what became of them."""
+    staged = ingest.staged_rounds(_mixed(spark, sf_dir), testdata.mixed_event_list(_events(spark, sf_dir)))
+    return staged.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 @register("round_dates", """
 SELECT o_orderkey, CAST(round AS BIGINT) AS round, CAST(o_orderdate AS DATE) AS completion_date,
        CAST(o_orderdate AS DATE)
@@ -625,7 +678,7 @@ def q_form_index_sink(spark, sf_dir):
     root = scratch_dir(spark, "form-index")
     src, factors, stats = rolling_inputs(spark, sf_dir)
     long = form.rolling_index_multi(src, factors, MULTI_PERIODS, stats=stats,
-                                    factor_rows_bound=stats.summary()["event_rows"])
+                                    factor_rows_bound=stats.summary()["course_rows"])
     io.write_form_index(long, root)
     return r6(io.read_form_index(spark, root, 25))
 

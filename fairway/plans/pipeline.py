@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from fairway.operators.difficulty import course_factor, difficulty_from_counts
 from fairway.operators.form import RoundStatistics, rolling_index_multi
-from fairway.operators.joins import materialize, release_cached, release_tables
+from fairway.operators.joins import materialize, run_scope
 from fairway.plans import reports
 from fairway.sources import io
 
@@ -31,23 +31,20 @@ def sorted_for_export(df: DataFrame, *cols) -> DataFrame:
 
 def run_metrics(spark: SparkSession, rounds_root: str, out_root: str,
                 periods: Sequence[int] = PERIODS) -> dict[str, str]:
-    rounds = io.read_rounds(spark, rounds_root)
-    # one pass over the rounds for event counts, wave averages, player sizes
-    stats = RoundStatistics(rounds)
-    difficulty = materialize(difficulty_from_counts(stats.event_counts()))
-    io.write_csv(sorted_for_export(difficulty, F.col("pti").desc_nulls_first(), "year",
-                                   "event_id", "course_num"), f"{out_root}/pti")
-    factors = materialize(course_factor(difficulty))
-    io.write_csv(sorted_for_export(factors, F.col("course_factor").desc_nulls_first(),
-                                   "course_num"), f"{out_root}/course_factor")
-    # factors were computed from these statistics: at most one row per event group
-    long = rolling_index_multi(rounds, factors, periods, stats=stats,
-                               factor_rows_bound=stats.summary()["event_rows"])
-    long = long.sortWithinPartitions(F.col("dg_id").desc(), F.col("player_name").desc(),
-                                     F.col("teetime").desc())
-    io.write_form_index(long, f"{out_root}/form_index")
-    release_cached()
-    release_tables(spark)
+    with run_scope():  # frees this run's tables and cached frames only
+        rounds = io.read_rounds(spark, rounds_root)
+        # one pass over the rounds for event counts, wave averages, player sizes
+        stats = RoundStatistics(rounds)
+        difficulty = materialize(difficulty_from_counts(stats.event_counts()))
+        io.write_csv(sorted_for_export(difficulty, F.col("pti").desc_nulls_first(), "year",
+                                       "event_id", "course_num"), f"{out_root}/pti")
+        factors = materialize(course_factor(difficulty))
+        io.write_csv(sorted_for_export(factors, F.col("course_factor").desc_nulls_first(),
+                                       "course_num"), f"{out_root}/course_factor")
+        # factors were computed from these statistics: one row per course
+        long = rolling_index_multi(rounds, factors, periods, stats=stats,
+                                   factor_rows_bound=stats.summary()["course_rows"])
+        io.write_form_index(long, f"{out_root}/form_index", periods)
     return {"pti": f"{out_root}/pti", "course_factor": f"{out_root}/course_factor",
             "form_index": f"{out_root}/form_index"}
 

@@ -9,12 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairway.functions.numeric import ieee_div, sum0
+from fairway.functions.numeric import ieee_div, round_half_even, sum0
 from fairway.functions.rules import weighted_gain, whole_days_between
 from fairway.operators.joins import join_small
 from fairway.operators.sequence import row_number_checked
 
+# Ties between events: year, event and course ascending (missing ones last),
+# then names descending; with these every column of the difficulty key is part of the order.
 EVENT_TIE = ("year", "event_id", "course_num")
+NAME_TIE = ("event_name", "course_name")
+
+
+def _event_order() -> list:
+    return [F.col(c).asc_nulls_last() for c in EVENT_TIE] + [F.col(c).desc() for c in NAME_TIE]
 
 
 def year_as_text(difficulty: DataFrame) -> DataFrame:
@@ -30,15 +37,17 @@ def zero_high_events(difficulty: DataFrame) -> DataFrame:
 def easiest_event(difficulty: DataFrame) -> DataFrame:
     """The event without an 80+ round that had the most sub-70 rounds."""
     return zero_high_events(difficulty).orderBy(
-        F.col("sub_70").desc(), *[F.col(c).asc() for c in EVENT_TIE]).limit(1)
+        F.col("sub_70").desc(), *_event_order()).limit(1)
 
 
 def overall_shares(difficulty: DataFrame) -> DataFrame:
-    """Share (percent) of all rounds at 80+ and under 70, and the number of
+    """Share (percent, one decimal) of all rounds at 80+ and under 70, and the number of
     events without an 80+ round; one row."""
     return difficulty.agg(
-        (F.lit(100.0) * ieee_div(sum0("over_80"), sum0("total_rounds"))).alias("pct_over_80"),
-        (F.lit(100.0) * ieee_div(sum0("sub_70"), sum0("total_rounds"))).alias("pct_sub_70"),
+        round_half_even(F.lit(100.0) * ieee_div(sum0("over_80"), sum0("total_rounds")), 1)
+        .alias("pct_over_80"),
+        round_half_even(F.lit(100.0) * ieee_div(sum0("sub_70"), sum0("total_rounds")), 1)
+        .alias("pct_sub_70"),
         F.count_if(F.col("over_80") == 0).alias("zero_high_events"),
     )
 
@@ -48,7 +57,7 @@ def majors_ranked(difficulty: DataFrame) -> DataFrame:
     course. One ordered window only within a checked row count, else the
     distributed row number."""
     majors = difficulty.filter(F.col("major_championship"))
-    order = [F.col("pti").desc_nulls_first()] + [F.col(c).asc() for c in EVENT_TIE]
+    order = [F.col("pti").desc_nulls_first()] + _event_order()
     return row_number_checked(majors, order, "rank")
 
 
@@ -57,7 +66,7 @@ def major_extremes(difficulty: DataFrame) -> DataFrame:
     majors = difficulty.filter(F.col("major_championship"))
     row = F.struct("year", "event_id", "event_name", "course_name", "course_num", "pti")
     # ranking order is pti desc, then year/event/course asc
-    key = F.struct(F.col("pti"), -F.col("year"), -F.col("event_id"), -F.col("course_num"))
+    key = F.struct(F.col("pti"), -F.col("year"), -F.col("event_id"), -F.col("course_num"), *NAME_TIE)
     picked = majors.agg(F.max_by(row, key).alias("hardest"), F.min_by(row, key).alias("easiest"))
     stacked = picked.select(F.explode(F.array(
         F.struct(F.lit("hardest").alias("kind"), F.col("hardest").alias("m")),
@@ -88,9 +97,9 @@ def venue_extremes(factors: DataFrame) -> DataFrame:
         F.col("e.course_factor").alias("easiest_factor"),
         # int() truncation; inf/NaN have no integer value
         F.when(F.abs(ratio) < F.lit(9.0e18), ratio.cast("long")).alias("factor_ratio"),
-        (F.lit(100.0) * ieee_div(F.col("h.total_over_80"), F.col("h.total_rounds")))
+        round_half_even(F.lit(100.0) * ieee_div(F.col("h.total_over_80"), F.col("h.total_rounds")), 1)
         .alias("hardest_pct_over_80"),
-        (F.lit(100.0) * ieee_div(F.col("h.total_sub_70"), F.col("h.total_rounds")))
+        round_half_even(F.lit(100.0) * ieee_div(F.col("h.total_sub_70"), F.col("h.total_rounds")), 1)
         .alias("hardest_pct_sub_70"),
     )
 
@@ -141,11 +150,10 @@ def score_share_rows(rounds: DataFrame, factors: DataFrame) -> DataFrame:
     counts over each course, which would put a hot course in one task.
     """
     shares = score_distribution(rounds, factors).select(
-        "course_num", "score", F.col("pct_of_rounds").alias("count"))
-    with_share = join_small(rounds, shares, ["course_num", "score"], "left")
-    ranks = venue_rank(factors).select("course_num", "rank", "course_factor")
-    out = join_small(with_share, ranks, ["course_num"], "left")
-    return out.withColumn("log_course_factor", F.log10(F.lit(1.0) + F.col("course_factor")))
+        "course_num", "score", F.col("pct_of_rounds").alias("count"), "rank", "course_factor",
+        "log_course_factor")
+    out = join_small(rounds, shares, ["course_num", "score"], "left", null_safe=True)
+    return out.select(*rounds.columns, "count", "rank", "course_factor", "log_course_factor")
 
 
 def venue_median(rounds: DataFrame) -> DataFrame:
@@ -199,12 +207,16 @@ def no_impact_count(form: DataFrame, year: int, below: int = 65) -> DataFrame:
 
 
 def latest_per_player(form: DataFrame) -> DataFrame:
-    """Each player's latest form row (by tee time), via ``max_by`` in a
-    partial+final aggregation: map tasks keep one row per player, so a hot
-    player never lands whole in one task."""
+    """Each player's latest form row (by tee time). The latest time is a
+    fixed-width ``max`` (hash aggregation with map-side combine, no sort of the
+    form rows); joined back after a size check it leaves about one row per
+    player, of which ``max_by`` takes the last by name and window start."""
     cols = [c for c in form.columns if c != "dg_id"]
-    order = F.struct("teetime", "player_name", "first_tee_time_in_group")
-    latest = form.groupBy("dg_id").agg(F.max_by(F.struct(*cols), order).alias("__r"))
+    times = form.groupBy("dg_id").agg(F.max("teetime").alias("teetime"))
+    last = join_small(form, times, ["dg_id", "teetime"], "inner", null_safe=True)
+    order = F.struct("player_name", "first_tee_time_in_group",
+                     *[c for c in cols if c not in ("player_name", "first_tee_time_in_group")])
+    latest = last.groupBy("dg_id").agg(F.max_by(F.struct(*cols), order).alias("__r"))
     return latest.select("dg_id", *[F.col(f"__r.{c}").alias(c) for c in cols]).select(
         *form.columns)
 

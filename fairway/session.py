@@ -45,8 +45,9 @@ def get_spark(master: str | None = None, app_name: str = "fairway",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset, a
+    scratch folder is made for a ``local`` master only (tests): on a cluster
+    each machine would write to its own disk, so that is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="fairway-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

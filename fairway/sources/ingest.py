@@ -16,8 +16,13 @@ column. Everything after landing is column expressions on Spark:
 * tee times ``h:mma`` ("3:06pm") are combined with the round date; a missing
   tee time means midnight of the round date; malformed text is invalid.
 
-Invalid rows go to a quarantine frame with a reason (default) or fail the
-job (``strict=True``), so one bad event never stops a large load silently.
+Nothing is dropped: every round of every document is either valid or in the
+quarantine frame with a reason, and a document without readable rounds is one
+quarantined row. ``strict=True`` fails the job on the first such row instead.
+Reasons (in this order): unreadable document (malformed JSON or a value of the
+wrong type), other tour, event not in the list, event listed under several
+names, no usable completion date, completion on another weekday, malformed tee
+time. Duplicate rows of the event list count once.
 """
 
 from __future__ import annotations
@@ -29,13 +34,24 @@ from pyspark.sql import functions as F
 
 from fairway.functions.rules import slug
 from fairway.operators.joins import join_small
-from fairway.sources.schemas import EVENT_LIST, EVENT_PAYLOAD, ROUNDS
+from fairway.sources.schemas import (
+    CORRUPT,
+    EVENT_LIST,
+    EVENT_PAYLOAD,
+    LANDED_EVENT_LIST,
+    LANDED_PAYLOAD,
+    ROUNDS,
+)
 
 PGA_TOUR = "pga"
-TEETIME_PATTERN = "h:mma"
-TEETIME_SHAPE = r"^(1[0-2]|0?[1-9]):[0-5][0-9][AaPp][Mm]$"
+# hour and minute with one or two digits, then am/pm, any case
+TEETIME_SHAPE = r"^(1[0-2]|0?[1-9]):([0-5]?[0-9])([AaPp])[Mm]$"
 # Days from the completion date to round i's date, as an offset added to i.
 WEEKDAY_OFFSETS = {0: -5, 6: -4, 5: -3}   # Monday, Sunday, Saturday (weekday(): Monday = 0)
+# Reasons for whole documents.
+UNREADABLE, OTHER_TOUR, UNLISTED, AMBIGUOUS, NO_DATE = (
+    "unreadable document", "other tour", "event not in the list", "event listed under several names",
+    "no usable completion date")
 
 
 class IngestResult(NamedTuple):
@@ -44,16 +60,26 @@ class IngestResult(NamedTuple):
 
 
 # ------------------------------------------------------------------ readers
+def _readable(events: DataFrame) -> DataFrame:
+    """The event list itself must be readable: a broken entry fails the job."""
+    broken = F.raise_error(F.concat(F.lit("unreadable event list: "), F.substring(CORRUPT, 1, 200)))
+    return events.withColumn("tour", F.when(F.col(CORRUPT).isNull(), F.col("tour"))
+                             .otherwise(broken.cast("string"))).drop(CORRUPT)
+
+
 def read_event_list(spark: SparkSession, path: str) -> DataFrame:
     """Landed event-list file(s): a JSON array of events."""
-    return spark.read.schema(EVENT_LIST).option("multiLine", True).json(path)
+    return _readable(spark.read.schema(LANDED_EVENT_LIST).option("multiLine", True)
+                     .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def read_payloads(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Landed per-event payload files: one (pretty-printed) JSON object per
     file, or with ``multi_line=False`` JSON Lines (one document per line),
-    which Spark splits across tasks within a file."""
-    return spark.read.schema(EVENT_PAYLOAD).option("multiLine", multi_line).json(path)
+    which Spark splits across tasks within a file. What cannot be read as
+    declared is kept in the column ``_corrupt_record``."""
+    return spark.read.schema(LANDED_PAYLOAD).option("multiLine", multi_line) \
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
 
 
 def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:
@@ -68,7 +94,8 @@ def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_payloads(text: DataFrame, column: str = "value") -> DataFrame:
     """Payload objects from JSON text (one document per row)."""
-    return text.select(F.from_json(F.col(column), EVENT_PAYLOAD).alias("p")).select("p.*")
+    return text.select(F.from_json(F.col(column), LANDED_PAYLOAD, {
+        "columnNameOfCorruptRecord": CORRUPT}).alias("p")).select("p.*")
 
 
 def pga_events(events: DataFrame) -> DataFrame:
@@ -77,24 +104,27 @@ def pga_events(events: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- transforms
-def unpivot_rounds(payloads: DataFrame) -> DataFrame:
-    """One row per (event payload, player, present round)."""
-    # explode_outer + an explicit NULL filter: the same rows as explode, but
-    # Catalyst does not infer a size(scores) > 0 filter that it would push
-    # below an exchange (re-parsing every document there)
+def unpivot_rounds(payloads: DataFrame, *keep: str) -> DataFrame:
+    """One row per (document, player, present round); a document without any
+    gives one row without player and round. ``keep``: further columns."""
+    # explode_outer + explicit filters: the same rows as explode, but Catalyst
+    # does not infer a size(scores) > 0 filter that it would push below an
+    # exchange (re-parsing every document there)
     players = payloads.select(
-        F.col("event_id").cast("long").alias("event_id"),
+        F.col("event_id").try_cast("long").alias("event_id"),
         F.col("year").alias("payload_year"),
-        F.col("event_completed"),
-        F.explode_outer("scores").alias("p")).filter(F.col("p").isNotNull())
+        F.col("event_completed"), *keep,
+        F.explode_outer(F.filter("scores", lambda p: F.exists(
+            F.array(*[p[f"round_{i}"] for i in range(1, 5)]), lambda r: r.isNotNull()))).alias("p"))
     rounds = players.select(
-        "event_id", "payload_year", "event_completed",
+        "event_id", "payload_year", "event_completed", *keep,
         F.col("p.dg_id").alias("dg_id"),
         F.col("p.player_name").alias("player_name"),
-        F.posexplode(F.array(*[F.col(f"p.round_{i}") for i in range(1, 5)])).alias("pos", "r"))
-    return rounds.filter(F.col("r").isNotNull()).select(
-        "event_id", "payload_year", "event_completed", "dg_id", "player_name",
-        (F.col("pos") + 1).cast("long").alias("round"), "r")
+        F.posexplode(F.array(*[F.col(f"p.round_{i}") for i in range(1, 5)])).alias("pos", "r"),
+        F.col("p").isNull().alias("__none"))
+    return rounds.filter(F.col("r").isNotNull() | (F.col("__none") & (F.col("pos") == 0))).select(
+        "event_id", "payload_year", "event_completed", *keep, "dg_id", "player_name",
+        F.when(~F.col("__none"), (F.col("pos") + 1).cast("long")).alias("round"), "r")
 
 
 def round_date(completed: F.Column, round_no: F.Column) -> F.Column:
@@ -108,50 +138,78 @@ def round_date(completed: F.Column, round_no: F.Column) -> F.Column:
 
 def teetime_at(day: F.Column, text: F.Column) -> F.Column:
     """Tee time text on ``day`` as a wall-clock timestamp (seconds 0);
-    midnight when the text is missing; NULL when it is malformed."""
-    well_formed = text.rlike(TEETIME_SHAPE)
-    parsed = F.to_timestamp_ntz(F.concat_ws(" ", day.cast("string"), F.upper(text)),
-                                F.lit(f"yyyy-MM-dd {TEETIME_PATTERN}"))
-    return F.when(text.isNull(), day.cast("timestamp_ntz")).when(well_formed, parsed)
-
-
-def rounds_from_payloads(payloads: DataFrame, events: DataFrame, *, strict: bool = False,
-                         ) -> IngestResult:
-    """Typed rounds (``schemas.ROUNDS``) plus quarantined rows with a reason."""
-    long = unpivot_rounds(payloads)
-    meta = events.select(
-        F.col("event_id"),
-        F.col("calendar_year").alias("payload_year"),
-        F.col("calendar_year").alias("year"),
-        F.col("event_name"))
-    joined = join_small(long, meta, ["event_id", "payload_year"], "inner")
-    completed = F.to_date(F.col("event_completed"))
-    rd = round_date(completed, F.col("round"))
+    midnight when the text is missing; NULL when it is malformed or the day
+    is missing. Built from its parts, so no text can fail the job."""
+    part = lambda i: F.regexp_extract(text, TEETIME_SHAPE, i)
+    hour = part(1).try_cast("int") % 12 + F.when(F.lower(part(3)) == "p", 12).otherwise(0)
+    midnight = day.cast("timestamp_ntz")
+    at = midnight + F.make_dt_interval(hours=hour, mins=part(2).try_cast("int"))
+    return F.when(text.isNull(), midnight).when(text.rlike(TEETIME_SHAPE), at)
+
+
+def _listed(events: DataFrame) -> DataFrame:
+    """One row per (event id, year) of the list; ``names`` counts its names."""
+    return events.groupBy("event_id", F.col("calendar_year").alias("payload_year")).agg(
+        F.min("event_name").alias("listed_name"),
+        F.count_distinct(F.struct("event_name")).alias("names"))
+
+
+def staged_rounds(payloads: DataFrame, events: DataFrame, tour: str = PGA_TOUR) -> DataFrame:
+    """Every round with ``valid`` and, where not, its ``reason``."""
+    if CORRUPT not in payloads.columns:
+        payloads = payloads.withColumn(CORRUPT, F.lit(None).cast("string"))
+    # an unreadable document is one row, whatever the parser made of its parts
+    readable = payloads.withColumn("scores", F.when(F.col(CORRUPT).isNull(), F.col("scores")))
+    long = unpivot_rounds(readable, "tour", CORRUPT)
+    joined = join_small(long, _listed(events), ["event_id", "payload_year"], "left")
+    completed = F.col("event_completed").try_cast("date")
+    rd = round_date(completed, F.coalesce("round", F.lit(1).cast("long")))
     tee = teetime_at(rd, F.col("r.teetime"))
-    bad_day = F.concat(
-        F.col("year").cast("string"), F.lit(" "), F.col("event_name"), F.lit(" ("),
-        F.col("event_id").cast("string"),
-        F.lit(") didn't finish on Sunday or Monday... it finished on "),
-        F.date_format(completed, "EEEE"))
-    bad_tee = F.concat(F.lit("malformed teetime '"), F.col("r.teetime"), F.lit("'"))
-    reason = F.when(rd.isNull(), bad_day).when(tee.isNull(), bad_tee)
-    if strict:
-        reason = F.when(reason.isNotNull(), F.raise_error(reason))
-    staged = joined.select("*", rd.alias("round_date"), tee.alias("teetime"),
-                           reason.alias("reason"))
-    valid = staged.filter(F.col("reason").isNull()).select(
+    reason = (
+        F.when(F.col(CORRUPT).isNotNull(), F.lit(UNREADABLE))
+        .when(F.coalesce(F.col("tour") != tour, F.lit(True)), F.lit(OTHER_TOUR))
+        .when(F.col("names").isNull(), F.lit(UNLISTED))
+        .when(F.col("names") > 1, F.lit(AMBIGUOUS))
+        .when(completed.isNull(), F.lit(NO_DATE))
+        .when(rd.isNull(), F.concat(F.lit("completed on "), F.date_format(completed, "EEEE"),
+                                    F.lit(", expected Saturday to Monday")))
+        .when(F.col("round").isNull(), F.lit("document without rounds"))
+        .when(tee.isNull(), F.concat(F.lit("malformed tee time '"), F.coalesce("r.teetime", F.lit("")),
+                                     F.lit("'"))))
+    return joined.select(
+        F.col("payload_year").alias("year"), "event_id", F.col("listed_name").alias("event_name"),
+        "dg_id", "player_name", "round", "r", tee.alias("teetime"), "event_completed",
+        F.col(CORRUPT).alias("document"), reason.alias("reason")).withColumn(
+        "valid", F.col("reason").isNull())
+
+
+def split_rounds(staged: DataFrame) -> IngestResult:
+    """Valid rounds (``schemas.ROUNDS``) and quarantined rows of staged ones."""
+    valid = staged.filter("valid").select(
         "year", "event_id", "event_name", "dg_id", "player_name", "round",
         *[F.col(f"r.{c}").alias(c) for c in ("course_name", "course_num", "course_par", "score",
                                              "sg_app", "sg_arg", "sg_ott", "sg_putt", "sg_t2g",
                                              "sg_total")],
         "teetime")
     valid = valid.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
-    quarantine = staged.filter(F.col("reason").isNotNull()).select(
+    quarantine = staged.filter(~F.col("valid")).select(
         "year", "event_id", "event_name", "dg_id", "player_name", "round",
-        F.col("r.teetime").alias("teetime_text"), "event_completed", "reason")
+        F.col("r.teetime").alias("teetime_text"), "event_completed", "document", "reason")
     return IngestResult(valid, quarantine)
 
 
+def rounds_from_payloads(payloads: DataFrame, events: DataFrame, *, strict: bool = False,
+                         ) -> IngestResult:
+    """Typed rounds (``schemas.ROUNDS``) plus quarantined rows with a reason."""
+    staged = staged_rounds(payloads, events)
+    if strict:
+        failed = F.raise_error(F.concat(
+            F.lit("event "), F.coalesce(F.col("event_id").cast("string"), F.lit("?")), F.lit(" of "),
+            F.coalesce(F.col("year").cast("string"), F.lit("?")), F.lit(": "), F.col("reason")))
+        staged = staged.withColumn("valid", F.when(F.col("valid"), True).otherwise(failed.cast("boolean")))
+    return split_rounds(staged)
+
+
 # -------------------------------------------------------------- incremental
 def event_slug(events: DataFrame) -> DataFrame:
     """The file key of an event: its year and a slug of its name."""
@@ -172,6 +230,13 @@ def new_events(events: DataFrame, landed_keys: DataFrame, *, by_slug: bool = Fal
     return events.join(landed, cond, "left_anti")
 
 
+def unlanded_payloads(payloads: DataFrame, landed_keys: DataFrame) -> DataFrame:
+    """Documents whose event has not landed yet; unreadable ones stay."""
+    landed = landed_keys.select(F.col("year").alias("__y"), F.col("event_id").alias("__e")).distinct()
+    return payloads.join(landed, (F.col("year") == F.col("__y"))
+                         & (F.col("event_id").try_cast("long") == F.col("__e")), "left_anti")
+
+
 def landed_event_keys(rounds: DataFrame) -> DataFrame:
     """Distinct (year, event_id, event_slug) already present in a rounds dataset."""
     return rounds.select("year", "event_id", slug("event_name").alias("event_slug")).distinct()

@@ -2,50 +2,98 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairway.sources.schemas import FORM_INDEX, ROUNDS, SchemaMismatch, check_schema
+from fairway.sources.schemas import FORM_INDEX, ROUNDS, SchemaMismatch
 
 
-def write_rounds(rounds: DataFrame, root: str, mode: str = "overwrite",
-                 by_event: bool = False) -> None:
-    """Rounds dataset partitioned by ``year`` (and ``event_id`` with
-    ``by_event``: one folder per event, so re-landing an event replaces
-    exactly its rows). Overwrites are dynamic: only partitions present in
-    ``rounds`` are replaced, which makes a retried batch idempotent."""
-    spark = rounds.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+def write_rounds(rounds: DataFrame, root: str, by_event: bool = True) -> None:
+    """Rounds dataset. By event (default): folders ``year``/``event_id``, and only
+    the events present in ``rounds`` are replaced, which makes a retried batch
+    idempotent. Else by ``year``, replacing the whole dataset."""
     parts = ["year", "event_id"] if by_event else ["year"]
     typed = rounds.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
     # rebalance (not repartition) on the folder columns: AQE splits a hot year
     # over several tasks and merges small ones, so no task writes a whole year
-    typed.hint("rebalance", *parts).write.mode(mode).partitionBy(*parts).parquet(root)
+    typed.hint("rebalance", *parts).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic" if by_event else "static").partitionBy(*parts).parquet(root)
+
+
+def file_schemas(df: DataFrame) -> list[tuple[str, dict[str, str]]]:
+    """(example file, physical columns) of every different schema among the
+    Parquet files of ``df``: the footers are read in tasks."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return []
+
+    def footers(batches):
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            paths, columns = batch.column("path").to_pylist(), []
+            for path in paths:
+                fs, place = pafs.FileSystem.from_uri(path)
+                columns.append(sorted(f"{f.name}\t{f.type}" for f in pq.read_schema(place, filesystem=fs)))
+            yield pa.record_batch([pa.array(paths), pa.array(columns, pa.list_(pa.string()))],
+                                  names=["path", "columns"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(
+        min(len(files), 10 * spark.sparkContext.defaultParallelism))
+    found = listed.mapInArrow(footers, "path string, columns array<string>").groupBy("columns").agg(
+        F.min("path").alias("path")).collect()
+    return [(r["path"], dict(c.split("\t") for c in r["columns"])) for r in found]
 
 
 def read_rounds(spark: SparkSession, root: str) -> DataFrame:
     """Scan a rounds dataset with the declared schema, after checking the
-    stored schema (Spark would silently NULL-fill a missing column).
-    Partition folders (``year``, optionally ``event_id``) are typed by the
+    stored schema of every file (Spark would silently NULL-fill a missing
+    column). Partition folders (``year``, ``event_id``) are typed by the
     declaration, not by inference."""
-    discovered = spark.read.parquet(root).columns
-    # the files' own columns: no partition discovery
-    files = spark.read.option("recursiveFileLookup", "true").parquet(root)
-    folders = set(discovered) - set(files.columns)
-    missing = [f.name for f in ROUNDS.fields if f.name not in discovered]
-    if missing:
-        raise SchemaMismatch("missing columns " + ", ".join(missing))
-    check_schema(files, T.StructType([f for f in ROUNDS.fields if f.name not in folders]))
+    scan = spark.read.schema(ROUNDS).parquet(root)
+    problems = []
+    for path, columns in file_schemas(scan):
+        folders = {part.partition("=")[0] for part in path.split("/") if "=" in part}
+        for field in ROUNDS.fields:
+            if field.name in folders:
+                continue
+            if field.name not in columns:
+                problems.append(f"missing column {field.name} in {path}")
+            elif not columns[field.name].startswith(_ARROW_TYPES[field.dataType.simpleString()]):
+                problems.append(f"{field.name}: {columns[field.name]} in {path}")
+    if problems:
+        raise SchemaMismatch("; ".join(sorted(problems)))
     # partition columns come last from the reader; restore the declared order
-    return spark.read.schema(ROUNDS).parquet(root).select(*[f.name for f in ROUNDS.fields])
+    return scan.select(*[f.name for f in ROUNDS.fields])
+
+
+# Arrow's names of the declared column types.
+_ARROW_TYPES = {"bigint": "int64", "string": ("string", "large_string"), "double": "double",
+                "timestamp_ntz": "timestamp"}
 
 
-def write_form_index(long: DataFrame, root: str, mode: str = "overwrite") -> None:
-    """Rolling index for all periods, one folder per ``period``."""
+def write_form_index(long: DataFrame, root: str, periods: Sequence[int] | None = None) -> None:
+    """Rolling index, one folder per ``period``, rows of each file by player,
+    name and tee time descending. ``periods`` are replaced as a whole, also
+    those that have no rows now; by default the whole dataset is."""
     spark = long.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    long.hint("rebalance", "period").write.mode(mode).partitionBy("period").parquet(root)
+    if periods is not None:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for p in periods:
+            folder = hadoop(f"{root}/period={int(p)}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    # sorted after the rebalance, with the folder column first as the writer wants it
+    ordered = long.hint("rebalance", "period").sortWithinPartitions(
+        "period", F.col("dg_id").desc_nulls_first(), F.col("player_name").desc_nulls_first(),
+        F.col("teetime").desc_nulls_first())
+    ordered.write.mode("overwrite").option(
+        "partitionOverwriteMode", "static" if periods is None else "dynamic").partitionBy("period").parquet(root)
 
 
 def read_form_index(spark: SparkSession, root: str, period: int) -> DataFrame:

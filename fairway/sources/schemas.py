@@ -37,6 +37,9 @@ def struct_from(cls) -> T.StructType:
     return T.StructType(fields)
 
 
+# The column names of the datasets and feeds below.
+
+
 @dataclasses.dataclass
 class Round:
     """One player's round at one event (logical key: year, event_id, dg_id, round)."""
@@ -61,7 +64,7 @@ class Round:
 
 
 @dataclasses.dataclass
-class CourseInfo:
+class VenueRow:
     course_name: str
     course_num: int
     latitude: float
@@ -88,7 +91,7 @@ class FormIndexRow:
 
 
 ROUNDS = struct_from(Round)
-COURSE_INFO = struct_from(CourseInfo)
+COURSE_INFO = struct_from(VenueRow)
 FORM_INDEX = struct_from(FormIndexRow)
 
 EVENT_DIFFICULTY = T.StructType([
@@ -160,6 +163,11 @@ EVENT_PAYLOAD = T.StructType([
     T.StructField("scores", T.ArrayType(PLAYER_SCORES)),
 ])
 
+# What a reader could not parse as declared lands here, whole.
+CORRUPT = "_corrupt_record"
+LANDED_PAYLOAD = T.StructType([*EVENT_PAYLOAD.fields, T.StructField(CORRUPT, T.StringType())])
+LANDED_EVENT_LIST = T.StructType([*EVENT_LIST.fields, T.StructField(CORRUPT, T.StringType())])
+
 
 class SchemaMismatch(ValueError):
     """Raised when stored data does not carry a declared column/type."""

@@ -11,7 +11,9 @@ year = year(ts); event_id = day of month; round = source event_id % 4 + 1;
 course = cn; score NULL for sign-ups, ``62 + v % 18`` on courses with
 ``cn % 9 = 0`` (never 80+), else ``62 + v % 24``; sg_total NULL for errors of
 users with ``user_id % 5 = 0``, else ``round((value - 50) / 50, 3)``;
-teetime = ts.
+teetime = ts, a year earlier for ``event_id % 4 = 1`` (so the data has two
+years); ``event_id % 41 = 5`` has no course number; every 29th row carries
+another spelling of the player's name.
 """
 
 from __future__ import annotations
@@ -59,10 +61,11 @@ def round_columns() -> list:
         "event_id": day,
         "event_name": F.concat(F.lit("day_"), day.cast("string")),
         "dg_id": F.col("user_id"),
-        "player_name": F.concat(F.lit("user_"), F.col("user_id").cast("string")),
+        "player_name": F.concat(F.when(F.col("event_id") % 29 == 0, "alt_user_").otherwise("user_"),
+                                F.col("user_id").cast("string")),
         "round": F.col("event_id") % 4 + 1,
         "course_name": F.concat(F.lit("course_"), cn.cast("string")),
-        "course_num": cn,
+        "course_num": F.when(F.col("event_id") % 41 != 5, cn),
         "course_par": F.lit(72),
         "score": score,
         "sg_app": null_double,
@@ -77,7 +80,8 @@ def round_columns() -> list:
 
 
 def rounds_from_events(events: DataFrame) -> DataFrame:
-    return events.select(*round_columns())
+    shifted = F.when(F.col("event_id") % 4 == 1, F.col("ts") - F.expr("INTERVAL 1 YEAR"))
+    return events.withColumn("ts", F.coalesce(shifted, "ts")).select(*round_columns())
 
 
 def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +95,11 @@ _ROUNDS_SQL_TEMPLATE = """{name} AS (
          CAST(day(e.ts) AS BIGINT) AS event_id,
          'day_' || CAST(day(e.ts) AS VARCHAR) AS event_name,
          e.user_id AS dg_id,
-         'user_' || CAST(e.user_id AS VARCHAR) AS player_name,
+         CASE WHEN e.event_id % 29 = 0 THEN 'alt_user_' ELSE 'user_' END
+           || CAST(e.user_id AS VARCHAR) AS player_name,
          CAST(e.event_id % 4 + 1 AS BIGINT) AS round,
          'course_' || CAST(e.event_id % 37 AS VARCHAR) AS course_name,
-         CAST(e.event_id % 37 AS BIGINT) AS course_num,
+         CASE WHEN e.event_id % 41 <> 5 THEN CAST(e.event_id % 37 AS BIGINT) END AS course_num,
          CAST(72 AS BIGINT) AS course_par,
          CAST(CASE WHEN e.event_type = 'signup' THEN NULL
                    WHEN (e.event_id % 37) % 9 = 0 THEN 62 + CAST(floor(e.value) AS BIGINT) % 18
@@ -107,12 +112,14 @@ _ROUNDS_SQL_TEMPLATE = """{name} AS (
          CASE WHEN e.event_type = 'error' AND e.user_id % 5 = 0 THEN NULL
               ELSE round((e.value - 50) / 50, 3) END AS sg_total,
          e.ts AS teetime{extra}
-  FROM events e)"""
+  FROM {source} e)"""
 
-ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="")
+ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="", source="""(
+    SELECT * REPLACE (CASE WHEN event_id % 4 = 1 THEN ts - INTERVAL 1 YEAR ELSE ts END AS ts)
+    FROM events)""")
 # the view plus the raw columns the landed documents are built from
 ROUNDS_RAW_SQL = _ROUNDS_SQL_TEMPLATE.format(
-    name="rounds_raw", extra=", e.ts AS ts, e.event_type AS event_type")
+    name="rounds_raw", extra=", e.ts AS ts, e.event_type AS event_type", source="events")
 
 
 # ------------------------------------------------------ landed-document view
@@ -144,8 +151,7 @@ def payload_documents(events: DataFrame) -> DataFrame:
         r["sg_total"].alias("sg_total"), tee.alias("teetime"))
     rounds_by_slot = [F.when(rnd == i, detail).alias(f"round_{i}") for i in range(1, 5)]
     player = F.struct(F.col("user_id").alias("dg_id"),
-                      F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("player_name"),
-                      *rounds_by_slot)
+                      r["player_name"].alias("player_name"), *rounds_by_slot)
     day = F.dayofmonth("ts")
     doc = F.struct(
         F.concat(F.lit("day_"), day.cast("string")).alias("event_name"),
@@ -173,3 +179,44 @@ def event_list_documents(events: DataFrame) -> DataFrame:
         F.lit("yes").alias("traditional_stats"),
         F.when(F.col("event_id") % 2 == 1, F.lit("pga")).otherwise(F.lit("euro")).alias("tour"))
     return per_event.select(F.to_json(doc).alias("value"))
+
+
+def mixed_documents(events: DataFrame) -> DataFrame:
+    """Documents with every kind of fault, three rounds each: the row's player
+    has two rounds, a second player (id + 1,000,000) a third one; the other
+    rounds are absent. By ``event_id % 20``: 0 is cut in half, 1 has text for its
+    scores, 2 is of another tour, 3 has no completion date, 4 one that cannot
+    be read. ``key`` is the row's own id."""
+    r = dict(zip([f.name for f in ROUNDS.fields], round_columns()))
+    slot, k = F.col("event_id") % 4 + 1, F.col("event_id") % 20
+    tee = F.when((F.col("event_type") == "error") & (F.col("user_id") % 7 == 3), "tbd").when(
+        F.col("event_type") != "signup", F.lower(F.date_format("ts", "h:mma")))
+    detail = F.struct(*[r[c].alias(c) for c in ("course_name", "course_num", "course_par", "score", "sg_total")],
+                      tee.alias("teetime"))
+
+    def player(shift: int, name: str, *slots):
+        return F.struct((F.col("user_id") + shift).alias("dg_id"), F.lit(name).alias("player_name"),
+                        *[F.when(F.array_contains(F.array(*slots), F.lit(i).cast("long")), detail)
+                          .alias(f"round_{i}") for i in range(1, 5)])
+
+    day = F.dayofmonth("ts")
+    doc = F.to_json(F.struct(
+        day.cast("string").alias("event_id"),
+        F.when(k == 4, F.date_format("ts", "MM/dd/yyyy")).when(k != 3, F.date_format("ts", "yyyy-MM-dd"))
+        .alias("event_completed"),
+        F.year("ts").cast("long").alias("year"), F.when(k == 2, "euro").otherwise("pga").alias("tour"),
+        F.array(player(0, "first", slot, slot % 4 + 1), player(1_000_000, "second", (slot + 1) % 4 + 1))
+        .alias("scores")))
+    text = F.when(k == 0, F.substring(doc, 1, 80)).when(
+        k == 1, F.regexp_replace(doc, '"score":[0-9]+', '"score":"sixty"')).otherwise(doc)
+    return events.select(F.col("event_id").alias("key"), text.alias("value"))
+
+
+def mixed_event_list(events: DataFrame) -> DataFrame:
+    """Event list of the odd days; days ending in 1 are listed under two
+    names, days ending in 3 twice."""
+    days = events.select(F.year("ts").cast("long").alias("calendar_year"),
+                         F.dayofmonth("ts").cast("long").alias("event_id")).distinct().where("event_id % 2 = 1")
+    names = F.when(F.col("event_id") % 10 == 1, F.array(F.lit("a"), F.lit("b"))).when(
+        F.col("event_id") % 10 == 3, F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a")))
+    return days.select("calendar_year", "event_id", F.explode(names).alias("event_name"))

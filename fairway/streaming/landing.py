@@ -3,20 +3,25 @@
 The file source remembers in its checkpoint which documents were already
 processed, which is the "skip events already collected" rule of a batch
 loader without any listing or existence check on the driver. Each
-micro-batch runs the batch ingest and writes rounds and quarantined rows
-into one folder per (year, event_id) with dynamic overwrite: a batch that is
-retried after a failure rewrites the same event folders, so output stays
+micro-batch is parsed once into a staged table and split. Its rounds are merged
+with what is stored for their events: a round that lands again (same event,
+player and round) replaces the stored one, all others stay, so an event may come
+in several documents and batches. Quarantined rows are a log with one folder per
+batch. A batch that is retried rewrites the same folders, so output stays
 exactly-once. ``availableNow`` drains everything that is there and stops.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fairway.operators.joins import release_cached
+from fairway.operators.joins import materialize, run_scope
 from fairway.sources import ingest, io
-from fairway.sources.schemas import EVENT_PAYLOAD
+from fairway.sources.schemas import CORRUPT, LANDED_PAYLOAD, ROUNDS
+
+ROUND_KEY = ("year", "event_id", "dg_id", "round")
 
 
 def landing_stream(spark: SparkSession, landing_dir: str,
@@ -24,12 +29,41 @@ def landing_stream(spark: SparkSession, landing_dir: str,
                    multi_line: bool = True) -> DataFrame:
     """Stream of payload documents (one JSON object per file, or JSON Lines
     with ``multi_line=False``)."""
-    reader = spark.readStream.schema(EVENT_PAYLOAD).option("multiLine", multi_line)
+    reader = spark.readStream.schema(LANDED_PAYLOAD).option("multiLine", multi_line) \
+        .option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(landing_dir)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def merge_rounds(rounds: DataFrame, root: str) -> None:
+    """Write ``rounds`` into the dataset at ``root``, keeping the other rounds
+    already stored for their events. Call inside a ``run_scope``."""
+    spark = rounds.sparkSession
+    if _exists(spark, root):
+        stored = spark.read.schema(ROUNDS).parquet(root)
+        events = rounds.select("year", "event_id").distinct()
+        stored = stored.join(events, ["year", "event_id"], "left_semi")
+        kept = stored.join(rounds.select(*ROUND_KEY).distinct(), list(ROUND_KEY), "left_anti")
+        # written once before the folders it was read from are replaced
+        rounds = materialize(rounds.unionByName(kept.select(*rounds.columns)), "merged")
+    io.write_rounds(rounds, root)
+
+
+def open_quarantine(log: DataFrame, rounds: DataFrame) -> DataFrame:
+    """The rows of the quarantine log that are still open: the latest row of
+    each round that has not landed since, and every row without a round."""
+    latest = Window.partitionBy(*ROUND_KEY).orderBy(F.col("batch").desc())
+    named = log.where("round IS NOT NULL").withColumn("__n", F.row_number().over(latest)).where("__n = 1").drop("__n")
+    return named.join(rounds.select(*ROUND_KEY).distinct(), list(ROUND_KEY), "left_anti").unionByName(
+        log.where("round IS NULL").select(*named.columns))
+
+
 def start_ingest(spark: SparkSession, landing_dir: str, events: DataFrame, rounds_root: str,
                  quarantine_root: str, checkpoint_location: str, *, available_now: bool = True,
                  processing_time: str | None = None,
@@ -39,13 +73,12 @@ def start_ingest(spark: SparkSession, landing_dir: str, events: DataFrame, round
     already filtered to the tour of interest."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        result = ingest.rounds_from_payloads(batch, events)
-        io.write_rounds(result.rounds, rounds_root, mode="overwrite", by_event=True)
-        spark_ = batch.sparkSession
-        spark_.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        result.quarantine.write.mode("overwrite").partitionBy("year", "event_id") \
-            .parquet(quarantine_root)
-        release_cached()
+        with run_scope():
+            staged = materialize(ingest.staged_rounds(batch, events), "staged")
+            result = ingest.split_rounds(staged)
+            merge_rounds(result.rounds, rounds_root)
+            result.quarantine.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine_root)
 
     writer = landing_stream(spark, landing_dir, max_files_per_trigger, multi_line).writeStream \
         .foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)

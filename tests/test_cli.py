@@ -10,13 +10,18 @@ def test_cli_ingest_metrics_extracts(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     (landing / "a.json").write_text(json.dumps(payload()))
-    (landing / "b.json").write_text(json.dumps(payload("2021-06-16")))
+    (landing / "b.json").write_text(json.dumps(payload("2023-09-06")))
     rounds, quarantine, out = (str(tmp_path / n) for n in ("rounds", "quarantine", "out"))
     cli.main(["ingest", "--event-list", str(tmp_path / "events.json"), "--landing", str(landing),
               "--rounds", rounds, "--quarantine", quarantine])
     assert io.read_rounds(spark, rounds).count() == 4
     assert spark.read.parquet(quarantine).count() == 4
+    # landed events are skipped: a rerun writes nothing
+    before = sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "rounds").rglob("*.parquet"))
+    cli.main(["ingest", "--event-list", str(tmp_path / "events.json"), "--landing", str(landing),
+              "--rounds", rounds, "--quarantine", quarantine])
+    assert before == sorted((p, p.stat().st_mtime_ns) for p in (tmp_path / "rounds").rglob("*.parquet"))
     cli.main(["metrics", "--rounds", rounds, "--out", out, "--periods", "2,3"])
     assert io.read_form_index(spark, out + "/form_index", 2).count() == 3
-    cli.main(["extracts", "--out", out, "--period", "2", "--year", "2021", "--player", "19195"])
+    cli.main(["extracts", "--out", out, "--period", "2", "--year", "2023", "--player", "4077"])
     assert io.read_csv(spark, out + "/form_player").count() == 3

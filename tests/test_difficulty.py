@@ -18,14 +18,14 @@ def by_key(df, *keys):
     return {tuple(r[k] for k in keys): r for r in df.collect()}
 
 
-def test_difficulty_reference_case(spark):
-    # two events of four rounds each, as in the source project's unit test
-    df = _rounds(spark, {(2021, 1, 1): [78, 76, 80, 65], (2021, 2, 2): [65, 65, 65, 70]})
+def test_difficulty_two_events(spark):
+    df = _rounds(spark, {(2019, 5, 8): [83, 81, 74, 69, 68], (2020, 6, 9): [66, 71, 69]})
     out = by_key(event_difficulty(df), "event_id")
-    assert set(out) == {(1,), (2,)}
-    a, b = out[(1,)], out[(2,)]
-    assert (a.over_80, a.sub_70, a.total_rounds, a.scoring_average, a.pti) == (1, 1, 4, 74.75, 1.0)
-    assert (b.over_80, b.sub_70, b.total_rounds, b.scoring_average, b.pti) == (0, 3, 4, 66.25, 0.0)
+    assert set(out) == {(5,), (6,)}
+    a, b = out[(5,)], out[(6,)]
+    assert (a.over_80, a.sub_70, a.total_rounds, a.scoring_average, a.pti) == (2, 2, 5, 75.0, 1.0)
+    assert (b.over_80, b.sub_70, b.total_rounds, b.pti) == (0, 2, 3, 0.0)
+    assert same(b.scoring_average, 206 / 3)
     assert a.major_championship is False and b.major_championship is False
     assert [f.name for f in event_difficulty(df).schema] == [f.name for f in EVENT_DIFFICULTY]
 
@@ -53,25 +53,22 @@ def test_majors_flag(spark):
     assert [out[k] for k in range(len(ids))] == [True] * 5 + [False, False]
 
 
-def test_course_factor_reference_case(spark):
+def test_course_factor_two_courses(spark):
     pti = spark.createDataFrame(
-        [(2021, 1, "fake", "fake", 1, 1, 1, 4, 74.75, 1.0, False),
-         (2021, 2, "fake", "fake", 2, 0, 3, 6, 66.25, 0.0, False),
-         (2022, 1, "fake", "fake", 1, 2, 2, 10, 72.0, 1.0, False),
-         (2022, 2, "fake", "fake", 2, 3, 4, 8, 68.0, 0.75, False)], EVENT_DIFFICULTY)
+        [(2019, 5, "e", "north", 8, 2, 2, 5, 75.0, 1.0, False),
+         (2020, 6, "f", "south", 9, 1, 5, 20, 70.0, 0.2, False),
+         (2020, 7, "g", "north", 8, 4, 1, 10, 76.5, 4.0, False)], EVENT_DIFFICULTY)
     cf = course_factor(pti)
     assert [f.name for f in cf.schema] == [f.name for f in COURSE_FACTOR]
     out = by_key(cf, "course_num")
-    one, two = out[(1,)], out[(2,)]
-    assert (one.total_over_80, one.total_sub_70, one.total_rounds) == (3, 3, 14)
-    assert same(one.scoring_average, 1019.0 / 14.0)
-    assert (one.other_over_80, one.other_sub_70) == (3, 7)
-    assert same(one.course_factor, 100 * (7 / 3))
-    assert same(one.course_factor_star, math.log10(1 + 100 * (7 / 3)))
-    assert (two.total_over_80, two.total_sub_70, two.total_rounds) == (3, 7, 14)
-    assert same(two.scoring_average, 67.25)
-    assert (two.other_over_80, two.other_sub_70) == (3, 3)
-    assert same(two.course_factor, 100 * (3 / 7))
+    north, south = out[(8,)], out[(9,)]
+    assert (north.total_over_80, north.total_sub_70, north.total_rounds) == (6, 3, 15)
+    assert same(north.scoring_average, (75.0 * 5 + 76.5 * 10) / 15)
+    assert (north.other_over_80, north.other_sub_70) == (1, 5)
+    assert same(north.course_factor, 100 * ((6 / 3) / (1 / 5)))
+    assert same(north.course_factor_star, math.log10(1 + 100 * 10))
+    assert (south.other_over_80, south.other_sub_70) == (6, 3)
+    assert same(south.course_factor, 100 * ((1 / 5) / (6 / 3)))
 
 
 def test_course_factor_edge_cases(spark):
