@@ -6,31 +6,36 @@ is at least 3/4.
 
 Method (PartEnum, Arasu, Ganti and Kaushik 2006):
 
-* *Size bands.* Sets are put in bands ``(U/4, U]``, ``U = 4, 16, 64, ...``. A
-  set above ``3U/4`` may have a partner in the next band and is signed there
+* *Size bands.* Sets are put in bands ``(U/16, U]``, ``U = 16, 256, 4096, ...``.
+  A set above ``3U/4`` may have a partner in the next band and is signed there
   too, so linked sets share a band.
-* *Partitions.* In a band the domain (the hash range) is cut into ``0.7 U``
-  partitions (up to ``U = 64``: one for each value). A signature is the
+* *Partitions.* In a band the domain (the hash range) is cut into ``U``
+  partitions (up to ``U = 16``: one for each value). A signature is the
   content of one non-empty partition. If ``s`` and ``t`` link, they differ in
   at most ``k = |s| // 3`` elements, so at most ``k`` partitions differ and
   all others agree: the enumerated subsets have one partition each.
 * *Order.* Signatures have one global order: those met in few texts first,
-  then by partition. All signatures that stand before the first shared one
-  are among the ``k`` that differ, so the first ``k + 1`` of each set are
-  enough. Counts only choose the order; any order gives the same links.
+  then by partition. Before the ``m``-th shared one, at most ``k`` of a set's
+  signatures are not shared, so the first ``k + m`` of each set hold ``m``
+  shared ones, ``m = |s| // 10 + 1``. Counts only choose the order; any order
+  gives the same links.
+* *Count.* A set with fewer than ``3 |s| // 40 + 1`` signatures that any other
+  set has too cannot link (its partner has at least ``3/4`` of its size, hence
+  as many shared ones) and goes no further.
 
 Sets with one shared signature meet at a rendezvous (the smallest set
 fingerprint in the signature's bucket, the same for most buckets of a group
-of near copies) and are compared there exactly. Within a meeting a pair is
-compared only while its members are in different components, and only links
-leave the task: pairs are never written out. Large meetings are cut into
-blocks; the sets that stay outside the largest component then visit the
-other blocks.
+of near copies) and are compared there exactly. Meetings that share sets are
+joined while they have at most ``BLOCK`` sets, so that most sets travel once.
+Within a meeting a pair is compared only while its members are in different
+components, and only links leave the task: pairs are never written out. Large
+meetings are cut into blocks; the sets that stay outside the largest component
+then visit the other blocks.
 
 Defined cases: null, empty and blank texts have no shingles and no links;
 fewer than five words make one shingle of the whole sequence; equal sets are
-linked; repeated rows and ids give one row each; a null id never becomes a
-component id unless the whole component has null ids.
+linked; repeated rows and ids give one row each; a row without an id takes no
+part in links and has a null component id.
 """
 
 from __future__ import annotations
@@ -43,12 +48,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairway.llm.components import connected_components
-from fairway.llm.staging import parts, stage
+from fairway.llm.staging import parts, ship, stage
 from fairway.llm.textvec import LOWER, U64, RangeHash, Texts, mix, slices
 
 SHINGLE_WORDS = 5
 # A signature met in more texts than this is ordered last.
-COMMON = 32
+COMMON = 8
 # Common signatures sent to the tasks at most (16 MB); COMMON doubles until they fit.
 MOST_COMMON = 2_000_000
 # Sets compared in one task at once.
@@ -106,30 +111,28 @@ def fingerprints(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def signatures(values: np.ndarray, sizes: np.ndarray, common: np.ndarray,
                spare: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, signature, is common) of the first ``spare * (k + 1)`` signatures
+    """(row, signature, is common) of the first ``spare * (k + m)`` signatures
     of every set in the global order, for its band and, near the band's top,
     the next."""
-    band = np.full(len(sizes), 4, dtype=np.int64)
+    band = np.full(len(sizes), 16, dtype=np.int64)
     while (low := band < sizes).any():
-        band[low] *= 4
+        band[low] *= 16
     outs = []
-    for step in (1, 4):
+    for step in (1, 16):
         chosen = (sizes > 0) if step == 1 else (4 * sizes > 3 * band)
-        top = band * step
         inside = np.repeat(chosen, sizes)
         v = values[inside]
         if not len(v):
             continue
         row = np.repeat(np.flatnonzero(chosen), sizes[chosen])
-        u = top[row]
-        cells = np.where(u <= 64, 0, (0.7 * u).astype(np.int64)).astype(U64)
-        place = np.where(cells > 0, ((v >> U64(32)) * cells) >> U64(32), v)
+        u = (band * step)[row].astype(U64)
+        place = np.where(u > 16, ((v >> U64(32)) * u) >> U64(32), v)
         new = np.ones(len(v), dtype=bool)
         new[1:] = (place[1:] != place[:-1]) | (row[1:] != row[:-1])
         at = np.flatnonzero(new)
-        sign = mix(np.add.reduceat(mix(v + U64(991)), at) ^ mix(place[at] + (u[at] * 1_000_003).astype(U64)))
+        sign = mix(np.add.reduceat(mix(v + U64(991)), at) ^ mix(place[at] + u[at] * U64(1_000_003))) >> U64(16)
         row = row[at]
-        late = np.isin(sign, common) if len(common) else np.zeros(len(sign), dtype=bool)
+        late = _held(common, sign)
         begin = np.ones(len(row), dtype=bool)
         begin[1:] = row[1:] != row[:-1]
         group = np.cumsum(begin) - 1
@@ -140,14 +143,33 @@ def signatures(values: np.ndarray, sizes: np.ndarray, common: np.ndarray,
         nth_early = early_sum - early_before - 1
         position = np.arange(len(row)) - heads[group]
         nth = np.where(late, early_all + position - (nth_early + 1), nth_early)
-        wanted = np.floor(spare * (sizes[row] // 3 + 1)).astype(np.int64)
-        take = nth < wanted
+        size = sizes[row]
+        take = nth < np.floor(spare * (size // 3 + size // 10 + 1)).astype(np.int64)
         outs.append((row[take], sign[take], late[take]))
     if not outs:
         return np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, bool)
     return tuple(np.concatenate(x) for x in zip(*outs))
 
 
+def _held(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(x), dtype=bool)
+    at = np.searchsorted(sorted_values, x)
+    return sorted_values[np.minimum(at, len(sorted_values) - 1)] == x
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """48-bit numbers as six byte planes: those of ascending numbers compress."""
+    return x.view(np.uint8).reshape(-1, 8)[:, :6].T.tobytes()
+
+
+def _unplane(x: bytes) -> np.ndarray:
+    n = len(x) // 6
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :6] = np.frombuffer(x, dtype=np.uint8).reshape(6, n).T
+    return out.reshape(-1).view(U64)
+
+
 def _first_of_each(fp: np.ndarray) -> np.ndarray:
     mask = np.zeros(len(fp), dtype=bool)
     mask[np.unique(fp, return_index=True)[1]] = True
@@ -158,14 +180,12 @@ def _only(values, sizes, keep):
     return values[np.repeat(keep, sizes)], np.where(keep, sizes, 0)
 
 
-def _by_part(n_parts: int, sign: np.ndarray, *columns: np.ndarray):
-    """Rows of one packed part each: (part, columns as bytes...)."""
-    part = (sign % U64(n_parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
-    part = part[order]
+def _parts_of(n_parts: int, key: np.ndarray):
+    """(part, first, end) of keys that ascend: a part is a range of the key's 48 bits."""
+    part = ((key >> U64(16)) * U64(n_parts)) >> U64(32)
     at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else []
     for a, b in zip(at, [*at[1:], len(part)]):
-        yield int(part[a]), *[c[order[a:b]].tobytes() for c in columns]
+        yield int(part[a]), a, b
 
 
 def _count_side(n_parts: int):
@@ -173,7 +193,8 @@ def _count_side(n_parts: int):
 
     def send(held):
         sign, count = np.unique(np.concatenate(held), return_counts=True)
-        rows = list(_by_part(n_parts, sign, sign, np.minimum(count, 2**32 - 1).astype(np.uint32)))
+        rows = [(p, _planes(sign[a:b]), count[a:b].astype(np.uint32).tobytes())
+                for p, a, b in _parts_of(n_parts, sign)]
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -181,7 +202,7 @@ def _count_side(n_parts: int):
         for batch in slices(batches):
             values, sizes = shingle_sets(Texts(batch.column("text")))
             values, sizes = _only(values, sizes, _first_of_each(fingerprints(values, sizes)))
-            sign = signatures(values, sizes, np.zeros(0, U64), 1.4)[1]
+            sign = signatures(values, sizes, np.zeros(0, U64), 1.15)[1]
             held.append(sign)
             n += len(sign)
             if n >= FLUSH:
@@ -193,10 +214,6 @@ def _count_side(n_parts: int):
     return run, "part int, signs binary, counts binary"
 
 
-def _joined(table: pa.Table, column: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(x for x in table.column(column).to_pylist() if x), dtype=kind)
-
-
 def _common_signatures(texts: DataFrame, n_parts: int) -> np.ndarray:
     """Signatures met in many distinct sets: counted over all texts, sums of
     packed counts by part. Only the common ones reach the driver, at most
@@ -204,7 +221,8 @@ def _common_signatures(texts: DataFrame, n_parts: int) -> np.ndarray:
     run, schema = _count_side(n_parts)
 
     def total(table: pa.Table) -> pa.Table:
-        sign, count = _joined(table, "signs", U64), _joined(table, "counts", np.uint32)
+        sign = np.concatenate([_unplane(x) for x in table.column("signs").to_pylist()])
+        count = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype=np.uint32)
         order = np.argsort(sign)
         sign, count = sign[order], count[order].astype(np.int64)
         at = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
@@ -223,17 +241,26 @@ def _common_signatures(texts: DataFrame, n_parts: int) -> np.ndarray:
 
 def _meeting_side(n_parts: int, common):
     schema = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()),
-                        ("signs", pa.binary()), ("owners", pa.binary()), ("late", pa.binary())])
+                        ("signs", pa.binary()), ("owners", pa.binary()), ("sets", pa.binary()),
+                        ("late", pa.bool_())])
 
     def send(held):
         sign, owner, late = (np.concatenate(x) for x in zip(*held))
-        # a common signature is dealt by owner too: no part holds all its owners
-        key = np.where(late, mix(sign + owner), sign)
-        part = list(_by_part(n_parts, key, sign, owner, late))
-        none = [None] * len(part)
-        cols = list(zip(*part))
-        return pa.record_batch([pa.array(cols[0], pa.int32()), *[pa.array(none, pa.int64())] * 3,
-                                *[pa.array(c, pa.binary()) for c in cols[1:]]], schema=schema)
+        rows = []
+        for is_late in (False, True):
+            s, o = sign[late == is_late], owner[late == is_late]
+            # a common signature is dealt by owner too: no part holds all its owners
+            key = mix(s + o) >> U64(16) if is_late else s
+            order = np.argsort(key)
+            s, o, key = s[order], o[order], key[order]
+            for p, a, b in _parts_of(n_parts, key):
+                sets, number = np.unique(o[a:b], return_inverse=True)
+                rows.append((p, _planes(s[a:b]), number.astype(np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes(),
+                             sets.tobytes(), is_late))
+        cols = list(zip(*rows))
+        none = pa.nulls(len(rows), pa.int64())
+        return pa.record_batch([pa.array(cols[0], pa.int32()), none, none, none,
+                                *[pa.array(c, t) for c, t in zip(cols[1:], schema.types[4:])]], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]):
         held, n = [], 0
@@ -241,11 +268,13 @@ def _meeting_side(n_parts: int, common):
         for batch in slices(batches):
             values, sizes = shingle_sets(Texts(batch.column("text")))
             fp = fingerprints(values, sizes)
+            ids = batch.column("id").cast(pa.int64())
+            fp[ids.is_null().to_numpy(zero_copy_only=False)] = 0
             rows = batch.num_rows
             empty = pa.nulls(rows, pa.binary())
             yield pa.record_batch([pa.array(((fp + np.arange(rows, dtype=U64)) % U64(n_parts)).astype(np.int32)),
-                                   batch.column("id").cast(pa.int64()), pa.array(sizes.astype(np.int64)),
-                                   pa.array(fp.view(np.int64)), empty, empty, empty], schema=schema)
+                                   ids, pa.array(sizes.astype(np.int64)), pa.array(fp.view(np.int64)),
+                                   empty, empty, empty, pa.nulls(rows, pa.bool_())], schema=schema)
             values, sizes = _only(values, sizes, _first_of_each(fp))
             row, sign, late = signatures(values, sizes, known)
             held.append((sign, fp[row], late))
@@ -256,56 +285,74 @@ def _meeting_side(n_parts: int, common):
         if n:
             yield send(held)
 
-    return run, "part int, id long, n long, fp long, signs binary, owners binary, late binary"
+    return run, ("part int, id long, n long, fp long, signs binary, owners binary, sets binary, late boolean")
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Buckets of one part: members of buckets of two or more with their
-    rendezvous (kind 1), members of common signatures (kind 2), and the
-    documents that pass through (kind 0)."""
-    sign, owner = _joined(table, "signs", U64), _joined(table, "owners", U64)
-    late = _joined(table, "late", np.bool_)
+    """Buckets of one part. Kind 0: documents that pass through; 1: members of
+    buckets of two or more, with their rendezvous; 2: members of common
+    signatures; 3: a set and the number of its signatures that others have."""
     kinds, xs, ys = [], [], []
+
+    def put(kind, x, y):
+        kinds.append(np.full(len(x), kind, dtype=np.int32))
+        xs.append(x.view(np.int64))
+        ys.append(y.view(np.int64))
+
+    packed = table.filter(pa.compute.is_valid(table.column("late")))
     for common in (False, True):
-        s, o = sign[late == common], owner[late == common]
+        some = packed.filter(pa.compute.equal(packed.column("late"), common))
+        if not some.num_rows:
+            continue
+        s = np.concatenate([_unplane(x) for x in some.column("signs").to_pylist()])
+        o = np.concatenate([np.frombuffer(y, dtype=U64)[np.ascontiguousarray(
+            np.frombuffer(x, dtype=np.uint8).reshape(4, -1).T).reshape(-1).view(np.uint32)]
+            for x, y in zip(some.column("owners").to_pylist(), some.column("sets").to_pylist())])
         order = np.lexsort((o, s))
         s, o = s[order], o[order]
-        if not len(s):
-            continue
         new = np.ones(len(s), dtype=bool)
         new[1:] = (s[1:] != s[:-1]) | (o[1:] != o[:-1])
         s, o = s[new], o[new]
         if common:
-            x, y = s, o
-        else:
-            at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            n = np.diff(np.concatenate([at, [len(s)]]))
-            keep = np.repeat(n > 1, n)
-            x, y = np.repeat(o[at], n)[keep], o[keep]
-            order = np.lexsort((y, x))
-            x, y = x[order], y[order]
-            new = np.ones(len(x), dtype=bool)
-            new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            x, y = x[new], y[new]
-        kinds.append(np.full(len(x), 2 if common else 1, dtype=np.int32))
-        xs.append(x.view(np.int64))
-        ys.append(y.view(np.int64))
+            put(2, s, o)
+            continue
+        at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        n = np.diff(np.concatenate([at, [len(s)]]))
+        keep = np.repeat(n > 1, n)
+        x, y = np.repeat(o[at], n)[keep], o[keep]
+        sets, count = np.unique(y, return_counts=True)
+        put(3, count.astype(np.int64), sets)
+        order = np.lexsort((y, x))
+        x, y = x[order], y[order]
+        new = np.ones(len(x), dtype=bool)
+        new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        put(1, x[new], y[new])
     docs = table.filter(pa.compute.is_valid(table.column("fp")))
     n = sum(map(len, xs))
     return pa.table({
-        "kind": pa.concat_arrays([pa.array(np.zeros(docs.num_rows, np.int32)), *map(pa.array, kinds)]),
+        "kind": pa.chunked_array([pa.array(np.zeros(docs.num_rows, np.int32)), *map(pa.array, kinds)], pa.int32()),
         "x": pa.chunked_array([*docs.column("id").chunks, *map(pa.array, xs)], pa.int64()),
         "y": pa.chunked_array([*docs.column("fp").chunks, *map(pa.array, ys)], pa.int64()),
         "n": pa.chunked_array([*docs.column("n").chunks, pa.nulls(n, pa.int64())], pa.int64())})
 
 
 def _set_side(batches: Iterator[pa.RecordBatch]):
+    """Each text's set (48-bit items) for every meeting it goes to."""
     for batch in slices(batches):
         values, sizes = shingle_sets(Texts(batch.column("text")))
-        fp = fingerprints(values, sizes)
+        right = fingerprints(values, sizes).view(np.int64) == batch.column("fp").to_numpy()
         end = np.cumsum(sizes)
-        packed = [values[e - n:e].tobytes() for e, n in zip(end, sizes)]
-        yield pa.record_batch([pa.array(fp.view(np.int64)), pa.array(packed, pa.binary())], names=["fp", "items"])
+        packed = [_planes(values[e - n:e] >> U64(16)) for e, n in zip(end, sizes)]
+        to = [t if ok else [] for t, ok in zip(batch.column("to").to_pylist(), right)]
+        row = np.repeat(np.arange(batch.num_rows), list(map(len, to)))
+        flat = [t for ts in to for t in ts]
+        for a in range(0, len(flat), 2000):  # bounded batches
+            some, rows = flat[a:a + 2000], row[a:a + 2000]
+            yield pa.record_batch([
+                pa.array([t["x"] for t in some], pa.int64()), pa.array([t["block"] for t in some], pa.int32()),
+                batch.column("fp").take(pa.array(rows)), pa.array([t["root"] for t in some], pa.int64()),
+                pa.array([t["visits"] for t in some], pa.bool_()), pa.array([packed[r] for r in rows], pa.binary())],
+                names=["x", "block", "fp", "root", "visits", "items"])
 
 
 def _links_of(sets: list[np.ndarray], label: np.ndarray, active: np.ndarray) -> np.ndarray:
@@ -344,7 +391,7 @@ def _compare(table: pa.Table) -> pa.Table:
     fp = table.column("fp").to_numpy()
     root = table.column("root").to_numpy()
     visits = table.column("visits").to_numpy(zero_copy_only=False)
-    sets = [np.frombuffer(x, dtype=U64) for x in table.column("items").to_pylist()]
+    sets = [_unplane(x) for x in table.column("items").to_pylist()]
     _, label = np.unique(root, return_inverse=True)
     label = _links_of(sets, label, visits if visits.any() else np.ones(len(fp), dtype=bool))
     first = np.full(len(fp), np.iinfo(np.int64).max)
@@ -354,9 +401,22 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"a": fp[keep], "b": head[keep]})
 
 
+def _compared(texts: DataFrame, firsts: DataFrame, places: DataFrame) -> DataFrame:
+    """Links found in meetings. ``firsts`` has one document of each set,
+    ``places`` the meetings (x, block, root, visits) each set goes to."""
+    to = places.groupBy("fp").agg(F.collect_list(F.struct("x", "block", "root", "visits")).alias("to"))
+    to = stage(firsts.join(to, "fp"), "places")
+    if to.count() <= BROADCAST_IDS:
+        to = F.broadcast(to)
+    sets = texts.where("id is not null").join(to, "id").select("text", "fp", "to").mapInArrow(
+        _set_side, "x long, block int, fp long, root long, visits boolean, items binary")
+    return sets.groupBy("x", "block").applyInArrow(_compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
+    ship(spark)
     n_parts = parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     common = spark.sparkContext.broadcast(_common_signatures(texts, n_parts))
@@ -365,27 +425,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _meet, "kind int, x long, y long, n long"), "meetings")
     members = met.where("kind = 0").select(F.col("x").alias("id"), F.col("y").alias("fp"), "n")
     late = met.where("kind = 2").select(F.col("x").alias("sign"), F.col("y").alias("fp"))
-    heads = late.groupBy("sign").agg(F.min("fp").alias("x"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = met.where("kind = 1").select("x", F.col("y").alias("fp")).unionByName(
-        late.join(heads, "sign").select("x", "fp")).distinct()
-    # meetings of one after all are dropped; large ones are cut into blocks
-    pairs = stage(pairs, "pairs")
+    # one document and the size of each set; sets with too few shared signatures go no further
+    classes = stage(members.where("fp <> 0").groupBy("fp").agg(F.min("id").alias("id"), F.max("n").alias("n")),
+                    "classes")
+    shared = met.where("kind = 3").select(F.col("y").alias("fp"), F.col("x").alias("c")).unionByName(
+        late.select("fp", F.lit(1).cast("long").alias("c"))).groupBy("fp").agg(F.sum("c").alias("c"))
+    able = stage(classes.join(shared, "fp").where("c >= floor(3 * n / 40) + 1").select("fp", "id"), "able")
+    late = late.join(able, "fp", "left_semi")
+    heads = late.groupBy("sign").agg(F.min("fp").alias("x"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    met_pairs = met.where("kind = 1").select("x", F.col("y").alias("fp")).join(able, "fp", "left_semi")
+    pairs = stage(met_pairs.unionByName(
+        late.join(heads, "sign").select("x", "fp")).distinct(), "pairs")
+    # meetings that share sets become one where that stays within a block
+    joint = connected_components(pairs.select(F.col("x").alias("a"), F.col("fp").alias("b")))
+    fits = joint.groupBy("root").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= BLOCK).select("root")
+    joint = stage(joint.join(fits, "root"), "joint")
+    pairs = pairs.join(joint, pairs.fp == joint.node, "left").select(
+        F.coalesce("root", "x").alias("x"), "fp").distinct()
+    # meetings of one are dropped; large ones are cut into blocks
     sizes = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = pairs.join(sizes, "x").select(
-        "x", "fp", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    pairs = stage(pairs.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")), "blocks")
-    # texts of the sets that meet
-    wanted = pairs.select("fp").distinct()
-    firsts = stage(members.groupBy("fp").agg(F.min("id").alias("id")).join(wanted, "fp", "left_semi"), "firsts")
-    ids = firsts.select("id").where("id is not null")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    sets = texts.join(ids, "id", "left_semi").select("text").mapInArrow(_set_side, "fp long, items binary")
-    sets = stage(sets.dropDuplicates(["fp"]), "sets")
-    link_schema = "a long, b long"
-    found = pairs.join(sets, "fp").select("x", "block", "fp", F.col("fp").alias("root"), "items",
-                                          F.lit(False).alias("visits"))
-    links = stage(found.groupBy("x", "block").applyInArrow(_compare, link_schema), "block-links")
+    pairs = pairs.join(sizes, "x").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
+    pairs = stage(pairs.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).drop("m"), "blocks")
+    links = stage(_compared(texts, able, pairs.select(
+        "x", "block", "fp", F.col("fp").alias("root"), F.lit(False).alias("visits"))), "block-links")
     large = pairs.where("blocks > 1")
     if large.limit(1).count():
         # sets outside the largest component of a large meeting visit its other blocks
@@ -400,15 +462,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("`to` <> block")
         both = tagged.select("x", "block", "fp", "root", F.lit(False).alias("visits")).unionByName(
             visits.select("x", F.col("to").alias("block"), "fp", "root", F.lit(True).alias("visits")))
-        more = both.join(sets, "fp").groupBy("x", "block").applyInArrow(_compare, link_schema)
-        links = links.unionByName(stage(more, "visit-links"))
+        links = links.unionByName(stage(_compared(texts, able, both), "visit-links"))
     root = connected_components(links)
-    # smallest id of each set, then of each component
-    least = members.where("n > 0").groupBy("fp").agg(F.min("id").alias("id"))
-    rooted = stage(least.join(root, least.fp == root.node, "left").select(
-        "fp", "id", F.coalesce("root", "fp").alias("root")), "rooted")
+    # smallest id of each component
+    rooted = classes.join(root, classes.fp == root.node).select("fp", "id", "root")
     top = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    class_of = rooted.join(top, "root").select("fp", "component_id")
+    linked = rooted.join(top, "root").select("fp", "component_id")
+    class_of = classes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
     out = members.join(class_of, "fp", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+                      F.coalesce("component_id", "id").alias("component_id"))
