@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import ship, stage
+from fairway.llm.staging import ship, small, stage
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -195,7 +195,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     taken."""
     firsts = docs.where(F.col(id_col).isNotNull())
     plan = planned(_sized(firsts, id_col, text_col, source_col).dropDuplicates(["id"]))
-    plan = plan.where("copies > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies"))
+    plan = small(stage(plan.where("copies > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies")),
+                       "plan"))
     rows = firsts.dropDuplicates([id_col]) if firsts.groupBy(id_col).count().where("count > 1").limit(1).count() \
         else firsts
     return rows.join(plan, F.col(id_col) == F.col("__id")).withColumn(

@@ -12,6 +12,7 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fairway.session import ensure_checkpoint_dir
 
@@ -28,6 +29,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (a staged table of a few narrow columns) marked for a broadcast
+    when it has at most ``BROADCAST_ROWS`` rows; else it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions of the packed shuffles: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
