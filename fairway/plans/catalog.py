@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairway.operators import difficulty
+from fairway.operators import difficulty, joins
 from fairway.sources import testdata
 from fairway.sources.testdata import ROUNDS_SQL
 
@@ -21,9 +21,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def _fresh(fn):
+    """Frames that earlier queries cached outside any run scope are released
+    first (they are only recomputed if their query is still read)."""
+    def run(spark, sf_dir):
+        while joins._DEFAULT.frames:
+            joins._DEFAULT.frames.pop().unpersist()
+        return fn(spark, sf_dir)
+    return run
+
+
 def register(name: str, sql: str | None = None):
     def wrap(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = _fresh(fn)
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
