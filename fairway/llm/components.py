@@ -14,30 +14,28 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps (Kiveris et al. 2014): each
     step groups by node with partial aggregation (``min``) and joins back, so
-    a node with very many links is never gathered in one task. Each step is a
-    written table; only one number (whether links changed) reaches the driver.
+    a node with very many links is never gathered in one task. Each round is a
+    written table; only its size and a checksum reach the driver.
     """
-    edges = stage(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-                  .distinct(), "links")
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
+    edges, before = stage(edges, "links"), None
     while True:
         # large star: link every larger neighbour to the smallest neighbour
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")) \
-            .where("hi <> lo").distinct()
-        large = stage(large, "large-star")
-        # small star: link smaller neighbours and the node to the smallest one
+            .where("hi <> lo")
+        # small star: link smaller neighbours and the node itself to the smallest one
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")) \
-            .where("hi <> lo").unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
-        small = stage(small, "small-star")
-        # every node has one link, to a node without one: done
-        stars = small.groupBy("hi").agg(F.count(F.lit(1)).alias("n"))
-        loose = stars.where("n > 1").limit(1).count() or \
-            small.join(stars.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
-        edges = small
-        if not loose:
+        small = large.join(least, "hi").select(F.explode(F.array(
+            F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")),
+            F.struct("hi", F.col("m").alias("lo")))).alias("e")).select("e.*").where("hi <> lo").distinct()
+        edges = stage(small, "stars")
+        # the same links as before: every node is linked to its root
+        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        if now == before:
             break
+        before = now
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
         edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())

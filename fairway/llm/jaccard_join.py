@@ -436,22 +436,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     met_pairs = met.where("kind = 1").select("x", F.col("y").alias("fp")).join(able, "fp", "left_semi")
     pairs = stage(met_pairs.unionByName(
         late.join(heads, "sign").select("x", "fp")).distinct(), "pairs")
-    # meetings that share sets become one where that stays within a block
-    joint = connected_components(pairs.select(F.col("x").alias("a"), F.col("fp").alias("b")))
-    fits = joint.groupBy("root").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") <= BLOCK).select("root")
-    joint = stage(joint.join(fits, "root"), "joint")
-    pairs = pairs.join(joint, pairs.fp == joint.node, "left").select(
-        F.coalesce("root", "x").alias("x"), "fp").distinct()
+    # a meeting joins the smallest one that shares a set with it, where the
+    # sets of all that do so stay within a block
+    least = pairs.groupBy("fp").agg(F.min("x").alias("g"))
+    joint = pairs.join(least, "fp").groupBy("x").agg(F.min("g").alias("g"), F.count(F.lit(1)).alias("m"))
+    fits = joint.groupBy("g").agg(F.sum("m").alias("m")).where(F.col("m") <= BLOCK).select("g")
+    joint = stage(joint.select("x", "g").join(fits, "g"), "joint")
+    pairs = pairs.join(joint, "x", "left").select(F.coalesce("g", "x").alias("x"), "fp").distinct()
     # meetings of one are dropped; large ones are cut into blocks
     sizes = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     pairs = pairs.join(sizes, "x").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
     pairs = stage(pairs.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).drop("m"), "blocks")
     links = stage(_compared(texts, able, pairs.select(
         "x", "block", "fp", F.col("fp").alias("root"), F.lit(False).alias("visits"))), "block-links")
+    root = connected_components(links)
     large = pairs.where("blocks > 1")
     if large.limit(1).count():
         # sets outside the largest component of a large meeting visit its other blocks
-        root = connected_components(links)
         tagged = stage(large.join(root, large.fp == root.node, "left").select(
             "x", "fp", "block", "blocks", F.coalesce("root", "fp").alias("root")), "tagged")
         by_root = tagged.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c"))
@@ -462,8 +463,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("`to` <> block")
         both = tagged.select("x", "block", "fp", "root", F.lit(False).alias("visits")).unionByName(
             visits.select("x", F.col("to").alias("block"), "fp", "root", F.lit(True).alias("visits")))
-        links = links.unionByName(stage(_compared(texts, able, both), "visit-links"))
-    root = connected_components(links)
+        more = _compared(texts, able, both)
+        # links found now join components found before
+        for c in ("a", "b"):
+            known = root.select(F.col("node").alias(c), F.col("root").alias("of"))
+            more = more.join(known, c, "left").withColumn(c, F.coalesce("of", c)).drop("of")
+        joined = connected_components(more)
+        named = joined.select(F.col("node").alias("root"), F.col("root").alias("of"))
+        alone = joined.join(root, "node", "left_anti")
+        root = stage(root.join(named, "root", "left").select("node", F.coalesce("of", "root").alias("root"))
+                     .unionByName(alone), "roots")
     # smallest id of each component
     rooted = classes.join(root, classes.fp == root.node).select("fp", "id", "root")
     top = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
