@@ -8,10 +8,12 @@ kind ``markov``: whole runs of ``RUN`` that no base span touches and whose
 log-likelihood ratio, summed over character pairs, exceeds both ``LEAST_TOTAL``
 and ``LEAST_PER_PAIR`` for each pair.
 
-Both models are character bigrams with add-one-half counts. They are trained on
+Both models are character bigrams that fall back on single characters (weight
+``BACK_OFF``). They are trained on
 labelled samples of bounded size: texts of the ``SAMPLE_DOCS`` documents with
 the smallest id hash, whose words are ordinary unless a base span covers them
-(then random), and ``SAMPLE_STRINGS`` strings dealt uniformly over each of
+(then random) or they are as long as a run and mix digits or cases (then
+unlabelled), and ``SAMPLE_STRINGS`` strings dealt uniformly over each of
 ``ALPHABETS`` by a hash (random). The fitted table has one number for each pair
 of the 68 symbols.
 
@@ -38,6 +40,7 @@ RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 LEAST_TOTAL = 12.0
 LEAST_PER_PAIR = 0.4
 SAMPLE_DOCS = 2000
+BACK_OFF = 4.0
 SAMPLE_STRINGS = 500
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 SYMBOLS = "0123456789" + _LETTERS.upper() + _LETTERS + "+/_.=-"
@@ -106,11 +109,15 @@ def train(samples: DataFrame) -> list[float]:
         "random", F.expr(f"explode(transform(sequence(1, size(c) - 1), i -> c[i - 1] * {_K} + c[i]))").alias("pair"))
     count = {(r["random"], r["pair"]): r["n"] for r in
              pairs.groupBy("random", "pair").agg(F.count(F.lit(1)).alias("n")).collect()}
-    total = {(kind, a): sum(count.get((kind, a * _K + b), 0) for b in range(_K)) + _K / 2
-             for kind in (True, False) for a in range(_K)}
+    # pairs not seen fall back on how often their second symbol is seen at all
+    first, second = ({(kind, x): sum(n for (k, pair), n in count.items() if k == kind and
+                                     (pair // _K if part == 0 else pair % _K) == x)
+                      for kind in (True, False) for x in range(_K)} for part in (0, 1))
+    whole = {kind: sum(n for (k, _), n in count.items() if k == kind) for kind in (True, False)}
 
     def log_p(kind: bool, a: int, b: int) -> float:
-        return math.log((count.get((kind, a * _K + b), 0) + 0.5) / total[kind, a])
+        share = (second[kind, b] + 0.5) / (whole[kind] + _K / 2)
+        return math.log((count.get((kind, a * _K + b), 0) + BACK_OFF * share) / (first[kind, a] + BACK_OFF))
 
     return [log_p(True, a, b) - log_p(False, a, b) for a in range(_K) for b in range(_K)]
 
@@ -129,7 +136,8 @@ def labelled_samples(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "transform(access, x -> x.s), transform(hex, x -> x.s))")).alias("s")).where("s RLIKE '[0-9]'")
     plain = spans.select(F.explode(F.expr(
         f"filter(regexp_extract_all(regexp_replace(text, {_literal(ASSIGN)}, ' '), '{word}', 0), "
-        f"w -> NOT (w RLIKE '{ACCESS}') AND NOT (w RLIKE '{HEX}'))")).alias("s"))
+        f"w -> NOT (w RLIKE '{ACCESS}') AND NOT (w RLIKE '{HEX}') AND "
+        "(length(w) < 20 OR w RLIKE '^[A-Z]?[a-z]+$' OR w RLIKE '^[A-Z]+$'))")).alias("s"))
     dealt = None
     for alphabet in ALPHABETS:
         one = spark.range(SAMPLE_STRINGS).select(F.expr(

@@ -57,7 +57,8 @@ def test_blocks_and_spilling_queues(spark, make_docs, monkeypatch):
 
 
 def test_repeated_and_missing_ids(spark, make_docs):
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
+    rng = random.Random(1)
+    text = "".join(rng.choice("abcdefgh") for _ in range(150))
     got = repeats.without_repeats(make_docs([(1, text), (1, text), (None, text), (None, None)])).collect()
     assert sorted((r.n_bytes, r.n_removed) for r in got) == [(0, 0), (150, 0), (150, 150), (150, 150)]
     assert [r.n_removed for r in got if r.doc_id is None and r.n_bytes] == [150]
@@ -65,7 +66,8 @@ def test_repeated_and_missing_ids(spark, make_docs):
 
 
 def test_kept_bytes(spark, make_docs):
-    text = "".join(random.Random(2).choice("abcdefgh") for _ in range(120))
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefgh") for _ in range(120))
     got = {r.doc_id: bytes(r.kept) for r in
            repeats.without_repeats(make_docs([(1, text), (2, "start " + text + " end")]), with_text=True).collect()}
     assert got == {1: text.encode(), 2: b"start  end"}
