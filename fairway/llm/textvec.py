@@ -22,7 +22,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 # Bytes of text handled at once; a longer single text is handled whole.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
