@@ -47,13 +47,16 @@ BITMAP_BITS = 1 << 27
 # A gram met more often is avoided as an anchor.
 COMMON = 128
 MOST_COMMON = 1_000_000
-SHARD_BYTES = 8 << 20
-QUEUE = 1 << 23
-FLUSH_BYTES = 16 << 20
+SHARD_BYTES = 2 << 20
+QUEUE = 1 << 22
+FLUSH_BYTES = 6 << 20
+SLICE = 2 << 20
+# Parts of the packed shuffles for each shuffle partition: a part is held whole.
+PARTS = 4
 # Documents (with their ranges) sent to all tasks at most; beyond that a shuffle join.
 BROADCAST_DOCS = 500_000
 BROADCAST_BYTES = 64 << 20
-_BLOCK = 4 << 20   # positions whose anchors are chosen at once
+_BLOCK = 1 << 20   # positions whose anchors are chosen at once
 _LATE = U64(1 << 63)
 
 
@@ -168,7 +171,7 @@ def _counted(texts: DataFrame, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
                                    names=["part", "grams", "counts"])
 
         held, size = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             h = anchored(Texts(batch.column("text")), none)[3]
             if len(h):
                 held.append(h)
@@ -245,7 +248,7 @@ def _send_side(n_parts: int, model):
     def run(batches: Iterator[pa.RecordBatch]):
         bitmap, common = model.value
         held, size = [], 0
-        for batch in slices(batches):
+        for batch in slices(batches, most=SLICE):
             texts = Texts(batch.column("text"))
             x1, x2, place, gram, avoided = anchored(texts, common)
             slot = _slot(gram)
@@ -285,6 +288,17 @@ def _merged(doc, a, b):
     return doc[at], a[at], end[np.append(at[1:], len(doc)) - 1]
 
 
+def _piece_hashes(text, at, size):
+    """Hash of each piece; pieces follow each other in ``text``."""
+    out = np.zeros(len(at), U64)
+    share = at // SLICE
+    edges = np.flatnonzero(np.concatenate([[True], share[1:] != share[:-1]])) if len(at) else []
+    for a, b in zip(edges, [*edges[1:], len(at)]):
+        low, high = at[a], at[b - 1] + size[b - 1]
+        out[a:b] = RangeHash(text[low:high])(at[a:b] - low, at[a:b] - low + size[a:b])
+    return out
+
+
 def _settle_side(spill: str):
     def settle(table: pa.Table) -> pa.Table:
         """Covered ranges found in one shard."""
@@ -301,7 +315,7 @@ def _settle_side(spill: str):
             text = np.frombuffer(b"".join(col["text"]), np.uint8)
             size = count + LENGTH - 1
             at = np.cumsum(size) - size
-            identity = mix(RangeHash(text)(at, at + size) ^ mix(lead.astype(U64) << U64(8) | (count - 1).astype(U64)))
+            identity = _piece_hashes(text, at, size) ^ mix(lead.astype(U64) << U64(8) | (count - 1).astype(U64))
             order = np.lexsort((x, doc, identity))
             later = np.zeros(len(order), bool)
             later[1:] = identity[order][1:] == identity[order][:-1]
@@ -372,7 +386,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     ranges) of the documents that have something to remove."""
     spark = texts.sparkSession
     ship(spark)
-    n_parts = parts(spark)
+    n_parts = PARTS * parts(spark)
     model = spark.sparkContext.broadcast(_counted(texts, n_parts))
     spill = shared_folder(spark, "queues")
     covers = stage(texts.mapInArrow(_send_side(n_parts, model), _PIECES).groupBy("part").applyInArrow(

@@ -51,6 +51,7 @@ def test_blocks_and_spilling_queues(spark, make_docs, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 700)
     monkeypatch.setattr(repeats, "QUEUE", 200)
     monkeypatch.setattr(repeats, "SHARD_BYTES", 3000)
+    monkeypatch.setattr(repeats, "SLICE", 900)
     rows = corpus(9)
     got = sorted((tuple(r) for r in repeats.without_repeats(make_docs(rows, 2)).collect()), key=str)
     assert got == brute(rows)
