@@ -47,12 +47,12 @@ BITMAP_BITS = 1 << 27
 # A gram met more often is avoided as an anchor.
 COMMON = 128
 MOST_COMMON = 1_000_000
-SHARD_BYTES = 2 << 20
-QUEUE = 1 << 22
-FLUSH_BYTES = 6 << 20
-SLICE = 2 << 20
+SHARD_BYTES = 1 << 20
+QUEUE = 1 << 21
+FLUSH_BYTES = 3 << 20
+SLICE = 1 << 20
 # Parts of the packed shuffles for each shuffle partition: a part is held whole.
-PARTS = 4
+PARTS = 8
 # Documents (with their ranges) sent to all tasks at most; beyond that a shuffle join.
 BROADCAST_DOCS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -305,14 +305,14 @@ def _settle_side(spill: str):
         covers = [np.frombuffer(x, np.int64).reshape(3, -1) for x in table.column("covers").to_pylist() if x]
         out = [tuple(c) for c in covers]
         table = table.filter(pa.compute.is_valid(table.column("grams")))
-        col = {c: table.column(c).to_pylist() for c in table.column_names if c != "covers"}
         if table.num_rows:
-            gram = np.concatenate([_unplanes(x, 6) for x in col["grams"]])
-            doc = np.concatenate([_unplanes(x, 8) for x in col["docs"]]).view(np.int64)
-            x = np.concatenate([_unplanes(x, 5) for x in col["starts"]]).view(np.int64)
-            lead = np.frombuffer(b"".join(col["leads"]), np.uint8).astype(np.int64)
-            count = np.frombuffer(b"".join(col["counts"]), np.uint8).astype(np.int64)
-            text = np.frombuffer(b"".join(col["text"]), np.uint8)
+            col = lambda c: table.column(c).to_pylist()
+            gram = np.concatenate([_unplanes(x, 6) for x in col("grams")])
+            doc = np.concatenate([_unplanes(x, 8) for x in col("docs")]).view(np.int64)
+            x = np.concatenate([_unplanes(x, 5) for x in col("starts")]).view(np.int64)
+            lead = np.frombuffer(b"".join(col("leads")), np.uint8).astype(np.int64)
+            count = np.frombuffer(b"".join(col("counts")), np.uint8).astype(np.int64)
+            text = np.frombuffer(b"".join(col("text")), np.uint8)
             size = count + LENGTH - 1
             at = np.cumsum(size) - size
             identity = _piece_hashes(text, at, size) ^ mix(lead.astype(U64) << U64(8) | (count - 1).astype(U64))
