@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from fairway.llm.induced_sort import common_prefix, suffix_order
 from fairway.llm.staging import parts, shared_folder, ship, stage
-from fairway.llm.textvec import U64, RangeHash, Texts, _power, mix, slices
+from fairway.llm.textvec import U64, RangeHash, Texts, _power, mix, release_memory, slices
 
 LENGTH = 100
 GRAM = 40
@@ -268,6 +268,8 @@ def _send_side(n_parts: int, model):
                 held, size = [], 0
         if held:
             yield send(held)
+        del held
+        release_memory()
 
     return run
 
@@ -337,6 +339,8 @@ def _settle_side(spill: str):
                     a, b = own[0], np.append(begin, len(g))[np.flatnonzero(share == s)[-1] + 1]
                     out.append(_repeats(first[a:b], doc, x, count, size, at, text, spill))
         doc, a, b = _merged(*[np.concatenate(c) for c in zip(*out)]) if out else [np.zeros(0, np.int64)] * 3
+        del out
+        release_memory()
         return pa.table({"doc": doc, "a": a, "b": b})
 
     return settle

@@ -9,6 +9,7 @@ ten million distinct strings.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -120,6 +121,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             yield batch.slice(int(a), int(b - a))
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a Python worker stays alive for
+    later stages and would hold the largest amount it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 class HashIndex:
     """Open-addressing map from 64-bit hashes to dense numbers, looked up and
     filled in bulk. ``full`` tells that it holds ``most`` entries, after which
