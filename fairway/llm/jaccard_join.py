@@ -28,9 +28,11 @@ fingerprint in the signature's bucket, the same for most buckets of a group
 of near copies) and are compared there exactly. Meetings that share sets are
 joined while they have at most ``BLOCK`` sets, so that most sets travel once.
 Within a meeting a pair is compared only while its members are in different
-components, and only links leave the task: pairs are never written out. Large
-meetings are cut into blocks; the sets that stay outside the largest component
-then visit the other blocks.
+components, and only links leave the task: pairs are never written out.
+Meetings above ``BLOCK`` sets or ``BLOCK_ITEMS`` items are cut into blocks. The
+sets that stay outside the largest component are then dealt to blocks of their
+own, as are the others, by size class; each such block is compared with each
+other block whose sizes can link, one bounded group for each pair of blocks.
 
 Defined cases: null, empty and blank texts have no shingles and no links;
 fewer than five words make one shingle of the whole sequence; equal sets are
@@ -48,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairway.llm.components import connected_components
-from fairway.llm.staging import parts, ship, stage
+from fairway.llm.staging import parts, ship, small, stage
 from fairway.llm.textvec import LOWER, U64, RangeHash, Texts, mix, slices
 
 SHINGLE_WORDS = 5
@@ -58,6 +60,10 @@ COMMON = 8
 MOST_COMMON = 2_000_000
 # Sets compared in one task at once.
 BLOCK = 1000
+# Items of the sets compared in one task at once, on average (a larger single set is held whole).
+BLOCK_ITEMS = 1 << 20
+# Sets link only within a ratio of 4/3: same or neighbouring classes of this ratio.
+SIZE_CLASS = 1.4
 # Candidate ids sent to all tasks at most; beyond that a shuffle join fetches their texts.
 BROADCAST_IDS = 1_000_000
 # Signatures held before a task sends them on.
@@ -349,35 +355,38 @@ def _set_side(batches: Iterator[pa.RecordBatch]):
         for a in range(0, len(flat), 2000):  # bounded batches
             some, rows = flat[a:a + 2000], row[a:a + 2000]
             yield pa.record_batch([
-                pa.array([t["x"] for t in some], pa.int64()), pa.array([t["block"] for t in some], pa.int32()),
+                pa.array([t["x"] for t in some], pa.int64()), pa.array([t["block"] for t in some], pa.int64()),
                 batch.column("fp").take(pa.array(rows)), pa.array([t["root"] for t in some], pa.int64()),
                 pa.array([t["visits"] for t in some], pa.bool_()), pa.array([packed[r] for r in rows], pa.binary())],
                 names=["x", "block", "fp", "root", "visits", "items"])
 
 
-def _links_of(sets: list[np.ndarray], label: np.ndarray, active: np.ndarray) -> np.ndarray:
-    """Component label of each set after comparing every active set with all
-    sets of other components. ``label`` holds known components."""
+def _links_of(sets: list[np.ndarray], label: np.ndarray, visits: np.ndarray) -> np.ndarray:
+    """Component label of each set after comparing all sets of different
+    components, or, where some sets are visitors, every visitor with every
+    other set. ``label`` holds known components."""
     label = label.copy()
     sizes = np.array([len(s) for s in sets])
-    items = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    held = np.flatnonzero(~visits)
+    if not len(held):
+        return label
+    items = np.concatenate([sets[i] for i in held])
+    owner = np.repeat(held, sizes[held])
     order = np.argsort(items, kind="stable")
     items, owner = items[order], owner[order]
     at = np.flatnonzero(np.concatenate([[True], items[1:] != items[:-1]]))
     count = np.diff(np.concatenate([at, [len(items)]]))
     # most typical sets first: they link the group soonest
     weight = np.bincount(owner, np.repeat(count, count), len(sets)) / sizes
-    value, end = items[at], at + count
-    for i in np.argsort(-weight, kind="stable"):
-        if not active[i]:
-            continue
-        other = label != label[i]
+    value = items[at]
+    for i in np.flatnonzero(visits) if visits.any() else np.argsort(-weight, kind="stable"):
+        other = ~visits & (label != label[i])
         if not other.any():
             continue
-        place = np.searchsorted(value, sets[i])
+        place = np.minimum(np.searchsorted(value, sets[i]), len(value) - 1)
+        place = place[value[place] == sets[i]]
         a, n = at[place], count[place]
-        index = np.repeat(a - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        index = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(n.sum())
         shared = np.bincount(owner[index], minlength=len(sets))
         hit = other & (100 * shared >= 75 * (sizes + sizes[i] - shared))
         for c in np.unique(label[hit]):
@@ -386,14 +395,14 @@ def _links_of(sets: list[np.ndarray], label: np.ndarray, active: np.ndarray) ->
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """One meeting block: residents, and visitors from other blocks. Returns a
-    link from each set to the first set of its component in the block."""
+    """One meeting block, or one pair of blocks: residents and visitors. Returns
+    a link from each set to the first set of its component in the group."""
     fp = table.column("fp").to_numpy()
     root = table.column("root").to_numpy()
     visits = table.column("visits").to_numpy(zero_copy_only=False)
     sets = [_unplane(x) for x in table.column("items").to_pylist()]
     _, label = np.unique(root, return_inverse=True)
-    label = _links_of(sets, label, visits if visits.any() else np.ones(len(fp), dtype=bool))
+    label = _links_of(sets, label, visits)
     first = np.full(len(fp), np.iinfo(np.int64).max)
     np.minimum.at(first, label, fp)
     head = first[label]
@@ -409,10 +418,40 @@ def _compared(texts: DataFrame, firsts: DataFrame, places: DataFrame) -> DataFra
     if to.count() <= BROADCAST_IDS:
         to = F.broadcast(to)
     sets = texts.where("id is not null").join(to, "id").select("text", "fp", "to").mapInArrow(
-        _set_side, "x long, block int, fp long, root long, visits boolean, items binary")
+        _set_side, "x long, block long, fp long, root long, visits boolean, items binary")
     return sets.groupBy("x", "block").applyInArrow(_compare, "a long, b long")
 
 
+def _block_pairs(tagged: DataFrame, main: DataFrame) -> DataFrame:
+    """Groups (x, block, fp, root, visits) that compare the sets outside the
+    largest component (``main``) of a large meeting with all its sets that their
+    size lets them link to. ``tagged`` is (x, fp, n, root). Every group has one
+    block of visitors and one of residents, or one block of its own."""
+    dealt = tagged.join(small(main), "x").withColumn("out", F.col("root") != F.col("main")).withColumn(
+        "class", F.floor(F.log("n") / F.log(F.lit(SIZE_CLASS))).cast("int"))
+    cell = ["x", "out", "class"]
+    cells = dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("load")).select(
+        *cell, _blocks_of(F.col("m"), F.col("load")).alias("blocks"))
+    cells = small(stage(cells, "cells"))
+    dealt = stage(dealt.join(cells, cell).select(
+        *cell, F.pmod(F.xxhash64("fp", F.lit("deal")), F.col("blocks")).cast("int").alias("no"), "fp", "root"), "dealt")
+    blocks = cells.select(*cell, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("no"))
+    a = blocks.where("out").select("x", F.col("class").alias("a_class"), F.col("no").alias("a_no"))
+    both = a.join(blocks, "x").where("abs(a_class - class) <= 1").where(
+        ~F.col("out") | (F.struct("a_class", "a_no") <= F.struct("class", "no")))
+    both = stage(both.withColumn("block", F.monotonically_increasing_id()), "block-pairs")
+    alone = F.col("out") & (F.col("a_class") == F.col("class")) & (F.col("a_no") == F.col("no"))
+    come = both.where(~alone).select("x", F.lit(True).alias("out"), F.col("a_class").alias("class"),
+                                     F.col("a_no").alias("no"), "block", F.lit(True).alias("visits"))
+    stay = both.select("x", "out", "class", "no", "block", F.lit(False).alias("visits"))
+    return dealt.join(come.unionByName(stay), [*cell, "no"]).select("x", "block", "fp", "root", "visits")
+
+
+def _blocks_of(m, load):
+    """Number of blocks for ``m`` sets of ``load`` items."""
+    return F.greatest(F.ceil(m / BLOCK), F.ceil(load / BLOCK_ITEMS)).cast("int")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
@@ -430,40 +469,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     "classes")
     shared = met.where("kind = 3").select(F.col("y").alias("fp"), F.col("x").alias("c")).unionByName(
         late.select("fp", F.lit(1).cast("long").alias("c"))).groupBy("fp").agg(F.sum("c").alias("c"))
-    able = stage(classes.join(shared, "fp").where("c >= floor(3 * n / 40) + 1").select("fp", "id"), "able")
-    late = late.join(able, "fp", "left_semi")
+    able = stage(classes.join(shared, "fp").where("c >= floor(3 * n / 40) + 1").select("fp", "id", "n"), "able")
+    size_of = able.select("fp", "n")
+    late = late.join(size_of, "fp")
     heads = late.groupBy("sign").agg(F.min("fp").alias("x"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    met_pairs = met.where("kind = 1").select("x", F.col("y").alias("fp")).join(able, "fp", "left_semi")
+    met_pairs = met.where("kind = 1").select("x", F.col("y").alias("fp")).join(size_of, "fp").select("x", "fp", "n")
     pairs = stage(met_pairs.unionByName(
-        late.join(heads, "sign").select("x", "fp")).distinct(), "pairs")
+        late.join(heads, "sign").select("x", "fp", "n")).distinct(), "pairs")
     # a meeting joins the smallest one that shares a set with it, where the
     # sets of all that do so stay within a block
     least = pairs.groupBy("fp").agg(F.min("x").alias("g"))
-    joint = pairs.join(least, "fp").groupBy("x").agg(F.min("g").alias("g"), F.count(F.lit(1)).alias("m"))
-    fits = joint.groupBy("g").agg(F.sum("m").alias("m")).where(F.col("m") <= BLOCK).select("g")
+    joint = pairs.join(least, "fp").groupBy("x").agg(F.min("g").alias("g"), F.count(F.lit(1)).alias("m"),
+                                                     F.sum("n").alias("load"))
+    fits = joint.groupBy("g").agg(F.sum("m").alias("m"), F.sum("load").alias("load")).where(
+        (F.col("m") <= BLOCK) & (F.col("load") <= BLOCK_ITEMS)).select("g")
     joint = stage(joint.select("x", "g").join(fits, "g"), "joint")
-    pairs = pairs.join(joint, "x", "left").select(F.coalesce("g", "x").alias("x"), "fp").distinct()
+    pairs = pairs.join(joint, "x", "left").select(F.coalesce("g", "x").alias("x"), "fp", "n").distinct()
     # meetings of one are dropped; large ones are cut into blocks
-    sizes = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    pairs = pairs.join(sizes, "x").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    pairs = stage(pairs.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).drop("m"), "blocks")
+    sizes = pairs.groupBy("x").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("load")).where("m > 1").select(
+        "x", _blocks_of(F.col("m"), F.col("load")).alias("blocks"))
+    pairs = pairs.join(sizes, "x")
+    pairs = stage(pairs.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long")), "blocks")
     links = stage(_compared(texts, able, pairs.select(
         "x", "block", "fp", F.col("fp").alias("root"), F.lit(False).alias("visits"))), "block-links")
     root = connected_components(links)
     large = pairs.where("blocks > 1")
     if large.limit(1).count():
-        # sets outside the largest component of a large meeting visit its other blocks
+        # sets outside the largest component of a large meeting meet its other blocks
         tagged = stage(large.join(root, large.fp == root.node, "left").select(
-            "x", "fp", "block", "blocks", F.coalesce("root", "fp").alias("root")), "tagged")
+            "x", "fp", "n", F.coalesce("root", "fp").alias("root")), "tagged")
         by_root = tagged.groupBy("x", "root").agg(F.count(F.lit(1)).alias("c"))
-        main = by_root.groupBy("x").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
-                                        F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots")
-        tagged = tagged.join(main, "x")
-        visits = tagged.where("root <> main").withColumn(
-            "to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("`to` <> block")
-        both = tagged.select("x", "block", "fp", "root", F.lit(False).alias("visits")).unionByName(
-            visits.select("x", F.col("to").alias("block"), "fp", "root", F.lit(True).alias("visits")))
-        more = _compared(texts, able, both)
+        main = stage(by_root.groupBy("x").agg(F.max_by("root", F.struct("c", "root")).alias("main"),
+                                              F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots"), "main")
+        more = _compared(texts, able, _block_pairs(tagged, main))
         # links found now join components found before
         for c in ("a", "b"):
             known = root.select(F.col("node").alias(c), F.col("root").alias("of"))

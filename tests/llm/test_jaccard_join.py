@@ -100,3 +100,25 @@ def test_components(spark):
     df = spark.createDataFrame(links, "a long, b long")
     assert sorted((r.node, r.root) for r in connected_components(df).collect()) == [
         (1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 1), (20, 20), (21, 20), (22, 20), (23, 20), (24, 20)]
+
+
+def boilerplate(n, shared, own):
+    """Texts that share a long passage and stay below the threshold."""
+    rng = random.Random(n)
+    passage = " ".join(f"p{i}" for i in range(shared))
+    return [(i, passage + " " + " ".join(f"d{rng.randint(0, 10**9)}" for _ in range(own))) for i in range(n)]
+
+
+def test_groups_of_a_large_meeting_are_bounded(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 15)
+    groups, compared = [], jaccard_join._compared
+
+    def seen(texts, firsts, places):
+        groups.append(places.groupBy("x", "block").count().agg({"count": "max"}).first()[0])
+        return compared(texts, firsts, places)
+
+    monkeypatch.setattr(jaccard_join, "_compared", seen)
+    rows = boilerplate(120, 80, 20)
+    rows += [(200 + i, rows[i][1] + " end") for i in range(0, 60, 7)]
+    assert got(jaccard_join.near_duplicates(make_docs(rows))) == brute(rows)
+    assert len(groups) == 2 and max(groups) <= 4 * 15
