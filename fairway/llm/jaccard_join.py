@@ -64,8 +64,8 @@ BLOCK = 1000
 BLOCK_ITEMS = 1 << 20
 # Sets link only within a ratio of 4/3: same or neighbouring classes of this ratio.
 SIZE_CLASS = 1.4
-# Candidate ids sent to all tasks at most; beyond that a shuffle join fetches their texts.
-BROADCAST_IDS = 1_000_000
+# Places (a set in a meeting) sent to all tasks at most; beyond that shuffle joins fetch the texts.
+BROADCAST_PLACES = 1_000_000
 # Signatures held before a task sends them on.
 FLUSH = 1 << 20
 
@@ -342,14 +342,19 @@ def _meet(table: pa.Table) -> pa.Table:
         "n": pa.chunked_array([*docs.column("n").chunks, pa.nulls(n, pa.int64())], pa.int64())})
 
 
+def _packed_sets(batch: pa.RecordBatch) -> list[bytes | None]:
+    """Each text's set (48-bit items); none where it is not the set asked for."""
+    values, sizes = shingle_sets(Texts(batch.column("text")))
+    right = fingerprints(values, sizes).view(np.int64) == batch.column("fp").to_numpy()
+    end = np.cumsum(sizes)
+    return [_planes(values[e - n:e] >> U64(16)) if ok else None for e, n, ok in zip(end, sizes, right)]
+
+
 def _set_side(batches: Iterator[pa.RecordBatch]):
-    """Each text's set (48-bit items) for every meeting it goes to."""
+    """Each text's set for every meeting it goes to."""
     for batch in slices(batches):
-        values, sizes = shingle_sets(Texts(batch.column("text")))
-        right = fingerprints(values, sizes).view(np.int64) == batch.column("fp").to_numpy()
-        end = np.cumsum(sizes)
-        packed = [_planes(values[e - n:e] >> U64(16)) for e, n in zip(end, sizes)]
-        to = [t if ok else [] for t, ok in zip(batch.column("to").to_pylist(), right)]
+        packed = _packed_sets(batch)
+        to = [t if p is not None else [] for t, p in zip(batch.column("to").to_pylist(), packed)]
         row = np.repeat(np.arange(batch.num_rows), list(map(len, to)))
         flat = [t for ts in to for t in ts]
         for a in range(0, len(flat), 2000):  # bounded batches
@@ -361,6 +366,13 @@ def _set_side(batches: Iterator[pa.RecordBatch]):
                 names=["x", "block", "fp", "root", "visits", "items"])
 
 
+def _item_side(batches: Iterator[pa.RecordBatch]):
+    """Each text's set once."""
+    for batch in slices(batches):
+        out = pa.record_batch([batch.column("fp"), pa.array(_packed_sets(batch), pa.binary())], names=["fp", "items"])
+        yield out.filter(pa.compute.is_valid(out.column("items")))
+
+
 def _links_of(sets: list[np.ndarray], label: np.ndarray, visits: np.ndarray) -> np.ndarray:
     """Component label of each set after comparing all sets of different
     components, or, where some sets are visitors, every visitor with every
@@ -413,12 +425,17 @@ def _compare(table: pa.Table) -> pa.Table:
 def _compared(texts: DataFrame, firsts: DataFrame, places: DataFrame) -> DataFrame:
     """Links found in meetings. ``firsts`` has one document of each set,
     ``places`` the meetings (x, block, root, visits) each set goes to."""
-    to = places.groupBy("fp").agg(F.collect_list(F.struct("x", "block", "root", "visits")).alias("to"))
-    to = stage(firsts.join(to, "fp"), "places")
-    if to.count() <= BROADCAST_IDS:
-        to = F.broadcast(to)
-    sets = texts.where("id is not null").join(to, "id").select("text", "fp", "to").mapInArrow(
-        _set_side, "x long, block long, fp long, root long, visits boolean, items binary")
+    texts = texts.where("id is not null")
+    places = stage(places, "places")
+    if places.count() <= BROADCAST_PLACES:
+        to = places.groupBy("fp").agg(F.collect_list(F.struct("x", "block", "root", "visits")).alias("to"))
+        to = stage(firsts.select("fp", "id").join(to, "fp"), "lists")
+        sets = texts.join(F.broadcast(to), "id").select("text", "fp", "to").mapInArrow(
+            _set_side, "x long, block long, fp long, root long, visits boolean, items binary")
+    else:  # no lists: each set is made once and meets its places by shuffle
+        wanted = firsts.select("fp", "id").join(places.select("fp").distinct(), "fp")
+        items = texts.join(wanted, "id").select("text", "fp").mapInArrow(_item_side, "fp long, items binary")
+        sets = places.join(items, "fp").select("x", "block", "fp", "root", "visits", "items")
     return sets.groupBy("x", "block").applyInArrow(_compare, "a long, b long")
 
 

@@ -122,3 +122,17 @@ def test_groups_of_a_large_meeting_are_bounded(spark, make_docs, monkeypatch):
     rows += [(200 + i, rows[i][1] + " end") for i in range(0, 60, 7)]
     assert got(jaccard_join.near_duplicates(make_docs(rows))) == brute(rows)
     assert len(groups) == 2 and max(groups) <= 4 * 15
+
+
+@pytest.mark.parametrize("most,lists", [(1_000_000, True), (150, False)])
+def test_places_are_sent_within_a_bound(spark, make_docs, monkeypatch, most, lists):
+    """The bound is on all places together: 81 sets have more places than that."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 15)
+    for name in ("BROADCAST_PLACES", "BROADCAST_IDS"):
+        monkeypatch.setattr(jaccard_join, name, most, raising=False)
+    sent, collect_list = [], jaccard_join.F.collect_list
+    monkeypatch.setattr(jaccard_join.F, "collect_list", lambda c: sent.append(c) or collect_list(c))
+    rows = boilerplate(80, 80, 20) + [(200, boilerplate(80, 80, 20)[5][1] + " end")]
+    rows.append(rows[-1])
+    assert got(jaccard_join.near_duplicates(make_docs(rows))) == brute(rows)
+    assert len(sent) == (2 if lists else 0)
