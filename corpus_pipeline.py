@@ -14,7 +14,7 @@ from fairway.llm.mixing import mixed_documents
 from fairway.llm.packing import pack
 from fairway.llm.quality import keep_good
 from fairway.llm.secrets import masked
-from fairway.llm.staging import small, stage
+from fairway.llm.staging import keyed, small, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -26,13 +26,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the smallest id.
-    Of rows that repeat this id one stays; rows without an id stay."""
-    kept = stage(near_duplicates(docs).where("doc_id = component_id").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n")), "kept")
-    named = docs.where("doc_id is not null").join(small(kept), "doc_id", "left_semi")
-    if kept.where("n > 1").limit(1).count():
-        named = named.dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    Rows that repeat an id are documents of their own; rows without an id stay."""
+    named = keyed(docs.where("doc_id is not null").select(*COLUMNS), "doc_id", "__key")
+    kept = stage(near_duplicates(named, "__key").where("__key = component_id").select("__key"), "kept")
+    named = named.join(small(kept), "__key", "left_semi").select(*COLUMNS)
+    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

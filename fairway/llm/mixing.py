@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import ship, small, stage
+from fairway.llm.staging import keyed, ship, small, stage
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -173,9 +173,9 @@ def planned(sizes: DataFrame) -> DataFrame:
         "id", taken.source, "size", F.col("total").cast("long").alias("source_size"), "target", "copies")
 
 
-def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, key_col: str | None = None) -> DataFrame:
     text = F.col(text_col)
-    return stage(docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
+    return stage(docs.select(F.col(key_col or id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                              word_count(text).alias("size"),
                              F.xxhash64(F.col(id_col).cast("string"), F.lit("mix")).alias("seed")), "sizes")
 
@@ -191,13 +191,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Rows that repeat
-    an id count as one document (the id decides), rows without an id are not
-    taken."""
-    firsts = docs.where(F.col(id_col).isNotNull())
-    plan = planned(_sized(firsts, id_col, text_col, source_col).dropDuplicates(["id"]))
+    an id are documents of their own, rows without an id are not taken."""
+    rows = keyed(docs.where(F.col(id_col).isNotNull()), id_col, "__key")
+    plan = planned(_sized(rows, id_col, text_col, source_col, "__key"))
     plan = small(stage(plan.where("copies > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies")),
                        "plan"))
-    rows = firsts.dropDuplicates([id_col]) if firsts.groupBy(id_col).count().where("count > 1").limit(1).count() \
-        else firsts
-    return rows.join(plan, F.col(id_col) == F.col("__id")).withColumn(
+    return rows.join(plan, F.col("__key") == F.col("__id")).withColumn(
         "__copies", F.explode(F.expr("sequence(1, int(__copies))"))).select(*docs.columns)

@@ -38,6 +38,16 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def keyed(docs: DataFrame, id_col: str, key: str) -> DataFrame:
+    """``docs`` with a key of each row in column ``key``: the id itself or, where
+    ids repeat, the place in the order of id and content. Ids are not null."""
+    ids = docs.select(id_col)
+    if not ids.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count():
+        return docs.withColumn(key, F.col(id_col))
+    ordered = docs.orderBy(F.col(id_col), F.xxhash64(*docs.columns))
+    return stage(ordered.withColumn(key, F.monotonically_increasing_id()), "keyed")
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions of the packed shuffles: the session's shuffle partitions."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -91,3 +91,16 @@ def test_columns_and_names(steps):
         assert df.columns == corpus_pipeline.COLUMNS
     assert "pipeline" in entry.queries() and {f"op{n}_" for n in range(1, 11)} == {
         q[:q.index("_") + 1] for q in entry.queries() if q.startswith("op")}
+
+
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, make_docs):
+    rng = random.Random(4)
+    a, b, c = (" ".join(f"{x}{rng.randint(0, 10**6)}" for _ in range(60)) for x in "abc")
+    rows = [(1, a, "xa", "s0"), (3, a + " more", "xa", "s0"), (3, b, "xa", "s0"), (3, c, "xa", "s1"), (3, c, "xa", "s1"),
+            (5, b + " more", "xa", "s1"), (None, a, "xa", "s1")]
+    docs = make_docs(rows)
+    left = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert rows_of(left) == sorted([(1, a, "s0"), (3, b, "s0"), (3, c, "s1"), (None, a, "s1")], key=str)
+    many = [(7, f"{i} " + "w " * 9, "xa", "only") for i in range(40)]
+    taken = corpus_pipeline.target_mix(spark, make_docs(many), "").collect()
+    assert sorted(r.text for r in taken) == sorted(t for _, t, _, _ in many)
