@@ -17,8 +17,10 @@ searched; matches never cross documents.
 3. *Suffixes.* In a shard, equal pieces are settled first; the suffixes of the
    rest are sorted by induction (``induced_sort``), neighbours' common prefixes
    give runs of equal ``LENGTH``-byte strings, and all but the first of a run are
-   repeats. Shards hold whole grams and are sorted in parts of ``SHARD_BYTES``;
-   the queues of a part spill to the shared folder beyond ``QUEUE`` entries.
+   repeats. The number of shards follows from the bytes counted in the first
+   pass (``PART_BYTES``). Shards hold whole grams, are held whole and are sorted
+   in memory in parts of ``SHARD_BYTES``; only a part of over ``QUEUE`` entries,
+   which a single gram makes, spills queues to the shared folder.
 4. *Removal.* Covered ranges are merged by document and cut out of the text.
 
 Defined cases: null and empty texts have nothing to remove. Documents come in
@@ -51,8 +53,11 @@ SHARD_BYTES = 1 << 20
 QUEUE = 1 << 21
 FLUSH_BYTES = 3 << 20
 SLICE = 1 << 20
-# Parts of the packed shuffles for each shuffle partition: a part is held whole.
+# Parts of the packed shuffles for each shuffle partition, at least: a part is held whole.
 PARTS = 8
+# Bytes of pieces (and anchors counted) of a part, on average, at most: parts grow with the input.
+PART_BYTES = 8 << 20
+ANCHOR_BYTES = 8   # a packed gram and its count
 # Documents (with their ranges) sent to all tasks at most; beyond that a shuffle join.
 BROADCAST_DOCS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -158,8 +163,14 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h >> U64(16)) * U64(BITMAP_BITS) >> U64(32)).astype(np.int64)
 
 
-def _counted(texts: DataFrame, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bitmap of grams met twice or more, and the common grams, ascending."""
+def _parts_for(n_parts: int, size: int) -> int:
+    """Parts for ``size`` bytes: ``n_parts``, or more where these would be larger than ``PART_BYTES``."""
+    return max(n_parts, -(-size // PART_BYTES))
+
+
+def _counted(texts: DataFrame, n_parts: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Bitmap of grams met twice or more, the common grams, ascending, and the
+    bytes at most of the pieces around the anchors met twice."""
     none = np.zeros(0, U64)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -191,6 +202,7 @@ def _counted(texts: DataFrame, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
         n, h = np.add.reduceat(n, at), h[at]
         h, n = h[n > 1], n[n > 1]
         rows = [(-1, b"", int(g), int(c)) for g, c in zip(h[n > COMMON], n[n > COMMON])]
+        rows.append((-2, b"", None, int(n.sum())))
         if len(h):  # this part's slice of the bitmap
             slot = _slot(h)
             first = int(slot[0]) >> 3
@@ -208,10 +220,12 @@ def _counted(texts: DataFrame, n_parts: int) -> tuple[np.ndarray, np.ndarray]:
         some = np.frombuffer(bytes(r["bits"]), np.uint8)
         bitmap[r["first"]:r["first"] + len(some)] |= some
     least = COMMON
-    while got.where(F.col("n") > least).count() > MOST_COMMON:
+    grams = got.where("first = -1")
+    while grams.where(F.col("n") > least).count() > MOST_COMMON:
         least *= 2
-    common = got.where(F.col("n") > least).select("gram").toPandas()["gram"].to_numpy(np.int64)
-    return bitmap, np.sort(common.view(U64))
+    common = grams.where(F.col("n") > least).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    met = got.where("first = -2").agg(F.sum("n")).first()[0] or 0
+    return bitmap, np.sort(common.view(U64)), met * (2 * LENGTH - GRAM)
 
 
 _PIECES = "part int, grams binary, docs binary, starts binary, leads binary, counts binary, text binary, covers binary"
@@ -391,7 +405,12 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     spark = texts.sparkSession
     ship(spark)
     n_parts = PARTS * parts(spark)
-    model = spark.sparkContext.broadcast(_counted(texts, n_parts))
+    text_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # about one anchor in half the grams of a string
+    anchors = 2 * text_bytes // (LENGTH - GRAM + 2)
+    *model, piece_bytes = _counted(texts, _parts_for(n_parts, anchors * ANCHOR_BYTES))
+    n_parts = _parts_for(n_parts, piece_bytes)
+    model = spark.sparkContext.broadcast(tuple(model))
     spill = shared_folder(spark, "queues")
     covers = stage(texts.mapInArrow(_send_side(n_parts, model), _PIECES).groupBy("part").applyInArrow(
         _settle_side(spill), "doc long, a long, b long"), "covers")

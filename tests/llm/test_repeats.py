@@ -81,3 +81,16 @@ def test_induced_order(tmp_path, memory):
         text = np.array([rng.randint(0, rng.choice([1, 3, 200])) for _ in range(rng.randint(1, 80))])
         order = induced_sort.suffix_order(text, 100, memory, f"file://{tmp_path}/q")
         assert list(order) == sorted(range(len(text)), key=lambda i: list(text[i:]))
+
+
+def test_number_of_shards_grows_with_the_repeats(spark, make_docs, monkeypatch):
+    parts, side = [], repeats._send_side
+    monkeypatch.setattr(repeats, "_send_side", lambda n, model: parts.append(n) or side(n, model))
+    monkeypatch.setattr(repeats, "PART_BYTES", 1000, raising=False)
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(3000)) for _ in range(20)]
+    rows = [(i, texts[i % 20] + str(i)) for i in range(60)]
+    got = sorted((tuple(r) for r in repeats.without_repeats(make_docs(rows, 2)).collect()), key=str)
+    assert got == brute(rows)
+    # 60 texts of 3000 bytes, each string in at least one piece
+    assert parts[0] * 1000 >= 60 * 2900
