@@ -39,6 +39,15 @@ START, LETTER, DIGIT, MARK, BLANK, SPACE_, QUOTE, QUOTE_R, QUOTE_V, QUOTE_L, DON
 STATES = 11
 #: White space of the pattern: Unicode's White_Space property (fixed values).
 _WHITE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
+#: Letters and numbers (first, last) of Unicode 16.0, the library's version,
+#: that 15.1 does not have; Python's own tables may be of either version.
+_ADDED_LETTERS = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5),
+    (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0), (0x13460, 0x143FA),
+    (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0)]
+_ADDED_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+                  (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 CHUNK = 256
 INDEX_ENTRIES = 1 << 21
 _NEVER = 1 << 30
@@ -93,13 +102,15 @@ def _splitter() -> tuple[np.ndarray, np.ndarray]:
 def _class_of(cp: int) -> int:
     if cp in _WHITE_SET:
         return _SP if cp == 32 else _WS
-    kind = unicodedata.category(chr(cp))[0]
+    kind = _ADDED.get(cp) or unicodedata.category(chr(cp))[0]
     if kind == "L":
         return {"s": _STMD, "t": _STMD, "m": _STMD, "d": _STMD, "r": _R, "v": _V, "e": _E, "l": _EL}.get(chr(cp), _L)
     return _NUM if kind == "N" else _AP if cp == 39 else _OTHER
 
 
 _WHITE_SET = set(_WHITE)
+_ADDED = {cp: kind for kind, ranges in (("L", _ADDED_LETTERS), ("N", _ADDED_NUMBERS))
+          for first, last in ranges for cp in range(first, last + 1)}
 
 
 class Transducers:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from fairway.llm.induced_sort import common_prefix, suffix_order
 from fairway.llm.staging import parts, shared_folder, ship, stage
-from fairway.llm.textvec import U64, RangeHash, Texts, _power, mix, release_memory, slices
+from fairway.llm.textvec import U64, RangeHash, Texts, gram_hashes, mix, release_memory, slices
 
 LENGTH = 100
 GRAM = 40
@@ -67,12 +67,7 @@ _LATE = U64(1 << 63)
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
     """48-bit hash of the gram at every position that has one."""
-    if len(data) < GRAM:
-        return np.zeros(0, U64)
-    hashes = RangeHash(data)
-    n = len(data) - GRAM + 1
-    sums = hashes._sums
-    return mix((sums[GRAM:] - sums[:n]) * _power(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64), n)) >> U64(16)
+    return gram_hashes(data, GRAM) >> U64(16)
 
 
 def _window_minimum(key: np.ndarray, width: int) -> np.ndarray:

@@ -38,6 +38,16 @@ def test_transducers_equal_the_library(library, monkeypatch, chunk):
         assert ids[at[first[i]]:at[first[i + 1]]].tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_every_code_point_in_context(library):
+    fst = bpe_transducer.Transducers(public_tokenizers.path(NAME))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for a in range(0, len(points), 60_000):
+        texts = [f"a{c}1{c}! {c}'s" for c in points[a:a + 60_000]]
+        _, row, n = fst.encode(Texts(pa.array(texts)))
+        want = np.array([len(e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)])
+        assert (np.bincount(row, weights=n, minlength=len(texts)) == want).all()
+
+
 def test_counts(spark, make_docs, library):
     texts = [None, "", "<|endoftext|>", *fuzz(200, 9), "word " * 600]
     docs = make_docs([*enumerate(texts), (1, "")]).withColumnRenamed("lang", "n_tokens")
