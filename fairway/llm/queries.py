@@ -7,7 +7,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fairway.llm import hamming_search, jaccard_join, language_id, mixing, packing, quality, repeats, secrets, token_counts, warc
+from fairway.llm import (
+    fill_middle,
+    hamming_search,
+    jaccard_join,
+    language_id,
+    mixing,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    token_counts,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +66,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hamming_search": op1_hamming_search,
     "op2_jaccard_join": op2_jaccard_join,
@@ -65,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_fill_middle": op12_fill_middle,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -108,4 +125,19 @@ b AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, array_to_string(lis
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM b""",
+    "op12_fill_middle": """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+           FROM documents),
+e AS (SELECT *, length(t) AS n, CAST('0x' || h[1:8] AS BIGINT) % (length(t) + 1) AS a,
+             CAST('0x' || h[9:16] AS BIGINT) % (length(t) + 1) AS b, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+             CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+f AS (SELECT *, CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                     THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+             substr(t, 1, least(a, b)) AS p, substr(t, 1 + least(a, b), abs(a - b)) AS m,
+             substr(t, 1 + greatest(a, b)) AS s FROM e)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN least(a, b) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN abs(a - b) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f""",
 }
