@@ -137,13 +137,14 @@ class Texts:
         """Row that owns each byte position (positions ascend)."""
         return np.searchsorted(self.starts, positions, side="right") - 1
 
-    def words(self, data: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of all words; words never cross rows."""
+    def words(self, data: np.ndarray | None = None, inside: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of all words; words never cross rows. ``inside``
+        marks the bytes of a word (by default all but white space)."""
         data = self.data if data is None else data
         n = len(data)
         if n == 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        word = ~SPACE[data]
+        word = ~SPACE[data] if inside is None else inside[data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[self.starts] = True
         edge[n] = True
