@@ -19,14 +19,15 @@ from fairway.session import get_spark
 def _ingest(spark, args) -> None:
     from fairway.operators.joins import materialize, run_scope
     from fairway.sources import ingest, io
-    from fairway.streaming.landing import _exists
+    from fairway.streaming.landing import _exists, latest_rounds
 
     events = ingest.pga_events(ingest.read_event_list(spark, args.event_list))
     if args.stream:
         from fairway.streaming.landing import start_ingest
 
         query = start_ingest(spark, args.landing, events, args.rounds, args.quarantine,
-                             args.checkpoint, multi_line=not args.json_lines)
+                             args.checkpoint, multi_line=not args.json_lines, difficulty_root=args.difficulty,
+                             index_root=args.index, periods=[int(p) for p in args.periods.split(",")])
         query.awaitTermination()
         return
     payloads = ingest.read_payloads(spark, args.landing, multi_line=not args.json_lines)
@@ -35,11 +36,11 @@ def _ingest(spark, args) -> None:
     with run_scope():
         if args.strict:
             staged = ingest.rounds_from_payloads(payloads, events, strict=True)
-            io.write_rounds(materialize(staged.rounds, "rounds"), args.rounds)
+            io.write_rounds(materialize(latest_rounds(staged.rounds), "rounds"), args.rounds)
             return
         # parsed once, then split
-        result = ingest.split_rounds(materialize(ingest.staged_rounds(payloads, events), "staged"))
-        io.write_rounds(result.rounds, args.rounds)
+        result = ingest.split_rounds(materialize(ingest.staged_rounds(payloads, events), "staged"), stamped=True)
+        io.write_rounds(latest_rounds(result.rounds), args.rounds)
         result.quarantine.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("year", "event_id").parquet(args.quarantine)
 
@@ -70,6 +71,9 @@ def build_parser() -> argparse.ArgumentParser:
     ing.add_argument("--strict", action="store_true", help="fail on invalid rows")
     ing.add_argument("--stream", action="store_true", help="incremental streaming ingest")
     ing.add_argument("--checkpoint", help="stream checkpoint location (with --stream)")
+    ing.add_argument("--difficulty", help="difficulty sums kept up to date there (with --stream)")
+    ing.add_argument("--index", help="rolling index kept up to date there (with --difficulty)")
+    ing.add_argument("--periods", default="25,50,75,100")
     ing.set_defaults(run=_ingest)
 
     met = sub.add_parser("metrics", help="rounds -> difficulty, course factor, rolling index")

@@ -45,6 +45,8 @@ MIN_BLOCK_ROWS = 1 << 16
 # range-partitioned block/halo plan is used. Session setting:
 # spark.fairway.maxWindowGroupRows.
 DEFAULT_MAX_GROUP_ROWS = 2_000_000
+# Periods from which frames are made by block scans instead of window frames.
+SCAN_FROM = 48
 
 # Column names of the form-index dataset.
 OUTPUT_COLUMNS = ("dg_id", "player_name", "ppi", "teetime", "first_tee_time_in_group",
@@ -112,12 +114,34 @@ def _block_rows(max_period: int) -> int:
     return max(MIN_BLOCK_ROWS, 64 * max_period)
 
 
-def _with_frames(df: DataFrame, base: Window, periods: Sequence[int]) -> DataFrame:
-    """Add ``__ppi_p, __first_p, __n_p, __sg_p`` for each period. The frame
-    sums are plain window columns; the IEEE division runs in a projection
-    above the Window, so no window expression is repeated inside its
-    branches."""
-    gain = (F.col("wave_average") - F.col("score")) * F.col("course_factor_star")
+def _with_frames(df: DataFrame, keys: Sequence[str], periods: Sequence[int],
+                 scan_from: int | None = None) -> DataFrame:
+    """Add ``__ppi_p, __first_p, __n_p, __sg_p`` for each period, over the rows of
+    the same ``keys`` within the last ``p`` positions of ``index``. Periods below
+    ``scan_from`` are window frames, longer ones block scans (``_with_scans``). The
+    sums are plain columns; the IEEE division runs in a projection above them, so
+    no window expression is repeated inside its branches."""
+    scan_from = SCAN_FROM if scan_from is None else scan_from
+    short = [p for p in periods if p < scan_from]
+    framed = _with_window_frames(df, keys, short) if short else df
+    for p in periods:
+        if p >= scan_from:
+            framed = _with_scans(framed, keys, p)
+    ratios = [ieee_div(F.coalesce(F.col(f"__num_{p}"), F.lit(0.0)),
+                       F.coalesce(F.col(f"__den_{p}"), F.lit(0.0))).alias(f"__ppi_{p}")
+              for p in periods]
+    return framed.select("*", *ratios)
+
+
+def _gain() -> Column:
+    return (F.col("wave_average") - F.col("score")) * F.col("course_factor_star")
+
+
+def _with_window_frames(df: DataFrame, keys: Sequence[str], periods: Sequence[int]) -> DataFrame:
+    """Sums of each frame by window frames, which add every frame up anew: the
+    cost is rows times period."""
+    base = Window.partitionBy(*keys).orderBy("index")
+    gain = _gain()
     sums = []
     for p in periods:
         w = base.rangeBetween(-(p - 1), 0)
@@ -128,11 +152,51 @@ def _with_frames(df: DataFrame, base: Window, periods: Sequence[int]) -> DataFra
             F.count(F.lit(1)).over(w).alias(f"__n_{p}"),
             F.avg("sg_total").over(w).alias(f"__sg_{p}"),
         ]
-    framed = df.select("*", *sums)
-    ratios = [ieee_div(F.coalesce(F.col(f"__num_{p}"), F.lit(0.0)),
-                       F.coalesce(F.col(f"__den_{p}"), F.lit(0.0))).alias(f"__ppi_{p}")
-              for p in periods]
-    return framed.select("*", *ratios)
+    return df.select("*", *sums)
+
+
+def _with_scans(df: DataFrame, keys: Sequence[str], p: int) -> DataFrame:
+    """Sums of each full frame of ``p`` rows by block scans; the cost is rows,
+    whatever the period.
+
+    The index is cut into blocks of ``p`` positions. A running sum from each
+    block's start (prefix) and one from its end (suffix) are made once; a frame
+    that ends at position ``o`` of its block is the suffix of the block before, from
+    position ``o + 1`` on, plus the block's prefix. Nothing is ever subtracted, so
+    infinities and NaN leave with their row. Only full frames are given (others
+    have ``__n_p`` 0), and the rows of a full frame follow each other: its first
+    row is ``p - 1`` rows back, with an index lower by just ``p - 1``.
+    """
+    block = [*keys, "__block"]
+    rows = df.select("*", F.floor((F.col("index") - 1) / p).cast("long").alias("__block"),
+                     _gain().alias("__gain"))
+
+    def running(order: Column, name: str) -> list[Column]:
+        w = Window.partitionBy(*block).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return [F.sum("__gain").over(w).alias(f"__{name}_num"),
+                F.sum("course_factor_star").over(w).alias(f"__{name}_den"),
+                F.sum("sg_total").over(w).alias(f"__{name}_sg"),
+                F.count("sg_total").over(w).alias(f"__{name}_sgs")]
+
+    rows = rows.select("*", *running(F.col("index").desc(), "suf"))
+    rows = rows.select("*", *running(F.col("index"), "pre"))
+    by_index = Window.partitionBy(*keys).orderBy("index")
+    parts = ("num", "den", "sg", "sgs")
+    back = F.lag(F.struct("index", "teetime", *[f"__suf_{x}" for x in parts]), p - 1).over(by_index)
+    rows = rows.select("*", back.alias("__back"))
+    full = F.col("__back.index") == F.col("index") - (p - 1)
+    whole = (F.col("index") % p) == 0   # the frame is its block
+
+    def total(x: str) -> Column:
+        suffix, prefix = F.col(f"__back.__suf_{x}"), F.col(f"__pre_{x}")
+        return F.when(whole, prefix).otherwise(F.coalesce(suffix + prefix, suffix, prefix))
+
+    count = total("sgs")
+    return rows.select(
+        *df.columns, total("num").alias(f"__num_{p}"), total("den").alias(f"__den_{p}"),
+        F.when(full, F.col("__back.teetime")).alias(f"__first_{p}"),
+        F.when(full, F.lit(p)).otherwise(0).cast("long").alias(f"__n_{p}"),
+        F.when(count > 0, total("sg") / F.when(count > 0, count)).alias(f"__sg_{p}"))
 
 
 def max_group_rows(spark) -> int:
@@ -266,8 +330,7 @@ def _frames_by_player(prepared: DataFrame, periods: Sequence[int], attach) -> Da
     order = Window.partitionBy("dg_id").orderBy(*ROUND_ORDER[1:])
     indexed = attach(prepared).select(
         "*", F.row_number().over(order).cast("long").alias("index"))
-    base = Window.partitionBy("dg_id", "player_name").orderBy("index")
-    return _with_frames(indexed, base, periods)
+    return _with_frames(indexed, ["dg_id", "player_name"], periods)
 
 
 def _frames_blocked(prepared: DataFrame, periods: Sequence[int], attach) -> DataFrame:
@@ -280,8 +343,7 @@ def _frames_blocked(prepared: DataFrame, periods: Sequence[int], attach) -> Data
     in_tail = ((F.col("index") - 1) % block) >= (block - (max_p - 1))
     targets = F.when(in_tail & F.lit(max_p > 1), F.array(own, own + 1)).otherwise(F.array(own))
     spread = indexed.select("*", own.alias("__own"), F.explode(targets).alias("__blk"))
-    base = Window.partitionBy("dg_id", "player_name", "__blk").orderBy("index")
-    framed = _with_frames(spread, base, periods)
+    framed = _with_frames(spread, ["dg_id", "player_name", "__blk"], periods)
     # halo copies only feed the next block's frames
     return framed.filter(F.col("__blk") == F.col("__own"))
 
@@ -329,6 +391,11 @@ def rolling_index_multi(rounds: DataFrame, factors: DataFrame,
         raise ValueError("periods must be >= 1")
     framed = _frames(scored_rounds(rounds, factors, factor_rows_bound), periods, skew_safe,
                      stats)
+    return stacked(framed, periods)
+
+
+def stacked(framed: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Rows with a full window, one for each period, with a ``period`` column."""
     per = F.explode(F.array(*[
         F.struct(F.lit(p).cast("long").alias("period"),
                  F.col(f"__ppi_{p}").alias("ppi"),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fairway.operators import difficulty, joins
 from fairway.sources import testdata
-from fairway.sources.testdata import ROUNDS_SQL
+from fairway.sources.testdata import DENSE_ROUNDS_SQL, LANDED_ROUNDS_SQL, REPORT_ROUNDS_SQL, ROUNDS_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -189,27 +189,29 @@ def _form_cte(p: int) -> str:
   FROM framed_{p} WHERE n = {p})"""
 
 
-def _form_ctes(p: int) -> list[str]:
-    return [ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL, _framed_sql(p),
+def _form_ctes(p: int, rounds_sql: str = ROUNDS_SQL) -> list[str]:
+    return [rounds_sql, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL, _framed_sql(p),
             _form_cte(p)]
 
 
-def _rolling_sql(periods, with_period=False) -> str:
-    ctes = [ROUNDS_SQL, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL] + [
-        _framed_sql(p) for p in periods]
-    return _with(*ctes) + "\nUNION ALL\n".join(_period_select(p, with_period) for p in periods)
+def _rolling_ctes(periods, rounds_sql=ROUNDS_SQL) -> list[str]:
+    return [rounds_sql, DIFFICULTY_SQL, COURSE_FACTOR_SQL, SCORED_SQL, *map(_framed_sql, periods)]
 
 
-def rolling_inputs(spark, sf_dir):
+def _rolling_sql(periods, with_period=False, rounds_sql=ROUNDS_SQL) -> str:
+    return _with(*_rolling_ctes(periods, rounds_sql)) + "\nUNION ALL\n".join(_period_select(p, with_period) for p in periods)
+
+
+def rolling_inputs(spark, sf_dir, src=None):
     """Rounds, course factors and the one-pass round statistics."""
-    src = rounds(spark, sf_dir)
+    src = rounds(spark, sf_dir) if src is None else src
     stats = form.RoundStatistics(src)
     factors = difficulty.course_factor(difficulty.difficulty_from_counts(stats.event_counts()))
     return src, factors, stats
 
 
-def rolling_of(spark, sf_dir, period):
-    src, factors, stats = rolling_inputs(spark, sf_dir)
+def rolling_of(spark, sf_dir, period, src=None):
+    src, factors, stats = rolling_inputs(spark, sf_dir, src)
     # factors come from these statistics: one row per course
     return form.rolling_index(src, factors, period, stats=stats,
                               factor_rows_bound=stats.summary()["course_rows"])
@@ -235,6 +237,14 @@ def q_rolling_index_multi(spark, sf_dir):
                                        factor_rows_bound=stats.summary()["course_rows"]))
 
 
+@register("rolling_index_dense", _rolling_sql((60, 100), with_period=True, rounds_sql=DENSE_ROUNDS_SQL))
+def q_rolling_index_dense(spark, sf_dir):
+    """Long periods over long histories: frames made by block scans."""
+    src, factors, stats = rolling_inputs(spark, sf_dir, testdata.dense_rounds(spark, sf_dir))
+    return r6(form.rolling_index_multi(src, factors, (60, 100), stats=stats,
+                                       factor_rows_bound=stats.summary()["course_rows"]))
+
+
 @register("wave_average", _with(ROUNDS_SQL) + """
 SELECT year, event_id, dg_id, player_name, round, teetime, score, wave,
        (round(round(avg(score) OVER (PARTITION BY event_id, year, round, wave), 9), 6) + 0.0) AS wave_average
@@ -267,9 +277,9 @@ from fairway.plans import reports  # noqa: E402
 
 # Report parameters for the driver data (tee times fall in January 2023 and 2024).
 REPORT_YEAR = 2024
-MAX_DAYS = 25
-FORM_PERIOD = 50
-TREND_PLAYER = 42
+MAX_DAYS = 18
+FORM_PERIOD = 25
+TREND_PLAYER = 7
 
 DIFF_COLS = ("year, event_id, event_name, course_name, course_num, over_80, sub_70, "
              "total_rounds, " + R("scoring_average") + " AS scoring_average, pti, "
@@ -285,7 +295,7 @@ YEAR_RANGE = (f"teetime >= TIMESTAMP '{REPORT_YEAR}-01-01' "
 
 
 def form_of(spark, sf_dir):
-    return rolling_of(spark, sf_dir, FORM_PERIOD)
+    return rolling_of(spark, sf_dir, FORM_PERIOD, testdata.report_rounds(spark, sf_dir))
 
 
 @register("year_as_text", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
@@ -399,19 +409,19 @@ NO_IMPACT_SQL = f"""no_impact AS (
   WHERE course_factor_star = 0.0 AND {YEAR_RANGE})"""
 
 
-@register("no_impact_rounds", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+@register("no_impact_rounds", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), NO_IMPACT_SQL) + """
 SELECT * FROM no_impact""")
 def q_no_impact_rounds(spark, sf_dir):
     return reports.no_impact_rounds(form_of(spark, sf_dir), REPORT_YEAR)
 
 
-@register("no_impact_top10", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+@register("no_impact_top10", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), NO_IMPACT_SQL) + """
 SELECT * FROM no_impact ORDER BY Score, Name, Event LIMIT 10""")
 def q_no_impact_top10(spark, sf_dir):
     return reports.no_impact_top(form_of(spark, sf_dir), REPORT_YEAR, 10)
 
 
-@register("no_impact_count", _with(*_form_ctes(FORM_PERIOD), NO_IMPACT_SQL) + """
+@register("no_impact_count", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), NO_IMPACT_SQL) + """
 SELECT count(*) FILTER (WHERE Score < 65) AS rounds_below FROM no_impact""")
 def q_no_impact_count(spark, sf_dir):
     return reports.no_impact_count(form_of(spark, sf_dir), REPORT_YEAR, 65)
@@ -427,13 +437,13 @@ STANDINGS_SQL = f"""standings AS (
     AND date_sub('day', first_tee_time_in_group, teetime) <= {MAX_DAYS})"""
 
 
-@register("current_standings", _with(*_form_ctes(FORM_PERIOD), STANDINGS_SQL) + f"""
+@register("current_standings", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), STANDINGS_SQL) + f"""
 SELECT {FORM_COLS} FROM standings""")
 def q_current_standings(spark, sf_dir):
     return r6(reports.current_standings(form_of(spark, sf_dir), REPORT_YEAR, MAX_DAYS))
 
 
-@register("largest_gap", _with(*_form_ctes(FORM_PERIOD), STANDINGS_SQL) + f"""
+@register("largest_gap", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), STANDINGS_SQL) + f"""
 SELECT {FORM_COLS} FROM standings
 WHERE ppi_sg_diff IS NOT NULL AND NOT isnan(ppi_sg_diff)
 ORDER BY ppi_sg_diff, dg_id LIMIT 1""")
@@ -442,14 +452,14 @@ def q_largest_gap(spark, sf_dir):
     return r6(reports.largest_gap(standings))
 
 
-@register("player_trend", _with(*_form_ctes(FORM_PERIOD)) + f"""
+@register("player_trend", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL)) + f"""
 SELECT {FORM_COLS}, {R("(wave_average - score) * course_factor_star")} AS weighted_score
 FROM form_{FORM_PERIOD} WHERE dg_id = {TREND_PLAYER}""")
 def q_player_trend(spark, sf_dir):
     return r6(reports.player_trend(form_of(spark, sf_dir), TREND_PLAYER))
 
 
-@register("trend_bounds", _with(*_form_ctes(FORM_PERIOD)) + f"""
+@register("trend_bounds", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL)) + f"""
 SELECT min(teetime) AS start, max(teetime) + INTERVAL 120 DAY AS "end"
 FROM form_{FORM_PERIOD} WHERE dg_id = {TREND_PLAYER}""")
 def q_trend_bounds(spark, sf_dir):
@@ -717,3 +727,79 @@ def q_event_difficulty_one_pass(spark, sf_dir):
 SELECT dg_id, count(score) AS scored_rounds FROM rounds GROUP BY dg_id""")
 def q_player_scored_rounds(spark, sf_dir):
     return form.RoundStatistics(rounds(spark, sf_dir)).player_rounds()
+
+
+# ------------------------------------------- merged, versioned, kept up to date
+MERGED_SQL = """merged AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY year, event_id, dg_id, who, round
+                                 ORDER BY landed_at DESC, landed_file DESC, listed DESC) AS rn
+    FROM (SELECT *, CASE WHEN dg_id IS NULL THEN coalesce(player_name, 'row ' || CAST(listed AS VARCHAR)) END AS who
+          FROM (SELECT * REPLACE (CASE WHEN listed % 19 IN (7, 11) THEN NULL ELSE dg_id END AS dg_id,
+                                  CASE WHEN listed % 19 = 11 THEN NULL ELSE player_name END AS player_name)
+                FROM landed_view)))
+  WHERE rn = 1)"""
+
+
+@register("merged_rounds", _with(LANDED_ROUNDS_SQL, MERGED_SQL) + f"""
+SELECT {ROUNDS_COLS} FROM merged""")
+def q_merged_rounds(spark, sf_dir):
+    """The rows land in three batches, the first twice: every round is there
+    once, as it landed last, also those without a player id."""
+    from fairway.streaming.landing import merge_rounds
+
+    root, landed = scratch_dir(spark, "merged-rounds"), testdata.landed_rounds(spark, sf_dir)
+    for batch in (0, 1, 0, 2):
+        with joins.run_scope():
+            merge_rounds(landed.where(F.col("key") % 3 == batch).drop("key"), root)
+    return r6(io.read_rounds(spark, root))
+
+
+@register("form_index_replaced", _with(*_rolling_ctes((10, 25))) + _period_select(10, True) + "\nUNION ALL\n"
+          + _period_select(25, True) + " AND dg_id % 3 = 1")
+def q_form_index_replaced(spark, sf_dir):
+    """One period is replaced, the other stays as it was written first."""
+    root = scratch_dir(spark, "form-index")
+    src, factors, stats = rolling_inputs(spark, sf_dir)
+    long = joins.materialize(form.rolling_index_multi(src, factors, (10, 25), stats=stats,
+                                                      factor_rows_bound=stats.summary()["course_rows"]))
+    io.write_form_index(long, root, (10, 25))
+    io.write_form_index(long.where("period = 25 AND dg_id % 3 = 1"), root, (25,))
+    both = [io.read_form_index(spark, root, p).select(F.lit(p).cast("long").alias("period"), "*") for p in (10, 25)]
+    return r6(both[0].unionByName(both[1]))
+
+
+def _landed_in_steps(spark, sf_dir, root):
+    """The rounds land in four batches (late rounds of all events last), and the
+    metrics are kept up to date after each; returns both."""
+    from fairway.streaming.landing import merge_rounds
+    from fairway.streaming.maintained import MaintainedDifficulty, MaintainedIndex
+
+    landed = testdata.landed_rounds(spark, sf_dir)
+    late = F.pmod(F.col("dg_id"), F.lit(7)).eqNullSafe(F.lit(3)) & (F.col("key") % 3 == 0)
+    third = F.col("key") % 30
+    sums = MaintainedDifficulty(spark, f"{root}/sums", 8)
+    index = MaintainedIndex(spark, f"{root}/index", (10, 25), 8)
+    for step in (~late & (third < 20), ~late & third.between(20, 24), ~late & (third > 24), late):
+        with joins.run_scope():
+            merged = merge_rounds(landed.where(step).drop("key"), f"{root}/rounds")
+            sums.update(merged.events, merged.rounds)
+            index.update(*merged, sums.factors())
+    return sums, index
+
+
+LANDED_CTES = (LANDED_ROUNDS_SQL, MERGED_SQL, "rounds AS (SELECT * FROM merged)", DIFFICULTY_SQL)
+
+
+@register("maintained_difficulty", _with(*LANDED_CTES) + f"""
+SELECT {DIFF_COLS} FROM difficulty""")
+def q_maintained_difficulty(spark, sf_dir):
+    """Event difficulty from the sums kept as events landed."""
+    return r6(_landed_in_steps(spark, sf_dir, scratch_dir(spark, "maintained"))[0].difficulty())
+
+
+@register("maintained_index", _with(*LANDED_CTES, COURSE_FACTOR_SQL, SCORED_SQL, _framed_sql(10), _framed_sql(25))
+          + _period_select(10, True) + "\nUNION ALL\n" + _period_select(25, True))
+def q_maintained_index(spark, sf_dir):
+    """The rolling index kept up to date as events landed and factors moved."""
+    return r6(_landed_in_steps(spark, sf_dir, scratch_dir(spark, "maintained"))[1].index())

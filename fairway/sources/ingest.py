@@ -31,13 +31,14 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairway.functions.rules import slug
 from fairway.operators.joins import join_small
 from fairway.sources.schemas import (
     CORRUPT,
     EVENT_LIST,
-    EVENT_PAYLOAD,
+    LANDED,
     LANDED_EVENT_LIST,
     LANDED_PAYLOAD,
     ROUNDS,
@@ -78,18 +79,38 @@ def read_payloads(spark: SparkSession, path: str, multi_line: bool = True) -> Da
     file, or with ``multi_line=False`` JSON Lines (one document per line),
     which Spark splits across tasks within a file. What cannot be read as
     declared is kept in the column ``_corrupt_record``."""
-    return spark.read.schema(LANDED_PAYLOAD).option("multiLine", multi_line) \
-        .option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    return landed_from(spark.read.schema(LANDED_PAYLOAD).option("multiLine", multi_line)
+                       .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
-def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:
-    """Event list from JSON text: either an array of events or one event."""
-    from pyspark.sql.types import ArrayType
+def landed_from(documents: DataFrame) -> DataFrame:
+    """Documents of a file scan with ``landed``: time and name of their file."""
+    return documents.select("*", F.struct(
+        F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_path").alias("file")).alias("landed"))
+
 
-    c = F.trim(F.col(column))
-    as_array = F.when(c.startswith("["), F.from_json(c, ArrayType(EVENT_LIST))).otherwise(
-        F.array(F.from_json(c, EVENT_LIST)))
-    return text.select(F.explode(as_array).alias("e")).select("e.*")
+def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:
+    """Event list from JSON text: either an array of events or one event. Text
+    that cannot be read as declared, whole or in one entry, fails the job; null
+    and blank text has no events."""
+    # array entries first as text, so that one bad entry cannot empty the array; inside
+    # an object, so that what follows the array is read too
+    text_of = F.regexp_replace(F.col(column), r"^[\s\x{FEFF}]+", "")
+    listed = F.concat(F.lit('{"e":'), F.when(text_of.startswith("["), text_of).otherwise(F.concat(F.lit("["), text_of, F.lit("]"))),
+                      F.lit("}"))
+    whole = F.from_json(listed, T.StructType([T.StructField("e", T.ArrayType(T.StringType())),
+                                              T.StructField(CORRUPT, T.StringType())]), {"columnNameOfCorruptRecord": CORRUPT})
+    unreadable = F.raise_error(F.concat(F.lit("unreadable event list: "), F.substring(F.col(column), 1, 200)))
+    text = text.filter(text_of != "").select(F.col(column), whole.alias("__w"))
+    entries = F.when(F.col(f"__w.{CORRUPT}").isNull() & F.col("__w.e").isNotNull(), F.col("__w.e")).otherwise(
+        unreadable.cast("array<string>"))
+    events = text.select(F.explode(entries).alias("__entry")).select(
+        F.from_json(F.col("__entry"), LANDED_EVENT_LIST, {"columnNameOfCorruptRecord": CORRUPT}).alias("e"), "__entry")
+    broken = F.col("e").isNull() | F.col(f"e.{CORRUPT}").isNotNull() | F.col("__entry").isNull()
+    told = F.raise_error(F.concat(F.lit("unreadable event list: "), F.substring(F.coalesce("__entry", F.lit("null")), 1, 200)))
+    checked = F.when(broken, told.cast("string")).otherwise(F.col("e.tour"))
+    return events.select(*[(checked if f.name == "tour" else F.col(f"e.{f.name}")).alias(f.name) for f in EVENT_LIST.fields])
 
 
 def parse_payloads(text: DataFrame, column: str = "value") -> DataFrame:
@@ -114,17 +135,17 @@ def unpivot_rounds(payloads: DataFrame, *keep: str) -> DataFrame:
         F.col("event_id").try_cast("long").alias("event_id"),
         F.col("year").alias("payload_year"),
         F.col("event_completed"), *keep,
-        F.explode_outer(F.filter("scores", lambda p: F.exists(
-            F.array(*[p[f"round_{i}"] for i in range(1, 5)]), lambda r: r.isNotNull()))).alias("p"))
+        F.posexplode_outer(F.filter("scores", lambda p: F.exists(
+            F.array(*[p[f"round_{i}"] for i in range(1, 5)]), lambda r: r.isNotNull()))).alias("listed", "p"))
     rounds = players.select(
-        "event_id", "payload_year", "event_completed", *keep,
+        "event_id", "payload_year", "event_completed", *keep, F.col("listed").cast("long").alias("listed"),
         F.col("p.dg_id").alias("dg_id"),
         F.col("p.player_name").alias("player_name"),
         F.posexplode(F.array(*[F.col(f"p.round_{i}") for i in range(1, 5)])).alias("pos", "r"),
         F.col("p").isNull().alias("__none"))
     return rounds.filter(F.col("r").isNotNull() | (F.col("__none") & (F.col("pos") == 0))).select(
         "event_id", "payload_year", "event_completed", *keep, "dg_id", "player_name",
-        F.when(~F.col("__none"), (F.col("pos") + 1).cast("long")).alias("round"), "r")
+        F.when(~F.col("__none"), (F.col("pos") + 1).cast("long")).alias("round"), "r", "listed")
 
 
 def round_date(completed: F.Column, round_no: F.Column) -> F.Column:
@@ -160,7 +181,9 @@ def staged_rounds(payloads: DataFrame, events: DataFrame, tour: str = PGA_TOUR)
         payloads = payloads.withColumn(CORRUPT, F.lit(None).cast("string"))
     # an unreadable document is one row, whatever the parser made of its parts
     readable = payloads.withColumn("scores", F.when(F.col(CORRUPT).isNull(), F.col("scores")))
-    long = unpivot_rounds(readable, "tour", CORRUPT)
+    if "landed" not in readable.columns:
+        readable = readable.withColumn("landed", F.lit(None).cast("struct<at:timestamp,file:string>"))
+    long = unpivot_rounds(readable, "tour", CORRUPT, "landed")
     joined = join_small(long, _listed(events), ["event_id", "payload_year"], "left")
     completed = F.col("event_completed").try_cast("date")
     rd = round_date(completed, F.coalesce("round", F.lit(1).cast("long")))
@@ -179,19 +202,20 @@ def staged_rounds(payloads: DataFrame, events: DataFrame, tour: str = PGA_TOUR)
     return joined.select(
         F.col("payload_year").alias("year"), "event_id", F.col("listed_name").alias("event_name"),
         "dg_id", "player_name", "round", "r", tee.alias("teetime"), "event_completed",
-        F.col(CORRUPT).alias("document"), reason.alias("reason")).withColumn(
-        "valid", F.col("reason").isNull())
+        F.col(CORRUPT).alias("document"), F.struct("landed.at", "landed.file", "listed").alias("landed"),
+        reason.alias("reason")).withColumn("valid", F.col("reason").isNull())
 
 
-def split_rounds(staged: DataFrame) -> IngestResult:
-    """Valid rounds (``schemas.ROUNDS``) and quarantined rows of staged ones."""
+def split_rounds(staged: DataFrame, stamped: bool = False) -> IngestResult:
+    """Valid rounds (``schemas.ROUNDS``; ``stamped``: and ``landed``) and
+    quarantined rows of staged ones."""
     valid = staged.filter("valid").select(
         "year", "event_id", "event_name", "dg_id", "player_name", "round",
         *[F.col(f"r.{c}").alias(c) for c in ("course_name", "course_num", "course_par", "score",
                                              "sg_app", "sg_arg", "sg_ott", "sg_putt", "sg_t2g",
                                              "sg_total")],
-        "teetime")
-    valid = valid.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
+        "teetime", "landed")
+    valid = valid.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields + [LANDED] * stamped])
     quarantine = staged.filter(~F.col("valid")).select(
         "year", "event_id", "event_name", "dg_id", "player_name", "round",
         F.col("r.teetime").alias("teetime_text"), "event_completed", "document", "reason")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fairway.sources.schemas import FORM_INDEX, ROUNDS, SchemaMismatch
+from fairway.sources.schemas import FORM_INDEX, LANDED, ROUNDS, SchemaMismatch
+from fairway.sources.snapshots import Snapshots
 
 
 def write_rounds(rounds: DataFrame, root: str, by_event: bool = True) -> None:
@@ -16,7 +17,9 @@ def write_rounds(rounds: DataFrame, root: str, by_event: bool = True) -> None:
     the events present in ``rounds`` are replaced, which makes a retried batch
     idempotent. Else by ``year``, replacing the whole dataset."""
     parts = ["year", "event_id"] if by_event else ["year"]
-    typed = rounds.select([F.col(f.name).cast(f.dataType) for f in ROUNDS.fields])
+    # where rounds say what they landed from, that is stored beside them
+    fields = ROUNDS.fields + ([LANDED] if LANDED.name in rounds.columns else [])
+    typed = rounds.select([F.col(f.name).cast(f.dataType) for f in fields])
     # rebalance (not repartition) on the folder columns: AQE splits a hot year
     # over several tasks and merges small ones, so no task writes a whole year
     typed.hint("rebalance", *parts).write.mode("overwrite").option(
@@ -78,29 +81,45 @@ _ARROW_TYPES = {"bigint": "int64", "string": ("string", "large_string"), "double
                 "timestamp_ntz": "timestamp"}
 
 
+def form_order() -> list:
+    """Order of the rolling index's rows: player, name and tee time, descending."""
+    return [F.col(c).desc_nulls_first() for c in ("dg_id", "player_name", "teetime")]
+
+
 def write_form_index(long: DataFrame, root: str, periods: Sequence[int] | None = None) -> None:
-    """Rolling index, one folder per ``period``, rows of each file by player,
-    name and tee time descending. ``periods`` are replaced as a whole, also
-    those that have no rows now; by default the whole dataset is."""
-    spark = long.sparkSession
+    """Rolling index, one folder per ``period``. ``periods`` are replaced as a
+    whole, also those that have no rows now; by default the whole dataset is.
+
+    *Atomic*: the rows become visible by one manifest (``snapshots``), so readers
+    see the old periods until all new ones are written, whatever fails.
+
+    *Ordered*: rows are range-partitioned over period and ``form_order``, with
+    boundaries from one sampling pass over the keys of the staged rows, and sorted
+    in each range. A period's files read in name order are therefore sorted as a
+    whole, no task gets a whole period or a hot player, and a player's rows lie
+    in neighbouring files that the footers' minima and maxima tell apart.
+    """
+    from fairway.operators.joins import materialize
+
+    staged = materialize(long, "form-index")   # sampled and sorted without framing twice
+    order = [F.col("period"), *form_order()]
+    ordered = staged.repartitionByRange(*order).sortWithinPartitions(*order)
+    store = Snapshots(long.sparkSession, root, "period")
+    version = store.write(ordered)
+    changes = {p: version for p in store.written(version)}
     if periods is not None:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for p in periods:
-            folder = hadoop(f"{root}/period={int(p)}")
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-    # sorted after the rebalance, with the folder column first as the writer wants it
-    ordered = long.hint("rebalance", "period").sortWithinPartitions(
-        "period", F.col("dg_id").desc_nulls_first(), F.col("player_name").desc_nulls_first(),
-        F.col("teetime").desc_nulls_first())
-    ordered.write.mode("overwrite").option(
-        "partitionOverwriteMode", "static" if periods is None else "dynamic").partitionBy("period").parquet(root)
-
-
-def read_form_index(spark: SparkSession, root: str, period: int) -> DataFrame:
-    """One period of the rolling index (partition pruning on ``period``)."""
-    schema = T.StructType(FORM_INDEX.fields + [T.StructField("period", T.LongType())])
-    df = spark.read.schema(schema).parquet(root)
-    return df.filter(F.col("period") == period).select(*[f.name for f in FORM_INDEX.fields])
+        changes = {int(p): changes.get(int(p)) for p in periods}
+    store.commit(changes, drop_others=periods is None)
+
+
+def read_form_index(spark: SparkSession, root: str, period: int, player: int | None = None) -> DataFrame:
+    """One period of the rolling index (partition pruning on ``period``), or one
+    player of it (pushed down to the one or two files that hold it)."""
+    where = F.col("period") == period
+    if player is not None:
+        where = where & (F.col("dg_id") == player)
+    rows = Snapshots(spark, root, "period").read(FORM_INDEX, where=where, values=[period])
+    return rows.select(*[f.name for f in FORM_INDEX.fields])
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -91,6 +91,10 @@ class FormIndexRow:
 
 
 ROUNDS = struct_from(Round)
+# What a stored round landed from (absent in datasets written without it): the
+# file's time and name, and its place in the document. Orders landings of a round.
+LANDED = T.StructField("landed", T.StructType([
+    T.StructField("at", T.TimestampType()), T.StructField("file", T.StringType()), T.StructField("listed", T.LongType())]))
 COURSE_INFO = struct_from(VenueRow)
 FORM_INDEX = struct_from(FormIndexRow)
 

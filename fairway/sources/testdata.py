@@ -79,8 +79,9 @@ def round_columns() -> list:
     return [exprs[f.name].cast(f.dataType).alias(f.name) for f in ROUNDS.fields]
 
 
-def rounds_from_events(events: DataFrame) -> DataFrame:
-    shifted = F.when(F.col("event_id") % 4 == 1, F.col("ts") - F.expr("INTERVAL 1 YEAR"))
+def rounds_from_events(events: DataFrame, earlier: str = "event_id % 4 = 1") -> DataFrame:
+    """``earlier`` says which rows are a year back."""
+    shifted = F.when(F.expr(earlier), F.col("ts") - F.expr("INTERVAL 1 YEAR"))
     return events.withColumn("ts", F.coalesce(shifted, "ts")).select(*round_columns())
 
 
@@ -89,6 +90,34 @@ def rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounds_from_events(table(spark, sf_dir, "events"))
 
 
+# For the standings: a sixth of the players have played in the earlier year only.
+REPORT_EARLIER = "event_id % 4 = 1 OR user_id % 6 = 1"
+
+
+def report_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rounds view of the standings reports."""
+    return rounds_from_events(table(spark, sf_dir, "events"), REPORT_EARLIER)
+
+
+def dense_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rounds view with ten players only: long histories for long periods."""
+    return rounds_from_events(table(spark, sf_dir, "events").withColumn("user_id", F.col("user_id") % 10))
+
+
+def landed_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rounds view with ``landed`` (time, type and number of its row) and the
+    row's number ``key``; by ``key % 19``: 7 has no player id, 11 neither id nor name."""
+    view = round_columns()
+    rows = table(spark, sf_dir, "events")
+    shifted = F.when(F.expr("event_id % 4 = 1"), F.col("ts") - F.expr("INTERVAL 1 YEAR"))
+    landed = F.struct(F.col("ts").cast("timestamp").alias("at"), F.col("event_type").alias("file"),
+                      F.col("event_id").alias("listed")).alias("landed")
+    out = rows.withColumn("ts", F.coalesce(shifted, "ts")).select(*view, landed, F.col("event_id").alias("key"))
+    none = F.col("key") % 19
+    return out.withColumn("dg_id", F.when(~none.isin(7, 11), F.col("dg_id"))).withColumn(
+        "player_name", F.when(none != 11, F.col("player_name")))
+
+
 # DuckDB text of the same view, used by the oracle queries.
 _ROUNDS_SQL_TEMPLATE = """{name} AS (
   SELECT CAST(year(e.ts) AS BIGINT) AS year,
@@ -114,9 +143,19 @@ _ROUNDS_SQL_TEMPLATE = """{name} AS (
          e.ts AS teetime{extra}
   FROM {source} e)"""
 
-ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="", source="""(
-    SELECT * REPLACE (CASE WHEN event_id % 4 = 1 THEN ts - INTERVAL 1 YEAR ELSE ts END AS ts)
+_SHIFTED = """(
+    SELECT * REPLACE (CASE WHEN {earlier} THEN ts - INTERVAL 1 YEAR ELSE ts END AS ts)
+    FROM events)"""
+ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="", source=_SHIFTED.format(earlier="event_id % 4 = 1"))
+DENSE_ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="", source="""(
+    SELECT * REPLACE (CASE WHEN event_id % 4 = 1 THEN ts - INTERVAL 1 YEAR ELSE ts END AS ts, user_id % 10 AS user_id)
     FROM events)""")
+REPORT_ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(name="rounds", extra="", source=_SHIFTED.format(earlier=REPORT_EARLIER))
+# the view with what a round landed from: its row's time, type and number; some
+# rows have no player id, some no name either
+LANDED_ROUNDS_SQL = _ROUNDS_SQL_TEMPLATE.format(
+    name="landed_view", extra=", e.ts AS landed_at, e.event_type AS landed_file, e.event_id AS listed",
+    source=_SHIFTED.format(earlier="event_id % 4 = 1"))
 # the view plus the raw columns the landed documents are built from
 ROUNDS_RAW_SQL = _ROUNDS_SQL_TEMPLATE.format(
     name="rounds_raw", extra=", e.ts AS ts, e.event_type AS event_type", source="events")

@@ -194,3 +194,18 @@ def test_strict_mode_fails_on_malformed_teetime(spark):
     rounds = [ROUNDS[0][:7] + ("noon",), *ROUNDS[1:]]
     with pytest.raises(Exception, match="malformed tee time 'noon'"):
         ingested(spark, payload(rounds=rounds), strict=True).rounds.collect()
+
+
+@pytest.mark.parametrize("text", ['[{"tour": "pga"}, {"tour": ', '{"tour": "pga"', '[{"tour": "pga"}, 7]', '[{"calendar_year": "x"}]',
+                                  "not json", '[{"tour": "pga"}] [', '[null]'])
+def test_unreadable_event_lists_fail(spark, text):
+    with pytest.raises(Exception, match="unreadable event list"):
+        ingest.parse_event_list(spark.createDataFrame([(text,)], "value string")).collect()
+
+
+def test_readable_event_lists_in_any_shape(spark):
+    texts = ['﻿ [{"tour": "pga", "event_id": 1}, {"tour": "euro", "event_id": 2, "more": {"a": [1]}}]',
+             '{"tour": "pga", "event_id": 3}', "[]", "", "  ", None]
+    got = ingest.parse_event_list(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert sorted((r.event_id, r.tour) for r in got.collect()) == [(1, "pga"), (2, "euro"), (3, "pga")]
+    assert [f.name for f in got.schema] == [f.name for f in ingest.EVENT_LIST.fields]
