@@ -15,37 +15,47 @@ from fairway.llm.packing import pack
 from fairway.llm.quality import keep_good
 from fairway.llm.secrets import masked
 from fairway.llm.staging import keyed, small, stage
+from fairway.operators.joins import current_scope, run_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the weakly supervised quality rules keep."""
+    """Documents that the weakly supervised quality rules keep. Null, empty and
+    blank texts go; rows that repeat an id are judged each; an empty table gives
+    no rows; further columns are left out."""
     return keep_good(docs.select(*COLUMNS))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the smallest id.
-    Rows that repeat an id are documents of their own; rows without an id stay."""
-    named = keyed(docs.where("doc_id is not null").select(*COLUMNS), "doc_id", "__key")
+    """One document of each group of near duplicates stays: that of the smallest
+    id (none counts as the largest). Rows that repeat an id and rows without one
+    are documents of their own; texts without a word are near to nothing and stay;
+    an empty table gives no rows; further columns are left out."""
+    named = keyed(docs.select(*COLUMNS), "doc_id", "__key")
     kept = stage(near_duplicates(named, "__key").where("__key = component_id").select("__key"), "kept")
-    named = named.join(small(kept), "__key", "left_semi").select(*COLUMNS)
-    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    return named.join(small(kept), "__key", "left_semi").select(*COLUMNS)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every secret found is replaced by a mark; all documents stay."""
+    """Every secret found is replaced by a mark; all documents stay, null and empty
+    texts and repeated rows as they are; further columns are left out."""
     return masked(docs.select(*COLUMNS)).withColumn(
         "n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*COLUMNS)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the entropy-balanced mix takes it."""
+    """Each document as often as the entropy-balanced mix takes it. Rows that
+    repeat an id and rows without one are documents of their own; a null source is
+    a source; texts without words weigh nothing and are not taken; an empty table
+    gives no rows; further columns are left out."""
     return mixed_documents(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' tokens, packed into training sequences."""
+    """Pieces of the documents' tokens, packed into training sequences. Null and
+    empty texts are packed as their end mark; repeated rows are packed each; an
+    empty table gives no rows."""
     return pack(docs)
 
 
@@ -62,7 +72,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, outer = spark.read.parquet(f"{sf_dir}/documents.parquet"), current_scope()
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        with run_scope():  # a stage's own tables go when its result is written
+            docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}", outer)
     return STAGES[-1][1](spark, docs, sf_dir)

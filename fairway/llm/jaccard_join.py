@@ -51,7 +51,7 @@ from pyspark.sql import functions as F
 
 from fairway.llm.components import connected_components
 from fairway.llm.staging import parts, ship, small, stage
-from fairway.llm.textvec import LOWER, U64, RangeHash, Texts, mix, slices
+from fairway.llm.textvec import LOWER, U64, RangeHash, Texts, mix, release_memory, slices
 
 SHINGLE_WORDS = 5
 # A signature met in more texts than this is ordered last.
@@ -66,6 +66,8 @@ BLOCK_ITEMS = 1 << 20
 SIZE_CLASS = 1.4
 # Places (a set in a meeting) sent to all tasks at most; beyond that shuffle joins fetch the texts.
 BROADCAST_PLACES = 1_000_000
+# Text bytes whose signatures make one part.
+PART_BYTES = 8 << 20
 # Signatures held before a task sends them on.
 FLUSH = 1 << 20
 
@@ -234,7 +236,10 @@ def _common_signatures(texts: DataFrame, n_parts: int) -> np.ndarray:
         at = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
         count = np.add.reduceat(count, at)
         many = count > COMMON
-        return pa.table({"sign": sign[at][many].view(np.int64), "n": count[many]})
+        out = pa.table({"sign": sign[at][many].view(np.int64), "n": count[many]})
+        del table, sign, count, order, at, many
+        release_memory()
+        return out
 
     counts = stage(texts.select("text").mapInArrow(run, schema).groupBy("part").applyInArrow(
         total, "sign long, n long"), "common")
@@ -334,6 +339,8 @@ def _meet(table: pa.Table) -> pa.Table:
         new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
         put(1, x[new], y[new])
     docs = table.filter(pa.compute.is_valid(table.column("fp")))
+    del table, packed
+    release_memory()
     n = sum(map(len, xs))
     return pa.table({
         "kind": pa.chunked_array([pa.array(np.zeros(docs.num_rows, np.int32)), *map(pa.array, kinds)], pa.int32()),
@@ -419,6 +426,8 @@ def _compare(table: pa.Table) -> pa.Table:
     np.minimum.at(first, label, fp)
     head = first[label]
     keep = head != fp
+    del table, sets
+    release_memory()
     return pa.table({"a": fp[keep], "b": head[keep]})
 
 
@@ -473,8 +482,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``id_col``, ``n_shingles`` and ``component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     ship(spark)
-    n_parts = parts(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    # parts of the packed signatures by measured bytes: none grows with the input
+    text_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_parts = max(parts(spark), -(-text_bytes // PART_BYTES))
     common = spark.sparkContext.broadcast(_common_signatures(texts, n_parts))
     run, schema = _meeting_side(n_parts, common)
     met = stage(texts.mapInArrow(run, schema).groupBy("part").applyInArrow(

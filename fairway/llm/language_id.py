@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import ship, stage
+from fairway.llm.staging import ship, small, stage
 from fairway.llm.textvec import U64, HashIndex, RangeHash, Texts, entries_inside, slices
 
 VOCABULARY = "piece_bpe_32k.model"
@@ -146,10 +146,11 @@ def _training_words(docs: DataFrame, id_col: str, text_col: str, lang_col: str)
     allowed = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()) \
         .where(F.pmod(F.crc32(key.cast("binary")), F.lit(4)) != HELD_OUT)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = allowed.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id")).distinct().withColumn(
-        "nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS).select("id", "lang")
+    # a bounded table: the texts themselves are not shuffled
+    ids = stage(allowed.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id")).distinct().withColumn(
+        "nth", F.row_number().over(order)).where(F.col("nth") <= SAMPLE_DOCS).select("id", "lang"), "lang-sample")
     sample = allowed.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
-        .join(ids, ["id", "lang"], "left_semi")
+        .join(small(ids), ["id", "lang"], "left_semi")
     words = sample.select("lang", F.explode(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
                           .alias("word"))
     return stage(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "lang-words")

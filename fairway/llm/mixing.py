@@ -177,7 +177,9 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, key_col
     text = F.col(text_col)
     return stage(docs.select(F.col(key_col or id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
                              word_count(text).alias("size"),
-                             F.xxhash64(F.col(id_col).cast("string"), F.lit("mix")).alias("seed")), "sizes")
+                             # rows without an id draw by their text
+                             F.xxhash64(F.coalesce(F.col(id_col).cast("string"), text, F.lit("")), F.lit("mix"))
+                             .alias("seed")), "sizes")
 
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -191,10 +193,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     source_col: str = "source") -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it. Rows that repeat
-    an id are documents of their own, rows without an id are not taken."""
-    rows = keyed(docs.where(F.col(id_col).isNotNull()), id_col, "__key")
-    plan = planned(_sized(rows, id_col, text_col, source_col, "__key"))
-    plan = small(stage(plan.where("copies > 0").select(F.col("id").alias("__id"), F.col("copies").alias("__copies")),
-                       "plan"))
-    return rows.join(plan, F.col("__key") == F.col("__id")).withColumn(
-        "__copies", F.explode(F.expr("sequence(1, int(__copies))"))).select(*docs.columns)
+    an id and rows without one are documents of their own."""
+    # the rows travel as one column, so no name of theirs can clash
+    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"),
+                         F.struct(*docs.columns).alias("row"))
+    rows = keyed(packed, "id", "key")
+    plan = planned(_sized(rows, "id", "text", "source", "key"))
+    plan = small(stage(plan.where("copies > 0").select(F.col("id").alias("key"), "copies"), "plan"))
+    return rows.select("key", "row").join(plan, "key").select(
+        "row", F.explode(F.expr("sequence(1, int(copies))"))).select("row.*")

@@ -25,7 +25,7 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 # Bytes of text handled at once; a longer single text is handled whole.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -157,7 +157,8 @@ class Texts:
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches, cut by rows so that a part has about ``most`` text bytes."""
+    """The batches, cut by rows so that a part has about ``most`` text bytes. At
+    the end freed memory is given back."""
     for batch in batches:
         if batch.num_rows == 0:
             continue
@@ -166,6 +167,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(int(a), int(b - a))
+    release_memory()
 
 
 def release_memory() -> None:

@@ -28,7 +28,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fairway.llm.staging import ship, stage
@@ -103,8 +103,9 @@ def learnable(labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic
 
 def training_sample(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``label`` and ``text`` of the bounded training sample, as a written table."""
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    ids = known.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_DOCS).select("id", "label")
+    # a top-k for each label, so no task gets all ids of one
+    zeros, ones = (known.where(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(SAMPLE_DOCS) for v in (0, 1))
+    ids = zeros.unionByName(ones)
     # at most SAMPLE_DOCS ids of each label: the texts stay where they are
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return stage(rows.join(F.broadcast(ids), "id").select("label", "text"), "toxic-sample")

@@ -32,12 +32,14 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairway.llm.staging import shared_folder, ship, stage
+from fairway.llm.staging import parts, shared_folder, ship, stage
 
 MAGIC = b"\x1f\x8b\x08"
 ARCHIVE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 20
+# Reading tasks at most, for each of the session's shuffle partitions.
+READ_TASKS = 4
 # Repeated payloads sent to all tasks at most (about 100 bytes each).
 BROADCAST_GROUPS = 100_000
 _URN = "urn:x-page:"
@@ -193,7 +195,11 @@ def read_archives(spark: SparkSession, manifest: DataFrame, range_bytes: int = R
     ranges = manifest.select("path", F.col("bytes"), F.explode(
         F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
         .alias("start"))
-    ranges = ranges.repartition(F.col("path"), F.col("start"))
+    # a numbered range partitioning: adaptive execution would merge these few small
+    # rows into one task, and hashing would leave tasks without a range
+    ranges = stage(ranges, "ranges")
+    tasks = max(1, min(ranges.count(), READ_TASKS * parts(spark)))
+    ranges = ranges.repartitionByRange(tasks, "path", "start")
 
     def read(batches: Iterator[pa.RecordBatch]):
         names = ["path", "position", "record_id", "type", "uri", "digest", "refers_to", "payload_bytes", "payload"]

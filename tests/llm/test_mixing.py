@@ -74,6 +74,34 @@ def test_cells_in_parts(spark, make_docs, monkeypatch):
 def test_copies_and_empty(spark, make_docs):
     docs = make_docs([(1, "a b", None, "x"), (1, "a b", None, "x"), (2, "c d", None, "y"), (None, "e", None, "y")])
     out = mixing.mixed_documents(docs)
-    assert out.columns == docs.columns and {r.doc_id for r in out.collect()} <= {1, 2}
+    assert out.columns == docs.columns
+    plan = {s: sum(r.taken for r in mixing.mix_sources(docs).collect() if r.source_size == n) for s, n in (("x", 4), ("y", 3))}
+    got = out.collect()
+    assert {s: sum(len(r.text.split()) for r in got if r.source == s) for s in "xy"} == plan
+
+
+def test_rows_without_an_id_are_taken_as_planned(spark, make_docs):
+    rows = [(None, f"{i} " + "w " * (i % 7), None, "xyz"[i % 3]) for i in range(120)]
+    docs = make_docs(rows, 3)
+    plan = mixing.mix_sources(docs).collect()
+    got = mixing.mixed_documents(docs).collect()
+    words = lambda t: len(t.split())
+    taken = {s: sum(words(r.text) for r in got if r.source == s) for s in "xyz"}
+    want = targets({s: sum(words(t) for _, t, _, q in rows if q == s) for s in "xyz"})
+    for s in "xyz":
+        assert abs(taken[s] - want[s]) <= max(0.01 * want[s], 8)
+    assert sum(r.taken for r in plan) == sum(taken.values()) and len(got) > 40
+    again = mixing.mixed_documents(make_docs(rows, 5)).collect()
+    assert sorted(r.text for r in again) == sorted(r.text for r in got)
+
+
+def test_very_long_text(spark, make_docs):
+    rows = [(1, "w " * 300_000, None, "x"), *((i, "w " * 100, None, "y") for i in range(2, 3002))]
+    got = {r.doc_id: r for r in mixing.mix_sources(make_docs(rows)).collect()}
+    assert got[1]["size"] == 300_000 and got[1].taken % 300_000 == 0
+    assert sum(r.taken for r in got.values()) > 0
+
+
+def test_empty(spark, make_docs):
     assert mixing.mix_sources(make_docs([])).count() == 0
     assert mixing.mix_sources(make_docs([(1, None, None, "x"), (2, "", None, None)])).count() == 2

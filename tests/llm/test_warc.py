@@ -3,6 +3,7 @@ import random
 
 import pyarrow.fs as pafs
 import pytest
+from pyspark.sql import functions as F
 
 from fairway.llm import warc
 
@@ -69,5 +70,15 @@ def test_small_payloads_are_not_deduplicated(spark):
     assert sorted(r.type for r in warc.read_archives(spark, manifest).collect()) == ["response"] * 3 + ["revisit"]
 
 
+def test_many_tasks_read_the_archives(spark):
+    rng = random.Random(9)
+    rows = [(i, "u", "".join(rng.choices("abcdefgh", k=3000))) for i in range(400)]
+    manifest = warc.write_archives(pages(spark, rows).coalesce(1))
+    size = manifest.first().bytes
+    records = warc.read_archives(spark, manifest, -(-size // 12))
+    per_task = records.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(per_task) == 12 and sum(r["count"] for r in per_task) == 400
+
+
 def test_empty(spark):
     assert warc.archived_pages(pages(spark, [])).count() == 0
