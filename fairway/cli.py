@@ -30,7 +30,8 @@ def _ingest(spark, args) -> None:
                              index_root=args.index, periods=[int(p) for p in args.periods.split(",")])
         query.awaitTermination()
         return
-    payloads = ingest.read_payloads(spark, args.landing, multi_line=not args.json_lines)
+    payloads = ingest.read_split_payloads(spark, args.landing) if args.split else ingest.read_payloads(
+        spark, args.landing, multi_line=not args.json_lines)
     if _exists(spark, args.rounds):  # landed events are skipped
         payloads = ingest.unlanded_payloads(payloads, ingest.landed_event_keys(io.read_rounds(spark, args.rounds)))
     with run_scope():
@@ -68,6 +69,7 @@ def build_parser() -> argparse.ArgumentParser:
     ing.add_argument("--rounds", required=True, help="rounds dataset root")
     ing.add_argument("--quarantine", required=True, help="quarantined rows root")
     ing.add_argument("--json-lines", action="store_true", help="documents are JSON Lines")
+    ing.add_argument("--split", action="store_true", help="read each large JSON file by many tasks")
     ing.add_argument("--strict", action="store_true", help="fail on invalid rows")
     ing.add_argument("--stream", action="store_true", help="incremental streaming ingest")
     ing.add_argument("--checkpoint", help="stream checkpoint location (with --stream)")

@@ -409,6 +409,20 @@ NO_IMPACT_SQL = f"""no_impact AS (
   WHERE course_factor_star = 0.0 AND {YEAR_RANGE})"""
 
 
+@register("venue_gained_median", _with(ROUNDS_SQL) + """
+SELECT course_num, count(sg_total) AS rounds, true AS within_error
+FROM rounds WHERE sg_total IS NOT NULL GROUP BY course_num""")
+def q_venue_gained_median(spark, sf_dir):
+    """Median strokes gained by venue from sketches of each year, merged; whether
+    its true rank is within the stated error."""
+    src = rounds(spark, sf_dir)
+    merged = reports.merged_sketches(reports.quantile_sketches(src, "sg_total", "course_num", "year"), "course_num")
+    medians = joins.materialize(reports.sketched_quantile(merged, 0.5, "median"), "medians")
+    placed = reports.rank_of(src, "sg_total", medians, "median", "course_num")
+    within = (F.col("below") <= 0.5 + reports.RANK_ERROR) & (F.col("up_to") >= 0.5 - reports.RANK_ERROR)
+    return placed.select("course_num", F.col("n").alias("rounds"), within.alias("within_error"))
+
+
 @register("no_impact_rounds", _with(*_form_ctes(FORM_PERIOD, REPORT_ROUNDS_SQL), NO_IMPACT_SQL) + """
 SELECT * FROM no_impact""")
 def q_no_impact_rounds(spark, sf_dir):
@@ -582,6 +596,32 @@ def q_ingest_accounting(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"))
 
 
+@register("split_documents", _with(MIXED_SQL) + """
+SELECT reason, CAST(sum(n) AS BIGINT) AS rows FROM (
+  SELECT CASE WHEN broken THEN 1 ELSE 3 END AS n,
+         CASE WHEN broken THEN 'unreadable document'
+              WHEN k = 2 THEN 'other tour'
+              WHEN day % 2 = 0 THEN 'event not in the list'
+              WHEN day % 10 = 1 THEN 'event listed under several names'
+              WHEN k IN (3, 4) THEN 'no usable completion date'
+              WHEN isodow(CAST(ts AS DATE)) NOT IN (1, 6, 7) THEN 'completed on '
+                   || strftime(ts, '%A') || ', expected Saturday to Monday'
+              WHEN event_type = 'error' AND user_id % 7 = 3 THEN 'malformed tee time ''tbd'''
+              ELSE 'valid' END AS reason
+  FROM mixed WHERE k <> 0) GROUP BY reason""")
+def q_split_documents(spark, sf_dir):
+    """Rounds of documents that lie in large pretty-printed arrays, read in byte
+    ranges, by what became of them (documents cut in half are left out: they have
+    no end)."""
+    root = scratch_dir(spark, "arrays")
+    events = _events(spark, sf_dir)
+    testdata.write_array_files(testdata.mixed_documents(events).where("key % 20 <> 0"), root)
+    payloads = ingest.read_split_payloads(spark, root, 1 << 16)
+    staged = ingest.staged_rounds(payloads, testdata.mixed_event_list(events))
+    return staged.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 @register("round_dates", """
 SELECT o_orderkey, CAST(round AS BIGINT) AS round, CAST(o_orderdate AS DATE) AS completion_date,
        CAST(o_orderdate AS DATE)
@@ -685,6 +725,23 @@ def q_parquet_roundtrip(spark, sf_dir):
     return r6(io.read_rounds(spark, root))
 
 
+@register("dataset_statistics", _with(ROUNDS_SQL) + """
+SELECT name, CAST(count(*) AS BIGINT) AS rows, CAST(min(v) AS DOUBLE) AS low, CAST(max(v) AS DOUBLE) AS high,
+       CAST(count(*) - count(v) AS BIGINT) AS nulls
+FROM (SELECT 'score' AS name, CAST(score AS DOUBLE) AS v FROM rounds
+      UNION ALL SELECT 'dg_id', dg_id FROM rounds UNION ALL SELECT 'course_num', course_num FROM rounds
+      UNION ALL SELECT 'sg_total', sg_total FROM rounds UNION ALL SELECT 'sg_app', sg_app FROM rounds
+      UNION ALL SELECT 'teetime', CAST(epoch_us(teetime) AS DOUBLE) FROM rounds)
+GROUP BY name""")
+def q_dataset_statistics(spark, sf_dir):
+    """Rows, extremes and nulls of columns, from the footers of a written dataset."""
+    root = scratch_dir(spark, "rounds")
+    io.write_rounds(rounds(spark, sf_dir), root)
+    io.read_rounds(spark, root)     # the footers are kept here, and only read again below
+    return io.dataset_statistics(spark, root).where(F.col("name").isin(
+        "score", "dg_id", "course_num", "sg_total", "sg_app", "teetime")).select("name", "rows", "low", "high", "nulls")
+
+
 @register("csv_roundtrip", _with(ROUNDS_SQL, DIFFICULTY_SQL) + f"""
 SELECT {DIFF_COLS} FROM difficulty""")
 def q_csv_roundtrip(spark, sf_dir):

@@ -53,6 +53,6 @@ def run_extracts(spark: SparkSession, out_root: str, *, period: int = 50, year:
                  max_days: int = 730, player: int) -> dict[str, str]:
     """Current standings and one player's trend as CSV extracts."""
     form = io.read_form_index(spark, f"{out_root}/form_index", period)
-    io.write_csv(reports.current_standings(form, year, max_days), f"{out_root}/form_current")
+    io.write_csv(reports.current_standings(form, year, max_days, stored=True), f"{out_root}/form_current")
     io.write_csv(reports.player_trend(form, player), f"{out_root}/form_player")
     return {"form_current": f"{out_root}/form_current", "form_player": f"{out_root}/form_player"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -70,3 +71,24 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return os.path.join(base, "fairway-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor: the
+    driver's copy is sent once for each Spark application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), "fairway_package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()

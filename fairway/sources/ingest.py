@@ -113,10 +113,22 @@ def parse_event_list(text: DataFrame, column: str = "value") -> DataFrame:
     return events.select(*[(checked if f.name == "tour" else F.col(f"e.{f.name}")).alias(f.name) for f in EVENT_LIST.fields])
 
 
-def parse_payloads(text: DataFrame, column: str = "value") -> DataFrame:
-    """Payload objects from JSON text (one document per row)."""
+def parse_payloads(text: DataFrame, column: str = "value", *keep: str) -> DataFrame:
+    """Payload objects from JSON text (one document per row). ``keep``: further
+    columns."""
     return text.select(F.from_json(F.col(column), LANDED_PAYLOAD, {
-        "columnNameOfCorruptRecord": CORRUPT}).alias("p")).select("p.*")
+        "columnNameOfCorruptRecord": CORRUPT}).alias("p"), *keep).select("p.*", *keep)
+
+
+def read_split_payloads(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
+    """Landed payload files of any size and shape (pretty-printed, arrays of
+    documents, documents one after another), each read by many tasks. A document
+    that cannot be read is one row with its text in ``_corrupt_record``; the others
+    of its file are not affected."""
+    from fairway.sources import json_split
+
+    documents = json_split.read_documents(spark, path, range_bytes or json_split.RANGE_BYTES)
+    return parse_payloads(documents, "value", "landed")
 
 
 def pga_events(events: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fairway.session import ship_package
+from fairway.sources.files import list_files, open_input
 from fairway.sources.schemas import FORM_INDEX, LANDED, ROUNDS, SchemaMismatch
 from fairway.sources.snapshots import Snapshots
 
@@ -26,31 +28,98 @@ def write_rounds(rounds: DataFrame, root: str, by_event: bool = True) -> None:
         "partitionOverwriteMode", "dynamic" if by_event else "static").partitionBy(*parts).parquet(root)
 
 
-def file_schemas(df: DataFrame) -> list[tuple[str, dict[str, str]]]:
+# Footers of a dataset's files: one row a file, kept beside the files.
+FOOTERS = "_footers"
+_FOOTER_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("size", T.LongType()), T.StructField("at", T.TimestampType()),
+    T.StructField("rows", T.LongType()), T.StructField("columns", T.ArrayType(T.StructType([
+        T.StructField("name", T.StringType()), T.StructField("type", T.StringType()),
+        T.StructField("low", T.DoubleType()), T.StructField("high", T.DoubleType()),
+        T.StructField("nulls", T.LongType())])))])
+
+
+def _read_footers(batches):
+    """Rows, columns and the columns' minima and maxima (numbers as they are,
+    times in microseconds) of each file, from its footer."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    def number(x):
+        if hasattr(x, "timestamp"):
+            import datetime as dt
+
+            x = x if x.tzinfo else x.replace(tzinfo=dt.timezone.utc)
+            return float((x - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1))
+        return float(x) if isinstance(x, (int, float)) else None
+
+    kind = pa.list_(pa.struct([("name", pa.string()), ("type", pa.string()), ("low", pa.float64()),
+                               ("high", pa.float64()), ("nulls", pa.int64())]))
+    for batch in batches:
+        rows, columns = [], []
+        for path in batch.column("path").to_pylist():
+            with open_input(path) as file:
+                whole = pq.ParquetFile(file)
+                meta, found = whole.metadata, {f.name: [str(f.type), [], [], 0] for f in whole.schema_arrow}
+            for g in range(meta.num_row_groups):
+                for c in range(meta.num_columns):
+                    column = meta.row_group(g).column(c)
+                    held, stats = found.get(column.path_in_schema), column.statistics
+                    if held is None:
+                        continue
+                    # one group without statistics leaves the file without
+                    known = stats is not None and stats.has_null_count and held[3] is not None
+                    held[3] = held[3] + stats.null_count if known else None
+                    if stats is not None and stats.has_min_max:
+                        held[1].append(number(stats.min))
+                        held[2].append(number(stats.max))
+                    elif not known or stats.null_count < meta.row_group(g).num_rows:
+                        held[1].append(None)
+            rows.append(meta.num_rows)
+            columns.append([{"name": n, "type": t, "nulls": nulls,
+                             "low": None if not low or None in low else min(low),
+                             "high": None if not low or None in low else max(high)}
+                            for n, (t, low, high, nulls) in found.items()])
+        yield pa.record_batch([*(batch.column(c) for c in ("path", "size", "at")), pa.array(rows, pa.int64()),
+                               pa.array(columns, kind)], names=["path", "size", "at", "rows", "columns"])
+
+
+def dataset_footers(spark: SparkSession, root: str) -> DataFrame:
+    """What the footers of the dataset's files say: path, size, at, rows, columns
+    (name, type, low, high, nulls). Footers read once are kept in ``_footers`` beside
+    the files; only files not seen before (by path, size and time) are opened, in
+    tasks, and no list of files passes through the driver's Python."""
+    ship_package(spark)
+    key, kept = ["path", "size", "at"], f"{root.rstrip('/')}/{FOOTERS}"
+    files = list_files(spark, root, "*.parquet")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        known = spark.read.schema(_FOOTER_SCHEMA).parquet(kept)
+        unseen = files.join(known.select(*key), key, "left_anti")
+    else:
+        unseen = files
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unseen.repartition(tasks, "path").mapInArrow(_read_footers, _FOOTER_SCHEMA).coalesce(
+        max(1, tasks // 16)).write.mode("append").parquet(kept)
+    known = spark.read.schema(_FOOTER_SCHEMA).parquet(kept)
+    return known.join(files, key, "left_semi").dropDuplicates(key)   # two readers may have added a file
+
+
+def dataset_statistics(spark: SparkSession, root: str) -> DataFrame:
+    """Files, rows, and per column the lowest and highest value and the nulls of a
+    whole dataset, from its footers only (folder columns have none)."""
+    per = dataset_footers(spark, root).select("path", "rows", F.explode("columns").alias("c")).select("path", "rows", "c.*")
+    whole = lambda x: F.when(F.count_if(F.col(x).isNull() & (F.coalesce("nulls", F.lit(-1).cast("long")) < F.col("rows"))) == 0, 1)
+    return per.groupBy("name").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"),
+        F.when(whole("low") == 1, F.min("low")).alias("low"), F.when(whole("high") == 1, F.max("high")).alias("high"),
+        F.when(F.count_if(F.col("nulls").isNull()) == 0, F.sum("nulls")).alias("nulls"))
+
+
+def file_schemas(spark: SparkSession, root: str) -> list[tuple[str, dict[str, str]]]:
     """(example file, physical columns) of every different schema among the
-    Parquet files of ``df``: the footers are read in tasks."""
-    spark = df.sparkSession
-    files = df.inputFiles()
-    if not files:
-        return []
-
-    def footers(batches):
-        import pyarrow as pa
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for batch in batches:
-            paths, columns = batch.column("path").to_pylist(), []
-            for path in paths:
-                fs, place = pafs.FileSystem.from_uri(path)
-                columns.append(sorted(f"{f.name}\t{f.type}" for f in pq.read_schema(place, filesystem=fs)))
-            yield pa.record_batch([pa.array(paths), pa.array(columns, pa.list_(pa.string()))],
-                                  names=["path", "columns"])
-
-    listed = spark.createDataFrame([(f,) for f in files], "path string").repartition(
-        min(len(files), 10 * spark.sparkContext.defaultParallelism))
-    found = listed.mapInArrow(footers, "path string, columns array<string>").groupBy("columns").agg(
-        F.min("path").alias("path")).collect()
+    Parquet files of a dataset; as many rows as there are schemas."""
+    columns = F.array_sort(F.transform("columns", lambda c: F.concat(c["name"], F.lit("\t"), c["type"])))
+    found = dataset_footers(spark, root).groupBy(columns.alias("columns")).agg(F.min("path").alias("path")).collect()
     return [(r["path"], dict(c.split("\t") for c in r["columns"])) for r in found]
 
 
@@ -61,7 +130,7 @@ def read_rounds(spark: SparkSession, root: str) -> DataFrame:
     declaration, not by inference."""
     scan = spark.read.schema(ROUNDS).parquet(root)
     problems = []
-    for path, columns in file_schemas(scan):
+    for path, columns in file_schemas(spark, root):
         folders = {part.partition("=")[0] for part in path.split("/") if "=" in part}
         for field in ROUNDS.fields:
             if field.name in folders:

@@ -259,3 +259,23 @@ def mixed_event_list(events: DataFrame) -> DataFrame:
     names = F.when(F.col("event_id") % 10 == 1, F.array(F.lit("a"), F.lit("b"))).when(
         F.col("event_id") % 10 == 3, F.array(F.lit("a"), F.lit("a"))).otherwise(F.array(F.lit("a")))
     return days.select("calendar_year", "event_id", F.explode(names).alias("event_name"))
+
+
+def write_array_files(documents: DataFrame, root: str) -> None:
+    """Documents (``value``) as text files that each hold one array, printed over
+    many lines; one file for each partition."""
+    lines = documents.select(F.regexp_replace("value", ',"', ',\n    "').alias("value"))
+
+    def as_array(batches):
+        import pyarrow as pa
+
+        last, text = None, "["
+        for batch in batches:
+            for value in batch.column("value").to_pylist():
+                if last is not None:
+                    yield pa.record_batch([pa.array([f"{text}  {last},"])], names=["value"])
+                    text = ""
+                last = value
+        yield pa.record_batch([pa.array([f"{text}  {last or ''}\n]"])], names=["value"])
+
+    lines.mapInArrow(as_array, "value string").write.text(root)

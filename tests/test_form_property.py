@@ -87,3 +87,20 @@ def test_rolling_matches_definition(spark, monkeypatch, rows, period, skew_safe)
         cands = by_time[(r.dg_id, r.player_name, r.teetime)]
         assert any(same(r.ppi, p) and same(r.sg_total, s) and r.first_tee_time_in_group == f
                    for p, s, f in cands)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=round_rows, period=st.integers(1, 4), skew_safe=st.booleans())
+def test_scans_equal_window_frames(spark, monkeypatch, rows, period, skew_safe):
+    monkeypatch.setattr(form, "_block_rows", lambda p: 5)
+    cf = spark.createDataFrame(list(FACTORS.items()), "course_num long, course_factor_star double")
+    data = make_rounds(spark, rows)
+    both = []
+    for scan_from in (1, 1000):
+        monkeypatch.setattr(form, "SCAN_FROM", scan_from)
+        got = form.rolling_index_multi(data, cf, (period, period + 2), skew_safe=skew_safe).collect()
+        both.append(sorted(got, key=lambda r: str([r[c] for c in ("period", "dg_id", "player_name", "teetime", "score", "event_name",
+                                                                   "first_tee_time_in_group", "course_factor_star", "wave_average")])))
+    assert len(both[0]) == len(both[1])
+    for a, b in zip(*both):
+        assert all(same(a[c], b[c]) for c in b.asDict()), (a, b)

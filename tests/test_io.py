@@ -80,3 +80,36 @@ def test_rerun_replaces_requested_periods_and_sorts_files(spark, tmp_path):
     io.write_form_index(long.where("period = 2"), str(root), (2, 10))
     assert not (root / "period=10").exists()
     assert io.read_form_index(spark, str(root), 2).count() > 0
+
+
+def test_a_second_scan_reads_no_footer(spark, tmp_path):
+    import os
+
+    src, root = rounds(spark, SF001), str(tmp_path / "r")
+    io.write_rounds(src.where("event_id < 5"), root)
+    io.read_rounds(spark, root)
+    known = io.dataset_footers(spark, root).count()
+    # spoil every file without changing its size or time: opening one would fail
+    for file in (tmp_path / "r").rglob("year=*/**/*.parquet"):
+        stat, size = file.stat(), file.stat().st_size
+        file.write_bytes(b"x" * size)
+        os.utime(file, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert [f.name for f in io.read_rounds(spark, root).schema] == src.columns
+    assert io.dataset_footers(spark, root).count() == known > 3
+    # new files are opened, and only they
+    io.write_rounds(src.where("event_id = 9"), root)
+    more = io.dataset_footers(spark, root)
+    assert more.where("rows IS NOT NULL").count() == more.count() > known
+
+
+def test_statistics_follow_the_files(spark, tmp_path):
+    src, root = rounds(spark, SF001), str(tmp_path / "r")
+    io.write_rounds(src, root)
+    got = {r["name"]: r for r in io.dataset_statistics(spark, root).collect()}
+    want = src.agg(F.min("score").alias("low"), F.max("score").alias("high"), F.count_if(F.col("score").isNull()).alias("nulls")).first()
+    assert (got["score"].low, got["score"].high, got["score"].nulls) == (want.low, want.high, want.nulls)
+    assert got["sg_app"].low is None and got["sg_app"].nulls == src.count() and got["player_name"].low is None
+    # replaced events are counted once
+    io.write_rounds(src.where("event_id = 4 AND year = 2024").limit(1), root)
+    rows = io.dataset_statistics(spark, root).where("name = 'score'").first()["rows"]
+    assert rows == src.where("event_id <> 4 OR year <> 2024").count() + 1

@@ -118,3 +118,45 @@ def test_score_share_rows(spark):
     assert same(by[(1, 70)]["count"], 50.0) and same(by[(1, None)]["count"], 25.0)
     assert by[(1, 72)]["rank"] == 1 and by[(3, 66)]["rank"] is None
     assert same(by[(3, 66)]["count"], 100.0)
+
+
+def test_standings_frame_once_and_never_sort_form_rows(spark):
+    from pyspark.sql import functions as F
+
+    from fairway.operators import joins
+    from fairway.plans import catalog, reports
+    from tests.conftest import SF001
+
+    form = catalog.form_of(spark, SF001)
+    for rows in (1_000_000, 0):   # broadcast, and beyond its bound
+        spark.conf.set("spark.fairway.broadcastMaxRows", rows)
+        try:
+            with joins.run_scope():
+                plan = reports.latest_per_player(form)._jdf.queryExecution().executedPlan().toString()
+                assert "rolling" not in plan and "Window" not in plan and "SortMergeJoin" not in plan
+                assert ("BroadcastHashJoin" if rows else "ShuffledHashJoin") in plan
+                got = reports.latest_per_player(form).select("dg_id", "teetime").collect()
+        finally:
+            spark.conf.unset("spark.fairway.broadcastMaxRows")
+        want = form.groupBy("dg_id").agg(F.max("teetime").alias("teetime")).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want)) != []
+
+
+def test_sketched_median_is_within_its_error(spark):
+    from pyspark.sql import functions as F
+
+    from fairway.plans import reports
+
+    # a million different values, one group with a third of them, and odd ones
+    rows = spark.range(1_000_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+        (F.col("id") % 2).alias("batch"), (F.col("id") * 1.000001).alias("v"))
+    odd = spark.createDataFrame([("odd", 0, None), ("odd", 1, float("nan")), ("two", 0, 1.0), ("two", 1, 3.0)], "g string, batch long, v double")
+    rows = rows.unionByName(odd)
+    parts = reports.quantile_sketches(rows, "v", "g", "batch")
+    for q in (0.1, 0.5, 0.99):
+        found = reports.sketched_quantile(reports.merged_sketches(parts, "g"), q, "x").persist()
+        placed = reports.rank_of(rows, "v", found, "x", "g").collect()
+        assert len(placed) == 9 and sum(r.n for r in placed) == 1_000_002
+        for r in placed:
+            assert r.below <= q + reports.RANK_ERROR and r.up_to >= q - reports.RANK_ERROR
