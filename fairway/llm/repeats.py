@@ -70,6 +70,12 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return gram_hashes(data, GRAM) >> U64(16)
 
 
+def _spread(h: np.ndarray) -> np.ndarray:
+    """48-bit hash by which anchors are counted and dealt. An anchor has the
+    smallest hash of its window, so the hashes that choose anchors crowd near 0."""
+    return mix(h + U64(0x2545F491)) >> U64(16)
+
+
 def _window_minimum(key: np.ndarray, width: int) -> np.ndarray:
     span, out = 1, key
     while span * 2 <= width:
@@ -112,7 +118,7 @@ def anchored(texts: Texts, common: np.ndarray) -> tuple[np.ndarray, ...]:
             picked[place[valid]] = True
             at = np.flatnonzero(picked)
             late = np.zeros(len(h), bool)
-            late[at[_held(common, h[at])]] = True
+            late[at[_held(common, _spread(h[at]))]] = True
             avoided = late[place]
             if avoided.any():
                 # grams of the strings concerned that are common come last
@@ -121,7 +127,7 @@ def anchored(texts: Texts, common: np.ndarray) -> tuple[np.ndarray, ...]:
                 np.add.at(cover, x, 1)
                 np.add.at(cover, x + width, -1)
                 near = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-                key[near[_held(common, h[near])]] |= _LATE
+                key[near[_held(common, _spread(h[near]))]] |= _LATE
                 place = (_window_minimum(key, width) & U64(0xFFFFFF)).astype(np.int64)
         new = valid.copy()
         new[1:] &= ~valid[:-1] | (place[1:] != place[:-1])
@@ -129,7 +135,7 @@ def anchored(texts: Texts, common: np.ndarray) -> tuple[np.ndarray, ...]:
         end[:-1] &= ~valid[1:] | (place[1:] != place[:-1])
         x1, x2 = np.flatnonzero(new), np.flatnonzero(end)
         some = np.concatenate([[0], np.cumsum(avoided)])
-        outs.append((x1 + base, x2 + base, place[x1] + base, h[place[x1]], some[x2 + 1] > some[x1]))
+        outs.append((x1 + base, x2 + base, place[x1] + base, _spread(h[place[x1]]), some[x2 + 1] > some[x1]))
     if not outs:
         z = np.zeros(0, np.int64)
         return z, z, z, np.zeros(0, U64), np.zeros(0, bool)
