@@ -128,7 +128,9 @@ def labelled_samples(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct() \
         .orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(SAMPLE_DOCS)
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
-        F.broadcast(ids), "id", "left_semi").dropDuplicates(["id"])
+        F.broadcast(ids), "id", "left_semi")
+    # of rows that share an id always the same one, so reruns agree
+    chosen = chosen.groupBy("id").agg(F.max_by("text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("text"))
     spans = base_spans(chosen, "id", "text")
     word = "[A-Za-z0-9+/_=-]{4,}"
     random = spans.select(F.explode(F.expr(
