@@ -83,31 +83,33 @@ def _read_footers(batches):
                                pa.array(columns, kind)], names=["path", "size", "at", "rows", "columns"])
 
 
-def dataset_footers(spark: SparkSession, root: str) -> DataFrame:
+def dataset_footers(spark: SparkSession, root: str, kept: str | None = None) -> DataFrame:
     """What the footers of the dataset's files say: path, size, at, rows, columns
     (name, type, low, high, nulls). Footers read once are kept in ``_footers`` beside
-    the files; only files not seen before (by path, size and time) are opened, in
+    the files (or in ``kept``, where that folder may not be written); only files not seen before (by path, size and time) are opened, in
     tasks, and no list of files passes through the driver's Python."""
     ship_package(spark)
-    key, kept = ["path", "size", "at"], f"{root.rstrip('/')}/{FOOTERS}"
+    key, kept = ["path", "size", "at"], kept or f"{root.rstrip('/')}/{FOOTERS}"
     files = list_files(spark, root, "*.parquet")
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(kept)
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    stored = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    if stored:
         known = spark.read.schema(_FOOTER_SCHEMA).parquet(kept)
         unseen = files.join(known.select(*key), key, "left_anti")
     else:
         unseen = files
     tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    unseen.repartition(tasks, "path").mapInArrow(_read_footers, _FOOTER_SCHEMA).coalesce(
-        max(1, tasks // 16)).write.mode("append").parquet(kept)
+    if not stored or unseen.limit(1).count():
+        unseen.repartition(tasks, "path").mapInArrow(_read_footers, _FOOTER_SCHEMA).coalesce(
+            max(1, tasks // 16)).write.mode("append").parquet(kept)
     known = spark.read.schema(_FOOTER_SCHEMA).parquet(kept)
     return known.join(files, key, "left_semi").dropDuplicates(key)   # two readers may have added a file
 
 
-def dataset_statistics(spark: SparkSession, root: str) -> DataFrame:
+def dataset_statistics(spark: SparkSession, root: str, kept: str | None = None) -> DataFrame:
     """Files, rows, and per column the lowest and highest value and the nulls of a
     whole dataset, from its footers only (folder columns have none)."""
-    per = dataset_footers(spark, root).select("path", "rows", F.explode("columns").alias("c")).select("path", "rows", "c.*")
+    per = dataset_footers(spark, root, kept).select("path", "rows", F.explode("columns").alias("c")).select("path", "rows", "c.*")
     whole = lambda x: F.when(F.count_if(F.col(x).isNull() & (F.coalesce("nulls", F.lit(-1).cast("long")) < F.col("rows"))) == 0, 1)
     return per.groupBy("name").agg(
         F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"),
@@ -115,22 +117,22 @@ def dataset_statistics(spark: SparkSession, root: str) -> DataFrame:
         F.when(F.count_if(F.col("nulls").isNull()) == 0, F.sum("nulls")).alias("nulls"))
 
 
-def file_schemas(spark: SparkSession, root: str) -> list[tuple[str, dict[str, str]]]:
+def file_schemas(spark: SparkSession, root: str, kept: str | None = None) -> list[tuple[str, dict[str, str]]]:
     """(example file, physical columns) of every different schema among the
     Parquet files of a dataset; as many rows as there are schemas."""
     columns = F.array_sort(F.transform("columns", lambda c: F.concat(c["name"], F.lit("\t"), c["type"])))
-    found = dataset_footers(spark, root).groupBy(columns.alias("columns")).agg(F.min("path").alias("path")).collect()
+    found = dataset_footers(spark, root, kept).groupBy(columns.alias("columns")).agg(F.min("path").alias("path")).collect()
     return [(r["path"], dict(c.split("\t") for c in r["columns"])) for r in found]
 
 
-def read_rounds(spark: SparkSession, root: str) -> DataFrame:
+def read_rounds(spark: SparkSession, root: str, footers: str | None = None) -> DataFrame:
     """Scan a rounds dataset with the declared schema, after checking the
     stored schema of every file (Spark would silently NULL-fill a missing
-    column). Partition folders (``year``, ``event_id``) are typed by the
+    column; ``footers``: see ``dataset_footers``). Partition folders (``year``, ``event_id``) are typed by the
     declaration, not by inference."""
     scan = spark.read.schema(ROUNDS).parquet(root)
     problems = []
-    for path, columns in file_schemas(spark, root):
+    for path, columns in file_schemas(spark, root, footers):
         folders = {part.partition("=")[0] for part in path.split("/") if "=" in part}
         for field in ROUNDS.fields:
             if field.name in folders:
