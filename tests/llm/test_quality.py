@@ -64,3 +64,26 @@ def test_empty_and_filter_keeps_columns(spark, make_docs):
     docs = make_docs([(1, "too short"), (2, None), (2, "x " * 10)])
     assert quality.keep_good(docs).columns == docs.columns
     assert quality.keep_good(docs).count() == 0
+
+
+def test_fit_recovers_known_accuracies_and_a_plain_posterior():
+    """Votes drawn from known accuracies: the fit on counted patterns finds them,
+    and the posterior is Bayes' rule written out vote by vote."""
+    rng = np.random.default_rng(11)
+    m, n = len(quality.RULES), 40_000
+    share, right1, right0 = 0.75, rng.uniform(0.91, 0.99, m), rng.uniform(0.3, 0.8, m)
+    y = rng.random(n) < share
+    right = rng.random((n, m)) < np.where(y[:, None], right1, right0)
+    votes = np.where(right == y[:, None], 1, 2)          # right about good, or wrong about bad: a good vote
+    votes[rng.random((n, m)) < 0.2] = 0                  # abstentions say nothing
+    codes, counts = np.unique(votes @ 3 ** np.arange(m - 1, -1, -1), return_counts=True)
+    got_share, a1, a0 = quality.fit(codes, counts.astype(float))
+    assert abs(got_share - share) < 0.03 and np.abs(a1 - right1).max() < 0.03 and np.abs(a0 - right0).max() < 0.08
+    for code, p in list(zip(codes, quality.posterior(codes, got_share, a1, a0)))[::400]:
+        good, bad = got_share, 1 - got_share
+        for j in range(m):
+            vote = int(code) // 3 ** (m - 1 - j) % 3
+            if vote:
+                good *= a1[j] if vote == 1 else 1 - a1[j]
+                bad *= 1 - a0[j] if vote == 1 else a0[j]
+        assert np.isclose(p, good / (good + bad))
