@@ -2,27 +2,24 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fairway.operators import form
 from fairway.operators.difficulty import course_factor, event_difficulty
 from fairway.operators.joins import run_scope
 from fairway.sources import io
-from fairway.sources.schemas import LANDED
+from fairway.sources.schemas import LANDED, ROUNDS
 from fairway.streaming.landing import latest_rounds, merge_rounds
 from fairway.streaming.maintained import MaintainedDifficulty, MaintainedIndex
-from tests.conftest import make_rounds, same
+from tests.conftest import same
 
 
 def landing(spark, rows):
     """Rounds with the given ``at`` (seconds) as the time of their file."""
-    base = make_rounds(spark, rows).select("*", F.monotonically_increasing_id().alias("__i"))
-    at = spark.createDataFrame([(r.get("at"), r.get("file", "f"), i) for i, r in enumerate(rows)],
-                               "at long, file string, i long").coalesce(1)
-    pairs = list(zip(base.drop("__i").collect(), at.collect()))
-    data = [(*r, (dt.datetime(2024, 1, 1) + dt.timedelta(seconds=a.at), a.file, 0) if a.at is not None else None)
-            for r, a in pairs]
-    return spark.createDataFrame(data, base.drop("__i").schema.add(LANDED))
+    names = [f.name for f in ROUNDS.fields]
+    data = [(*(r.get(n) for n in names), None if r.get("at") is None else (
+        dt.datetime(2024, 1, 1) + dt.timedelta(seconds=r["at"]), r.get("file", "f"), 0)) for r in rows]
+    return spark.createDataFrame(data, T.StructType([*ROUNDS.fields, LANDED]))
 
 
 def round_of(event, player, no, score, at=0, **more):
@@ -58,7 +55,7 @@ def test_one_rule_within_and_across_batches(spark, tmp_path):
         root = str(tmp_path / f"r{seed}")
         for a in range(0, len(order), 10):
             with run_scope():
-                merge_rounds(landing(spark, order[a:a + 7]), root)
+                merge_rounds(landing(spark, order[a:a + 10]), root)
         assert want is None or stored(spark, root) == want
         want = stored(spark, root)
     assert len(want) == 6 and {x[4] for x in want} == {62}
