@@ -49,7 +49,7 @@ _ADDED_LETTERS = [
 _ADDED_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
                   (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
 CHUNK = 256
-INDEX_ENTRIES = 1 << 21
+INDEX_ENTRIES = 1 << 19
 _NEVER = 1 << 30
 
 

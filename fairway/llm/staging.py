@@ -6,16 +6,13 @@ the job that was running, never a recomputation of the steps before.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairway.operators.joins import RunScope, current_scope, estimated_row_bytes
-from fairway.session import ensure_checkpoint_dir
+from fairway.session import ensure_checkpoint_dir, ship_package
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -62,22 +59,15 @@ def parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+# Rows of an Arrow batch sent to Python at most: rows carry whole texts, and a
+# batch is held on both sides, outside the executor's heap.
+BATCH_ROWS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of every executor:
-    the driver's copy is sent once for each Spark application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(), "fairway_package.zip")
-    with zipfile.ZipFile(path, "w") as archive:
-        for folder, _, files in os.walk(package):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
-    sc.addPyFile(path)
-    _shipped.add(sc.applicationId)
-
-
-_shipped: set[str] = set()
+    """Make this package importable in the Python workers of every executor, and
+    keep the session's Arrow batches within ``BATCH_ROWS`` rows."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
