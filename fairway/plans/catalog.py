@@ -615,7 +615,7 @@ def q_split_documents(spark, sf_dir):
     no end)."""
     root = scratch_dir(spark, "arrays")
     events = _events(spark, sf_dir)
-    testdata.write_array_files(testdata.mixed_documents(events).where("key % 20 <> 0"), root)
+    testdata.write_array_files(testdata.mixed_documents(testdata.spread(events)).where("key % 20 <> 0"), root)
     payloads = ingest.read_split_payloads(spark, root, 1 << 16)
     staged = ingest.staged_rounds(payloads, testdata.mixed_event_list(events))
     return staged.groupBy(F.coalesce("reason", F.lit("valid")).alias("reason")).agg(

@@ -22,7 +22,9 @@ Depth never falls below 0, whatever closing brackets there are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,8 @@ from fairway.sources.files import list_files, open_input
 
 RANGE_BYTES = 8 << 20
 CHUNK = 1 << 20
+# Beyond a range's end, reading begins with so many bytes and doubles.
+READ_ON = 1 << 12
 # Tasks at most, for each of the session's shuffle partitions.
 TASKS = 4
 STATES = 4   # 2 * inside a string + after a backslash
@@ -45,41 +49,52 @@ _STEP[[ord("{"), ord("[")]] = 1
 _STEP[[ord("}"), ord("]")]] = -1
 _BETWEEN = np.zeros(256, bool)   # may stand between documents
 _BETWEEN[[9, 10, 13, 32, ord(",")]] = True
+_SCALAR = ~_BETWEEN & (_STEP == 0)
 
 
-def _scan(data: np.ndarray, quoted: bool, escaped: bool):
-    """(in a string, step of depth, in a string at the end, after a backslash at
-    the end) for the bytes of a chunk that begins in the given state."""
+def _marks(data: np.ndarray, escaped: bool):
+    """(places, steps, after a backslash at the end) of a chunk's marks: brackets
+    (step 1 or -1, those in strings too) and the quotes that begin or end a string
+    (step 0). Only these few bytes are looked at any further."""
     n = len(data)
-    place = np.arange(n + 1)
-    plain = np.where(data != _BACKSLASH, place[:n], -1)
-    # the last byte that is no backslash before each place; an entry after one
-    # backslash counts as a run of one
-    before = np.empty(n + 1, np.int64)
-    before[0] = -2 if escaped else -1
-    np.maximum.accumulate(np.where(plain >= 0, plain, before[0]), out=before[1:])
-    after_backslash = (place - 1 - before) % 2 == 1
-    quote = (data == _QUOTE) & ~after_backslash[:n]
-    inside = (np.cumsum(quote) + quoted) % 2 == 1
-    text = inside | quote
-    step = np.where(text, 0, _STEP[data])
-    return text, step, bool(inside[-1]) if n else quoted, bool(after_backslash[n])
+    # comparisons are several times faster than a table lookup of every byte
+    place = np.flatnonzero(reduce(np.logical_or, [data == mark for mark in b'"\\{}[]']))
+    byte = data[place]
+    slash = byte == _BACKSLASH
+    if not n or not (escaped or slash.any()):
+        return place, _STEP[byte], escaped and not n
+    # the first place of the backslashes right before each mark, or the mark's own;
+    # an entry after one backslash counts as one more
+    behind = np.zeros(len(place), bool)
+    behind[1:] = slash[:-1] & (np.diff(place) == 1)
+    first = np.maximum.accumulate(np.where(behind, -1, place))
+    odd = (place - first + (escaped & (first == 0))) % 2 == 1
+    ends = bool(len(place) and slash[-1] and place[-1] == n - 1 and not odd[-1])
+    kept = ~slash & ~((byte == _QUOTE) & odd)
+    return place[kept], _STEP[byte[kept]], ends
 
 
 def _depths(step: np.ndarray, depth: int) -> np.ndarray:
-    """Depth after each byte, held at 0."""
+    """Depth after each step, held at 0."""
     raw = depth + np.cumsum(step, dtype=np.int64)
     return raw - np.minimum(np.minimum.accumulate(raw), 0) if len(raw) else raw
 
 
 def chunk_maps(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """By entry state: end state, change of depth, lowest point of the change."""
+    """By entry state: end state, change of depth, lowest point of the change (0 at most)."""
     end, change, low = (np.zeros(STATES, np.int64) for _ in range(3))
-    for state in range(STATES):
-        _, step, quoted, escaped = _scan(data, bool(state >> 1), bool(state & 1))
-        sums = np.cumsum(step, dtype=np.int64)
-        end[state] = 2 * quoted + escaped
-        change[state], low[state] = (sums[-1], sums.min()) if len(sums) else (0, 0)
+    for escaped in (0, 1):
+        if escaped and len(data) and data[0] not in (_QUOTE, _BACKSLASH):
+            for x in (end, change, low):   # a backslash before changes nothing
+                x[1::2] = x[::2]
+            break
+        _, step, slash = _marks(data, bool(escaped))
+        odd = np.cumsum(step == 0) % 2
+        for quoted in (0, 1):
+            state = 2 * quoted + escaped
+            sums = np.cumsum(np.where(odd == quoted, step, 0), dtype=np.int64)
+            end[state] = 2 * ((odd[-1] if len(odd) else 0) ^ quoted) + slash
+            change[state], low[state] = (sums[-1], min(0, sums.min())) if len(sums) else (0, 0)
     return end, change, low
 
 
@@ -110,21 +125,42 @@ def _chunks(file, start: int, end: int) -> Iterator[bytes]:
         start += len(data)
 
 
+def _pieces(file, start: int, end: int, size: int) -> Iterator[bytes]:
+    """The range's own bytes, then what follows it, for as long as it is asked for."""
+    yield from _chunks(file, start, end)
+    ahead = READ_ON
+    while end < size:
+        data = file.read_at(min(ahead, CHUNK, size - end), end)
+        if not data:
+            return
+        yield data
+        end += len(data)
+        ahead *= 2
+
+
+def _opened(rows: Iterable[tuple]) -> Iterator[tuple]:
+    """(open file, row) of rows that begin with a path; a file is opened once for
+    the rows in a row that name it."""
+    for path, group in groupby(rows, lambda row: row[0]):
+        with open_input(path) as file:
+            for row in group:
+                yield file, row
+
+
 _MARK = b"\xef\xbb\xbf"
 
 
 def _map_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for path, start, end in zip(*(batch.column(c).to_pylist() for c in ("path", "start", "end"))):
+        for file, (path, start, end) in _opened(zip(*(batch.column(c).to_pylist() for c in ("path", "start", "end")))):
             whole, first = None, None
-            with open_input(path) as file:
-                for k, data in enumerate(_chunks(file, start, end)):
-                    here = chunk_maps(np.frombuffer(data, np.uint8))
-                    whole = here if whole is None else compose(whole, here)
-                    if first is None:
-                        body = data[3:] if start == 0 and k == 0 and data.startswith(_MARK) else data
-                        first = next(iter(body.strip(b" \t\r\n")[:1]), None)
+            for k, data in enumerate(_chunks(file, start, end)):
+                here = chunk_maps(np.frombuffer(data, np.uint8))
+                whole = here if whole is None else compose(whole, here)
+                if first is None:
+                    body = data[3:] if start == 0 and k == 0 and data.startswith(_MARK) else data
+                    first = next(iter(body.strip(b" \t\r\n")[:1]), None)
             whole = chunk_maps(np.zeros(0, np.uint8)) if whole is None else whole
             out.append((path, start, end, first, *[w.tolist() for w in whole]))
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 3]
@@ -136,7 +172,7 @@ def _enter(table: pa.Table) -> pa.Table:
     """State and depth in which each range of one file begins, and the depth of
     its documents."""
     table = table.sort_by("start")
-    maps = [np.array(table.column(c).to_pylist(), np.int64).reshape(-1, STATES) for c in ("ends", "changes", "lows")]
+    maps = [table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, STATES) for c in ("ends", "changes", "lows")]
     end, change, low = prefix_scan(maps)
     state = np.concatenate([[0], end[:-1, 0]])
     depth = np.concatenate([[0], np.maximum(change, change - low)[:-1, 0]])
@@ -153,27 +189,40 @@ def documents_in(file, start: int, end: int, size: int, state: int, depth: int,
     place = at = start
     # was the byte before part of a document, and did it close one?
     was = closed = False
-    if start:
+    mark = len(_MARK) if start <= len(_MARK) and file.read_at(len(_MARK), 0) == _MARK else 0
+    if start > mark:
         last = file.read_at(1, start - 1)[0]
         was = quoted or depth > base or not (_BETWEEN[last] or _STEP[last])
         closed = not quoted and depth == base and _STEP[last] < 0
         was = was or closed
-    for data in _chunks(file, start, size):
+    for data in _pieces(file, start, end, size):
         raw = np.frombuffer(data, np.uint8)
-        text, step, quoted, escaped = _scan(raw, quoted, escaped)
+        marks, step, escaped = _marks(raw, escaped)
+        quote = step == 0
+        inside = (np.cumsum(quote) + quoted) % 2 == 1
+        quotes = marks[quote]
+        brackets, step = marks[~quote & ~inside], step[~quote & ~inside]
         after = _depths(step, depth)
-        before = np.concatenate([[depth], after[:-1]])
-        scalar = text | ~(_BETWEEN[raw] | (step != 0))
-        if at == 0 and data.startswith(_MARK):
-            scalar[:3] = False
-        part = (np.maximum(before, after) > base) | ((before <= base) & (after <= base) & scalar)
-        closes = (step < 0) & (before > base) & (after == base)
-        opens = (step > 0) & (before == base)
+        before = np.concatenate([[depth], after])[:-1]
+        opens = brackets[(step > 0) & (before == base)]
+        closes = brackets[(step < 0) & (before > base) & (after == base)]
+        # opening and closing brackets take turns: 1 from the one to the other
+        change = np.zeros(len(raw) + 1, np.int8)
+        change[0] = depth > base
+        change[opens] += 1
+        change[closes + 1] -= 1
+        part = np.cumsum(change[:-1], dtype=np.int8) > 0
+        between = np.flatnonzero(~part)
+        text = ((np.searchsorted(quotes, between, "left") + quoted) % 2 == 1) | (
+            (np.searchsorted(quotes, between, "right") + quoted) % 2 == 1)
+        part[between] = text | _SCALAR[raw[between]]
+        part[:max(mark - at, 0)] = False
         prior = np.concatenate([[was], part[:-1]])
-        shut = np.concatenate([[closed], closes[:-1]])
-        begins = np.flatnonzero(part & (~prior | shut | opens))
-        stops = np.flatnonzero(~part & prior)   # the first byte after a document
-        edges = np.unique(np.concatenate([begins, stops]))
+        shut = np.concatenate([closes + 1, [0] if closed else []]).astype(np.int64)
+        shut = shut[shut < len(raw)]
+        turns = np.flatnonzero(part != prior)   # a document's first byte or the first after one
+        begins = np.concatenate([turns[part[turns]], opens, shut[part[shut]]])
+        edges = np.unique(np.concatenate([begins, turns]))
         begin = set(begins.tolist())
         done = 0
         for edge in [*edges.tolist(), len(data)]:
@@ -189,8 +238,9 @@ def documents_in(file, start: int, end: int, size: int, state: int, depth: int,
             if edge in begin:
                 held, place = [], at + edge
             done = edge
-        if len(data):
-            depth, was, closed = int(after[-1]), bool(part[-1]), bool(closes[-1])
+        depth = int(after[-1]) if len(after) else depth
+        quoted = bool(inside[-1]) if len(inside) else quoted
+        was, closed = bool(part[-1]), bool(len(closes)) and closes[-1] == len(data) - 1
         at += len(data)
         if held is None and at >= end:
             return
@@ -204,19 +254,18 @@ def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def send(rows):
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.string()))], names=names)
 
+    rows, held = [], 0
     for batch in batches:
-        for path, start, end, size, state, depth, base in zip(*(batch.column(c).to_pylist() for c in (
-                "path", "start", "end", "size", "state", "depth", "base"))):
-            rows, held = [], 0
-            with open_input(path) as file:
-                for place, data in documents_in(file, start, end, size, state, depth, base):
-                    rows.append((path, place, data.decode("utf-8", "replace")))
-                    held += len(data)
-                    if held >= CHUNK:
-                        yield send(rows)
-                        rows, held = [], 0
-            if rows:
-                yield send(rows)
+        for file, (path, start, end, size, state, depth, base) in _opened(zip(*(batch.column(c).to_pylist() for c in (
+                "path", "start", "end", "size", "state", "depth", "base")))):
+            for place, data in documents_in(file, start, end, size, state, depth, base):
+                rows.append((path, place, data.decode("utf-8", "replace")))
+                held += len(data)
+                if held >= CHUNK:
+                    yield send(rows)
+                    rows, held = [], 0
+    if rows:
+        yield send(rows)
 
 
 def read_documents(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fairway.session import ship_package
 from fairway.sources.schemas import ROUNDS
 
 COURSES = 37
@@ -232,10 +233,13 @@ def mixed_documents(events: DataFrame) -> DataFrame:
         F.col("event_type") != "signup", F.lower(F.date_format("ts", "h:mma")))
     detail = F.struct(*[r[c].alias(c) for c in ("course_name", "course_num", "course_par", "score", "sg_total")],
                       tee.alias("teetime"))
+    # a column of its own: it stands in eight places, which would make code too long
+    # for the JVM to compile
+    events = events.withColumn("__detail", detail)
 
     def player(shift: int, name: str, *slots):
         return F.struct((F.col("user_id") + shift).alias("dg_id"), F.lit(name).alias("player_name"),
-                        *[F.when(F.array_contains(F.array(*slots), F.lit(i).cast("long")), detail)
+                        *[F.when(F.array_contains(F.array(*slots), F.lit(i).cast("long")), F.col("__detail"))
                           .alias(f"round_{i}") for i in range(1, 5)])
 
     day = F.dayofmonth("ts")
@@ -261,21 +265,36 @@ def mixed_event_list(events: DataFrame) -> DataFrame:
     return days.select("calendar_year", "event_id", F.explode(names).alias("event_name"))
 
 
-def write_array_files(documents: DataFrame, root: str) -> None:
-    """Documents (``value``) as text files that each hold one array, printed over
-    many lines; one file for each partition."""
-    lines = documents.select(F.regexp_replace("value", ',"', ',\n    "').alias("value"))
+# Rows at least behind each generated array file.
+ARRAY_DOCUMENTS = 10_000
+
+
+def spread(events: DataFrame, rows_each: int = ARRAY_DOCUMENTS) -> DataFrame:
+    """Rows dealt round-robin over the shuffle partitions, with fewer partitions if
+    they would hold under ``rows_each`` rows: a table of one row group is one task."""
+    most = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return events.repartition(max(1, min(most, events.count() // rows_each)))
 
-    def as_array(batches):
-        import pyarrow as pa
 
-        last, text = None, "["
-        for batch in batches:
-            for value in batch.column("value").to_pylist():
-                if last is not None:
-                    yield pa.record_batch([pa.array([f"{text}  {last},"])], names=["value"])
-                    text = ""
-                last = value
-        yield pa.record_batch([pa.array([f"{text}  {last or ''}\n]"])], names=["value"])
+def _as_array(batches):
+    """Lines of one array of all documents; as many batches as came, and one."""
+    import pyarrow as pa
 
-    lines.mapInArrow(as_array, "value string").write.text(root)
+    last, text = None, "["
+    for batch in batches:
+        lines = []
+        for value in batch.column("value").to_pylist():
+            if last is not None:
+                lines.append(f"{text}  {last},")
+                text = ""
+            last = value
+        yield pa.record_batch([pa.array(lines, pa.string())], names=["value"])
+    yield pa.record_batch([pa.array([f"{text}  {last or ''}\n]"])], names=["value"])
+
+
+def write_array_files(documents: DataFrame, root: str) -> None:
+    """Documents (``value``) as text files that each hold one array, printed over
+    many lines; one file for each partition."""
+    ship_package(documents.sparkSession)
+    lines = documents.select(F.replace("value", F.lit(',"'), F.lit(',\n    "')).alias("value"))
+    lines.mapInArrow(_as_array, "value string").write.text(root)

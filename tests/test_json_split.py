@@ -3,10 +3,12 @@ import json
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fairway.sources import ingest, json_split
+from fairway.sources import ingest, json_split, testdata
+from tests.conftest import SF001
 from tests.test_ingest import EVENT_LIST, payload
 
 
@@ -75,6 +77,56 @@ def test_composed_maps_equal_one_map():
     assert all((a[-1] == b).all() for a, b in zip(scanned, whole))
 
 
+def test_a_range_is_read_once_and_little_beyond_it():
+    docs = [payload(dg_id=i) for i in range(1500)]
+    text = json.dumps(docs, indent=2).encode()
+    assert len(text) > json_split.CHUNK   # ranges are much smaller than that
+
+    class Counted(File):
+        taken = 0
+
+        def read_at(self, n, at):
+            data = super().read_at(n, at)
+            Counted.taken += len(data)
+            return data
+
+    file, size, found = Counted(text), 1 << 15, []
+    maps = [json_split.chunk_maps(np.frombuffer(text[a:a + size], np.uint8)) for a in range(0, len(text), size)]
+    end, change, low = json_split.prefix_scan([np.stack(x) for x in zip(*maps)])
+    for i, a in enumerate(range(0, len(text), size)):
+        state, depth = (0, 0) if not i else (int(end[i - 1, 0]), int(max(change[i - 1, 0], change[i - 1, 0] - low[i - 1, 0])))
+        found += [json.loads(d) for _, d in json_split.documents_in(file, a, min(a + size, len(text)), len(text), state, depth, 1)]
+    assert found == docs
+    assert Counted.taken < 1.5 * len(text)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 100])
+def test_a_byte_order_mark_is_no_document_in_ranges_of_any_size(size):
+    assert split('\ufeff7 {"a": 1}', size) == ["7", '{"a": 1}']
+    assert split('\ufeff{"a": 1} x', size) == ['{"a": 1}', "x"]
+
+
+def test_array_files_are_written_by_many_tasks_in_large_batches(spark):
+    rows = spark.range(100).coalesce(1)   # one row group is one task
+    assert rows.rdd.getNumPartitions() == 1
+    dealt = testdata.spread(rows, 25)
+    assert dealt.rdd.getNumPartitions() == 4 and dealt.count() == 100
+    assert testdata.spread(rows, 1).rdd.getNumPartitions() == 8   # shuffle partitions
+    assert testdata.spread(rows.where("id < 0")).rdd.getNumPartitions() == 1
+    texts = [json.dumps({"a": i, "b": ["é"]}) for i in range(3000)]
+    batches = [pa.record_batch([pa.array(x)], names=["value"]) for x in (texts[:1000], texts[1000:2999], [], texts[2999:])]
+    out = list(testdata._as_array(iter(batches)))
+    assert len(out) <= len(batches) + 1
+    assert json.loads("\n".join(v for b in out for v in b.column("value").to_pylist())) == [json.loads(t) for t in texts]
+    assert json.loads(next(testdata._as_array(iter([]))).column("value")[0].as_py()) == []
+
+
+def test_a_generated_document_formats_its_tee_time_once(spark, capsys):
+    events = testdata.table(spark, SF001, "events")
+    testdata.mixed_documents(events).explain()
+    assert capsys.readouterr().out.count("h:mma") == 1
+
+
 def test_one_large_array_is_read_by_many_tasks_like_the_reader(spark, tmp_path):
     docs = [payload(dg_id=i) if i % 9 else payload("2023-09-06", dg_id=i) for i in range(300)]
     docs[7]["tour"] = "euro"
