@@ -12,8 +12,8 @@ Equal codes are searched once: each distinct code carries its ``k + 1``
 smallest ids, which is all that any query can use. The query set is cut into
 chunks. The task of a chunk holds its queries and what is nearest to them so
 far; the codes, one bit for each component, stream past it in packs of
-``PACK_BYTES`` and are searched in blocks of ``BLOCK`` codes, each with its own
-tables. What a block finds bounds the search of the next. So a task's memory
+``PACK_BYTES`` and are searched in blocks of at most ``BLOCK`` codes, each with its
+own tables. What a block finds bounds the search of the next. So a task's memory
 depends on ``BLOCK`` and on its queries, and not on the number of codes.
 
 Defined cases: a null vector has no code, is no query and no neighbour; a null
@@ -40,6 +40,7 @@ from fairway.llm.staging import parts, ship, stage
 K = 10
 QUERY_STEP = 20
 BLOCK = 1 << 20
+INDEX_BYTES = 1 << 27    # of a block's tables, about: blocks of wide codes are smaller
 CHUNK = (128, 1 << 15)   # queries of one task, at least and at most
 COPIES = 32              # tasks that all codes are sent to, unless a chunk would pass its bound
 MOST_SEGMENT = 16
@@ -281,7 +282,9 @@ def _packs(held: DataFrame, width: int) -> DataFrame:
 def _searched(sent: DataFrame, width: int, k: int) -> DataFrame:
     """Of partitions of one chunk, its queries first and all packs after them: each
     query's code with the ids and distances of its ``k`` nearest."""
-    block, step = BLOCK, max(64, min(4096, (1 << 18) // width))
+    words = -(-width // 64)
+    block = min(BLOCK, max(1 << 12, INDEX_BYTES // (-(-width // MOST_SEGMENT) * (8 * words + 4) + 8 * words)))
+    step = max(64, min(4096, (1 << 18) // width))
 
     def run(batches: Iterator[pa.RecordBatch]):
         texts: list[pa.Array] = []
